@@ -59,8 +59,11 @@ lines AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
-def alloc_oracle(lines_cte: str, group: list[str], order: list[str]) -> str:
-    """Independent SQL of the allocation over a ``lines`` CTE."""
+def alloc_oracle(lines_cte: str, group: list[str], order: list[str], src: str = "lines") -> str:
+    """Independent SQL of the allocation over the CTE ``src``.
+
+    ``lines_cte`` is either bare CTE text or a full ``WITH ...`` chain.
+    """
     gk = ", ".join(group)
     ordt = "(" + ", ".join(order + ["posting_line_type_id"]) + ")"
     tgt_ord = "(CASE WHEN posting_line_type_id = 'DIRECT' THEN 0 ELSE 1 END, " + ", ".join(
@@ -68,18 +71,20 @@ def alloc_oracle(lines_cte: str, group: list[str], order: list[str]) -> str:
     join_on = " AND ".join(f"l.{c} IS NOT DISTINCT FROM g.{c}" for c in group)
     join_on2 = " AND ".join(f"b.{c} IS NOT DISTINCT FROM r.{c}" for c in group)
     join_on3 = " AND ".join(f"c.{c} IS NOT DISTINCT FROM s.{c}" for c in group)
-    return f"""WITH {lines_cte},
+    head = lines_cte.strip()
+    head = head if head.upper().startswith("WITH") else "WITH " + head
+    return f"""{head},
 g AS (
   SELECT {gk},
          CAST(COALESCE(SUM(posting_amount), 0) AS DECIMAL(28,6)) AS base_sum,
          CAST(round_even(arg_min_null(CAST(contract_cost AS DECIMAL(20,6)), {ordt}), 0) AS DECIMAL(18,2)) AS contract_price,
          arg_min({ordt}, {tgt_ord}) AS tgt
-  FROM lines GROUP BY {gk}),
+  FROM {src} GROUP BY {gk}),
 a AS (
   SELECT l.*, g.contract_price, g.base_sum,
          CASE WHEN g.base_sum = 0 THEN NULL ELSE CAST(g.contract_price AS DOUBLE) / CAST(g.base_sum AS DOUBLE) END AS multiplier,
          {ordt.replace('(', '(l.', 1).replace(', ', ', l.')} = g.tgt AS is_residual_row
-  FROM lines l JOIN g ON {join_on}),
+  FROM {src} l JOIN g ON {join_on}),
 b AS (
   SELECT *, CASE WHEN base_sum = 0 THEN CAST(0 AS DECIMAL(18,2))
                  ELSE CAST(round_even(CAST(CAST(posting_amount AS DOUBLE) * multiplier AS DECIMAL(18,6)), 2) AS DECIMAL(18,2)) END AS adj0

@@ -7,6 +7,7 @@ becomes ``explode(array(`` / ``unnest(list_value(``, ``ELEM(x, n)`` becomes
 over the parquet scans, so every operator downstream reads data that grows
 with the driver tables; DuckDB gets the same text as CTEs in the oracle.
 
+Window row numbers are cast to BIGINT so both engines agree on types.
 Study = ``o_custkey``; the total order of lines is
 ``(l_orderkey, l_linenumber, l_partkey, l_suppkey)``.
 """
@@ -42,8 +43,8 @@ _MARK = ("CASE WHEN l_tax = 0.08 THEN NULL WHEN l_linenumber {cmp} THEN CAST(l_p
 
 FX_ROWS = """
 SELECT cpms_id, study_name, sheet_name,
-       4 + row_number() OVER (PARTITION BY cpms_id, sheet_name
-                              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_idx,
+       CAST(4 + row_number() OVER (PARTITION BY cpms_id, sheet_name
+                                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS row_idx,
        CASE WHEN l_quantity = 1 THEN 'Scheduled / Some Participants'
             WHEN l_quantity = 2 THEN 'Scheduled / All Participants'
             WHEN l_quantity = 3 THEN 'Unscheduled / Itemised Activities'
@@ -67,9 +68,9 @@ FROM fx_base
 
 FX_GRID = """
 WITH sheets AS (SELECT DISTINCT cpms_id, study_name, sheet_name FROM fx_rows),
-pos AS (SELECT *, row_number() OVER (PARTITION BY cpms_id ORDER BY sheet_name) AS sheet_pos FROM sheets),
+pos AS (SELECT *, CAST(row_number() OVER (PARTITION BY cpms_id ORDER BY sheet_name) AS BIGINT) AS sheet_pos FROM sheets),
 body AS (
-  SELECT cpms_id, sheet_name, 1 AS row_idx, ARRAY_OF(' Study ', study_name, CAST(NULL AS STRING)) AS cells FROM sheets
+  SELECT cpms_id, sheet_name, CAST(1 AS BIGINT) AS row_idx, ARRAY_OF(' Study ', study_name, CAST(NULL AS STRING)) AS cells FROM sheets
   UNION ALL
   SELECT cpms_id, sheet_name, 2, ARRAY_OF('Study Id', ' ' || cpms_id || ' ', CAST(NULL AS STRING)) FROM sheets
   UNION ALL
@@ -89,7 +90,7 @@ FROM body JOIN pos ON body.cpms_id = pos.cpms_id AND body.sheet_name = pos.sheet
 
 FX_LONG = """
 SELECT cpms_id, study_name, sheet_name,
-       row_number() OVER (PARTITION BY cpms_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id,
+       CAST(row_number() OVER (PARTITION BY cpms_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS row_id,
        CASE WHEN sheet_name = 'Setup & Closedown' THEN 'SC'
             WHEN sheet_name = 'Unscheduled Activities' THEN 'UA'
             WHEN sheet_name = 'Pharmacy' AND l_linenumber % 2 = 1 THEN 'Arm A'
