@@ -59,7 +59,8 @@ lines AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
-def alloc_oracle(lines_cte: str, group: list[str], order: list[str], src: str = "lines") -> str:
+def alloc_oracle(lines_cte: str, group: list[str], order: list[str], src: str = "lines",
+                 drop: tuple[str, ...] = ("contract_cost",)) -> str:
     """Independent SQL of the allocation over the CTE ``src``.
 
     ``lines_cte`` is either bare CTE text or a full ``WITH ...`` chain.
@@ -99,7 +100,7 @@ c AS (
 s AS (
   SELECT {gk}, CAST(round_even(COALESCE(SUM(adjusted_amount), 0), 2) AS DECIMAL(18,2)) AS adjusted_sum_check
   FROM c GROUP BY {gk})
-SELECT c.* EXCLUDE (adj0, contract_cost), s.adjusted_sum_check,
+SELECT c.* EXCLUDE ({", ".join(("adj0",) + tuple(drop))}), s.adjusted_sum_check,
        CAST(round_even(c.contract_price - s.adjusted_sum_check, 2) AS DECIMAL(18,2)) AS diff_check
 FROM c JOIN s ON {join_on3}"""
 
