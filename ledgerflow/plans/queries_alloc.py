@@ -153,3 +153,44 @@ def balance_audit(spark, sf_dir):
     from ledgerflow.operators.quality import balance_audit as audit
     out = _alloc(spark, sf_dir, method="window")
     return audit(out, study_cols=["o_custkey"], group_cols=["l_orderkey"])
+
+
+# ---------------------------------------------------------------------------
+# Skew: every line of a finished order (status F, about half of all lines)
+# falls into ONE allocation group; the others stay one group per order.
+
+SKEW_GROUP_SQL = "CASE WHEN o_orderstatus = 'F' THEN CAST(-1 AS BIGINT) ELSE l_orderkey END"
+SKEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+SKEW_ROWS_PER_TASK = 10_000  # small enough that the hot group is split even at sf0.01
+
+
+def _skewed(spark, sf_dir, method):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = (li.join(o, li.l_orderkey == o.o_orderkey)
+             .select(F.expr(SKEW_GROUP_SQL).alias("alloc_group"), *SKEW_ORDER,
+                     F.expr(LINE_TYPE_SQL).alias("posting_line_type_id"),
+                     F.col("l_extendedprice").cast(AMOUNT).alias("posting_amount"),
+                     F.col("o_totalprice").alias("contract_cost")))
+    out = allocate(lines, group_cols=["alloc_group"], order_cols=SKEW_ORDER, method=method,
+                   rows_per_task=SKEW_ROWS_PER_TASK)
+    return out.select("alloc_group", *SKEW_ORDER, "posting_line_type_id", "posting_amount", *ALLOC_COLUMNS)
+
+
+_SKEW_SQL = alloc_oracle(f"""
+lines AS (
+  SELECT {SKEW_GROUP_SQL} AS alloc_group, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         {LINE_TYPE_SQL} AS posting_line_type_id,
+         CAST(l_extendedprice AS DECIMAL(18,6)) AS posting_amount, o_totalprice AS contract_cost
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""", ["alloc_group"], SKEW_ORDER)
+
+
+@register("alloc_skewed_window", _SKEW_SQL)
+def alloc_skewed_window(spark, sf_dir):
+    return _skewed(spark, sf_dir, "window")
+
+
+@register("alloc_skewed_agg", _SKEW_SQL)
+def alloc_skewed_agg(spark, sf_dir):
+    """The hot group is split into salt buckets of ~10k lines across tasks."""
+    return _skewed(spark, sf_dir, "agg")

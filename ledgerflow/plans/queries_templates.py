@@ -16,14 +16,18 @@ from ledgerflow.plans.queries_alloc import alloc_oracle
 from ledgerflow.plans.queries_posting import SCENARIO, o_plan, rule_tables
 from ledgerflow.plans.registry import register
 from ledgerflow.sources.fixtures import Fixtures
+from ledgerflow.sources.stage import materialize
 
 STUDY = ["cpms_id", "scenario_id"]
 
 
-def adjusted(spark, sf_dir, method="window", scenario=SCENARIO):
+def adjusted(spark, sf_dir, method="window", scenario=SCENARIO, stage=False):
+    """Adjusted posting plan; ``stage=True`` writes it once for its several
+    consumers (keys, special and arm templates) instead of recomputing it."""
     fx = Fixtures(spark, sf_dir)
     plan = posting_plan(fx.long, rule_tables(fx), scenario_id=scenario, cost_table=fx.cost)
-    return adjust_posting_lines(plan, method=method)
+    adj = adjust_posting_lines(plan, method=method)
+    return materialize(adj, "adjusted_plan") if stage else adj
 
 
 # ---------------------------------------------------------------------------
@@ -135,20 +139,20 @@ SELECT a.cpms_id, a.row_id, a.scenario_id, a.posting_line_type_id, a.sheet_name,
             AND k.study_arm IS NOT DISTINCT FROM a.study_arm AND k.visit IS NOT DISTINCT FROM a.visit)) AS edge_key
 FROM adj a""")
 def q_edge_keys(spark, sf_dir):
-    out = assign_edge_keys(adjusted(spark, sf_dir))
+    out = assign_edge_keys(adjusted(spark, sf_dir, stage=True))
     return out.select("cpms_id", "row_id", "scenario_id", "posting_line_type_id", "sheet_name", "study_arm",
                       "visit", "edge_key")
 
 
 @register("template_special", _with_keys().rstrip() + ",\n" + _SPECIAL_T + "\nSELECT * FROM st")
 def q_template_special(spark, sf_dir):
-    adj = adjusted(spark, sf_dir)
+    adj = adjusted(spark, sf_dir, stage=True)
     return special_templates(adj, key_table(adj))
 
 
 @register("template_arm", _with_keys().rstrip() + ",\n" + _ARM_T + "\nSELECT * FROM arm_t")
 def q_template_arm(spark, sf_dir):
-    adj = adjusted(spark, sf_dir)
+    adj = adjusted(spark, sf_dir, stage=True)
     return arm_templates(adj, key_table(adj))
 
 
@@ -158,7 +162,7 @@ _ALL = _with_keys().rstrip() + ",\n" + _SPECIAL_T + ",\n" + _ARM_T + ",\nallt AS
 @register("template_all", _ALL + "SELECT * FROM allt")
 def q_template_all(spark, sf_dir):
     """C5 end to end: posting plan -> allocation -> keys -> all templates."""
-    return build_all_templates(adjusted(spark, sf_dir))
+    return build_all_templates(adjusted(spark, sf_dir, stage=True))
 
 
 @register("template_counts", _ALL + """
@@ -166,4 +170,4 @@ SELECT cpms_id, scenario_id, COUNT(DISTINCT (template_kind, template_name)) AS n
        COUNT(*) AS n_template_rows, CAST(SUM("Default Cost") AS DECIMAL(18,2)) AS total_default_cost
 FROM allt GROUP BY cpms_id, scenario_id""")
 def q_template_counts(spark, sf_dir):
-    return template_counts(build_all_templates(adjusted(spark, sf_dir)))
+    return template_counts(build_all_templates(adjusted(spark, sf_dir, stage=True)))

@@ -48,14 +48,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as is.  Only a bare local test session gets a fresh scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        opt = sc._jsc.sc().getCheckpointDir()
+        current = opt.get() if opt.isDefined() else None
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not sc._jsc.sc().getCheckpointDir().isDefined():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df):
