@@ -399,9 +399,17 @@ def q_alloc_row_grain(spark, sf_dir):
     return adjust_posting_lines(plan, grain="row").select(*_ALLOC_PLAN_COLS)
 
 
+def _mixed_price_sql():
+    from ledgerflow.plans.queries_templates import _dispatch_lines
+    return _dispatch_lines() + """
+SELECT cpms_id, scenario_id, alloc_class, ka AS key_a, kb AS key_b, kc AS key_c, COUNT(*) AS n_lines,
+       COUNT(DISTINCT contract_cost) AS n_prices, MIN(contract_cost) AS min_cost, MAX(contract_cost) AS max_cost
+FROM lines2 GROUP BY cpms_id, scenario_id, alloc_class, ka, kb, kc HAVING COUNT(DISTINCT contract_cost) > 1"""
+
+
 @register("mixed_price_audit")
 def q_mixed_price_audit(spark, sf_dir):
-    """Allocation groups whose lines carry different contract costs (first wins)."""
+    """Q3: allocation groups whose lines carry different contract costs (first wins)."""
     from ledgerflow.operators.allocate import with_alloc_key
     fx = Fixtures(spark, sf_dir)
     plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost)
@@ -410,5 +418,6 @@ def q_mixed_price_audit(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("contract_cost").alias("n_prices"),
                  F.min("contract_cost").alias("min_cost"), F.max("contract_cost").alias("max_cost"))
             .filter(F.col("n_prices") > 1)
-            .select("cpms_id", "scenario_id", F.col("alloc_key.a").alias("pool"), F.col("alloc_key.b").alias("visit"),
+            .select("cpms_id", "scenario_id", "alloc_class", F.col("alloc_key.a").alias("key_a"),
+                    F.col("alloc_key.b").alias("key_b"), F.col("alloc_key.c").alias("key_c"),
                     "n_lines", "n_prices", "min_cost", "max_cost"))

@@ -171,3 +171,12 @@ SELECT cpms_id, scenario_id, COUNT(DISTINCT (template_kind, template_name)) AS n
 FROM allt GROUP BY cpms_id, scenario_id""")
 def q_template_counts(spark, sf_dir):
     return template_counts(build_all_templates(adjusted(spark, sf_dir, stage=True)))
+
+
+def _late_oracles():
+    from ledgerflow.plans.queries_posting import _mixed_price_sql
+    from ledgerflow.plans.registry import ORACLES
+    ORACLES["mixed_price_audit"] = _mixed_price_sql()
+
+
+_late_oracles()

@@ -31,10 +31,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from ledgerflow.plans import queries_alloc  # noqa: F401
-    for mod in ("queries_posting", "queries_costs", "queries_templates", "queries_grid", "queries_io"):
-        try:
-            __import__(f"ledgerflow.plans.{mod}")
-        except ModuleNotFoundError as e:  # modules land one by one
-            if e.name != f"ledgerflow.plans.{mod}":
-                raise
+    from ledgerflow.plans import (queries_alloc, queries_grid, queries_io, queries_posting,  # noqa: F401
+                                  queries_templates)
