@@ -14,9 +14,9 @@ from ledgerflow.functions.nulls import AMOUNT
 from ledgerflow.operators.allocate import ALLOC_COLUMNS, allocate
 from ledgerflow.plans.registry import register
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]  # total order within an order
 GROUP = ["o_custkey", "l_orderkey"]
-KEY_COLS = GROUP + LINE_ORDER + ["posting_line_type_id"]
+KEY_COLS = GROUP + LINE_ORDER[:3] + ["posting_line_type_id"]
 
 # Line type per return flag (invented for the driver tables).
 LINE_TYPE_SQL = ("CASE l_returnflag WHEN 'N' THEN 'DIRECT' WHEN 'A' THEN 'OVERHEAD' "
@@ -53,7 +53,7 @@ def _alloc(spark, sf_dir, method="window", **kw) -> DataFrame:
 def _oracle_lines(amount="CAST(l_extendedprice AS DECIMAL(18,6))", cost="o_totalprice") -> str:
     return f"""
 lines AS (
-  SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
          {LINE_TYPE_SQL} AS posting_line_type_id,
          {amount} AS posting_amount, {cost} AS contract_cost
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -105,7 +105,8 @@ SELECT c.* EXCLUDE ({", ".join(("adj0",) + tuple(drop))}), s.adjusted_sum_check,
 FROM c JOIN s ON {join_on3}"""
 
 
-_ALLOC_SQL = alloc_oracle(_oracle_lines(), GROUP, LINE_ORDER)
+_DROP = ("contract_cost", "l_extendedprice")
+_ALLOC_SQL = alloc_oracle(_oracle_lines(), GROUP, LINE_ORDER, drop=_DROP)
 
 
 @register("alloc_window", _ALLOC_SQL)
@@ -120,7 +121,7 @@ def alloc_agg(spark, sf_dir):
 
 @register("alloc_zero_base", alloc_oracle(_oracle_lines(
     amount="CASE WHEN o_orderstatus = 'F' THEN CAST(0 AS DECIMAL(18,6)) ELSE CAST(l_extendedprice AS DECIMAL(18,6)) END"),
-    GROUP, LINE_ORDER))
+    GROUP, LINE_ORDER, drop=_DROP))
 def alloc_zero_base(spark, sf_dir):
     """Orders with status F have all-zero amounts: the whole price goes to the target line."""
     return _alloc(spark, sf_dir, zero_status="F")
@@ -128,7 +129,7 @@ def alloc_zero_base(spark, sf_dir):
 
 @register("alloc_null_price", alloc_oracle(_oracle_lines(
     amount="CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,6)) END",
-    cost="CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END"), GROUP, LINE_ORDER))
+    cost="CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END"), GROUP, LINE_ORDER, drop=_DROP))
 def alloc_null_price(spark, sf_dir):
     """NULL prices (5-LOW orders) and NULL amounts (zero discount) in one run."""
     return _alloc(spark, sf_dir, null_priority="5-LOW", null_amount_discount=0.0)
@@ -160,7 +161,7 @@ def balance_audit(spark, sf_dir):
 # falls into ONE allocation group; the others stay one group per order.
 
 SKEW_GROUP_SQL = "CASE WHEN o_orderstatus = 'F' THEN CAST(-1 AS BIGINT) ELSE l_orderkey END"
-SKEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+SKEW_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 SKEW_ROWS_PER_TASK = 10_000  # small enough that the hot group is split even at sf0.01
 
 
@@ -174,15 +175,15 @@ def _skewed(spark, sf_dir, method):
                      F.col("o_totalprice").alias("contract_cost")))
     out = allocate(lines, group_cols=["alloc_group"], order_cols=SKEW_ORDER, method=method,
                    rows_per_task=SKEW_ROWS_PER_TASK)
-    return out.select("alloc_group", *SKEW_ORDER, "posting_line_type_id", "posting_amount", *ALLOC_COLUMNS)
+    return out.select("alloc_group", *SKEW_ORDER[:4], "posting_line_type_id", "posting_amount", *ALLOC_COLUMNS)
 
 
 _SKEW_SQL = alloc_oracle(f"""
 lines AS (
-  SELECT {SKEW_GROUP_SQL} AS alloc_group, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  SELECT {SKEW_GROUP_SQL} AS alloc_group, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
          {LINE_TYPE_SQL} AS posting_line_type_id,
          CAST(l_extendedprice AS DECIMAL(18,6)) AS posting_amount, o_totalprice AS contract_cost
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""", ["alloc_group"], SKEW_ORDER)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""", ["alloc_group"], SKEW_ORDER, drop=_DROP)
 
 
 @register("alloc_skewed_window", _SKEW_SQL)

@@ -9,7 +9,8 @@ with the driver tables; DuckDB gets the same text as CTEs in the oracle.
 
 Window row numbers are cast to BIGINT so both engines agree on types.
 Study = ``o_custkey``; the total order of lines is
-``(l_orderkey, l_linenumber, l_partkey, l_suppkey)``.
+``(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)`` (the
+first four repeat once at sf0.001).
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ _MARK = ("CASE WHEN l_tax = 0.08 THEN NULL WHEN l_linenumber {cmp} THEN CAST(l_p
 FX_ROWS = """
 SELECT cpms_id, study_name, sheet_name,
        CAST(4 + row_number() OVER (PARTITION BY cpms_id, sheet_name
-                                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS row_idx,
+                                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS row_idx,
        CASE WHEN l_quantity = 1 THEN 'Scheduled / Some Participants'
             WHEN l_quantity = 2 THEN 'Scheduled / All Participants'
             WHEN l_quantity = 3 THEN 'Unscheduled / Itemised Activities'
@@ -90,7 +91,7 @@ FROM body JOIN pos ON body.cpms_id = pos.cpms_id AND body.sheet_name = pos.sheet
 
 FX_LONG = """
 SELECT cpms_id, study_name, sheet_name,
-       CAST(row_number() OVER (PARTITION BY cpms_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS row_id,
+       CAST(row_number() OVER (PARTITION BY cpms_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS row_id,
        CASE WHEN sheet_name = 'Setup & Closedown' THEN 'SC'
             WHEN sheet_name = 'Unscheduled Activities' THEN 'UA'
             WHEN sheet_name = 'Pharmacy' AND l_linenumber % 2 = 1 THEN 'Arm A'

@@ -63,11 +63,14 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     b = sorted(tuple(norm(r[i]) for i in di) for r in duck_rows)
     if len(a) != len(b):
         return f"row count spark={len(a)} duck={len(b)}"
-    bad = [(x, y) for x, y in zip(a, b) if x != y]
-    if bad:
-        x, y = bad[0]
-        diffcols = [sc[i] for i in range(len(sc)) if x[i] != y[i]]
-        return f"{len(bad)} rows differ; first in {diffcols}: spark={x} duck={y}"
+    from collections import Counter
+    only_s = Counter(a) - Counter(b)
+    only_d = Counter(b) - Counter(a)
+    if only_s or only_d:
+        x = next(iter(only_s), None)
+        y = next(iter(only_d), None)
+        return f"{sum(only_s.values())} spark rows not in duck, {sum(only_d.values())} duck rows not in spark; " \
+               f"e.g. spark={dict(zip(sc, x)) if x else None} duck={dict(zip(sc, y)) if y else None}"
     return None
 
 
