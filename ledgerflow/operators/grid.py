@@ -16,7 +16,7 @@ when it is not.  Order-dependent steps use the bucketed primitives of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.nulls import blank_to_null, is_in, trim_ws, true_or_false
@@ -98,40 +98,61 @@ def syntactic_name(raw: Column) -> Column:
     return F.when(dotted.isin(*RESERVED_NAMES), F.concat(dotted, F.lit("."))).otherwise(dotted)
 
 
+def unique_names(bases: Column) -> Column:
+    """make-unique over an array: the k-th repeat of a name gets ``.k``."""
+    def one(b, i):
+        k = F.size(F.filter(F.slice(bases, 1, i), lambda x: x == b))
+        return F.when(k == 0, b).otherwise(F.concat(b, F.lit("."), k.cast("string")))
+    return F.transform(bases, one)
+
+
+def with_names(headers: DataFrame) -> DataFrame:
+    """Adds ``names``: syntactic, unique column names of the header cells.
+    The syntactic names are a column of their own so the de-duplication
+    lambda reads them instead of re-running the regexes per element."""
+    return (headers.withColumn("_bases", F.transform("header_cells", syntactic_name))
+            .withColumn("names", unique_names(F.col("_bases"))).drop("_bases"))
+
+
 def header_names(headers: DataFrame) -> DataFrame:
     """(sheet, col_pos, header, name): unique names, repeats suffixed .1, .2 ..."""
-    cols = headers.select(*SHEET, F.posexplode("header_cells").alias("p0", "header"))
-    cols = cols.withColumn("col_pos", (F.col("p0") + 1).cast("int")).withColumn("base", syntactic_name(F.col("header")))
-    dup = F.row_number().over(Window.partitionBy(*SHEET, "base").orderBy("col_pos")) - 1
-    return (cols.withColumn("dup", dup)
-            .withColumn("name", F.when(F.col("dup") == 0, F.col("base"))
-                        .otherwise(F.concat(F.col("base"), F.lit("."), F.col("dup").cast("string"))))
-            .select(*SHEET, "col_pos", "header", "name"))
+    named = with_names(headers)
+    ex = named.select(*SHEET, F.posexplode(F.arrays_zip(F.col("header_cells").alias("header"),
+                                                       F.col("names").alias("name"))).alias("p0", "hn"))
+    return ex.select(*SHEET, (F.col("p0") + 1).cast("int").alias("col_pos"), F.col("hn.header").alias("header"),
+                     F.col("hn.name").alias("name"))
+
+
+def sheet_facts(grid: DataFrame) -> DataFrame:
+    """One aggregation pass over the grid: header row and cells, metadata
+    and sheet position per sheet (partial aggregates combine map-side)."""
+    hdr = F.when(is_header_row(), F.col("row_idx"))
+    key = trim_ws(cell(1))
+    val = blank_to_null(cell(2))
+    return grid.groupBy(*SHEET).agg(
+        F.min(hdr).alias("header_row"), F.min_by("cells", hdr).alias("header_cells"),
+        F.min_by(val, F.when(key == KEY_STUDY, F.col("row_idx"))).alias("study_name"),
+        F.min_by(val, F.when(key == KEY_STUDY_ID, F.col("row_idx"))).alias("cpms_id"),
+        F.first("sheet_pos").alias("sheet_pos"))
 
 
 def sheet_layout(grid: DataFrame) -> DataFrame:
     """Per-sheet table: header row, names, column positions, visit range and metadata."""
-    headers = first_headers(grid)
-    names = (header_names(headers)
-             .groupBy(*SHEET)
-             .agg(F.sort_array(F.collect_list(F.struct("col_pos", "name"))).alias("_n"))
-             .select(*SHEET, F.transform("_n", lambda x: x["name"]).alias("names")))
+    facts = with_names(sheet_facts(grid).filter(F.col("header_row").isNotNull()))
     pos = {c: F.array_position("names", c).cast("int") for c in
            (COL_ACTIVITY, COL_TYPE, COL_DEPARTMENT, COL_ROLE, COL_COST, COL_TOTAL)}
-    first = grid.groupBy(*SHEET).agg(F.first("sheet_pos").alias("sheet_pos"))
-    lay = (join_null_safe(join_null_safe(headers.drop("header_cells"), names, SHEET, "inner"), first, SHEET, "left")
-           .withColumn("pos_activity", pos[COL_ACTIVITY]).withColumn("pos_type", pos[COL_TYPE])
-           .withColumn("pos_department", pos[COL_DEPARTMENT]).withColumn("pos_role", pos[COL_ROLE])
-           .withColumn("pos_cost", pos[COL_COST]).withColumn("pos_total", pos[COL_TOTAL])
-           .withColumn("n_visits", F.col("pos_total") - F.col("pos_cost") - 1)
-           .withColumn("layout_error",
-                       F.when(F.col("pos_cost") == 0, F.lit("missing column " + COL_COST))
-                       .when(F.col("pos_total") == 0, F.lit("missing column " + COL_TOTAL))
-                       .when(F.col("n_visits") < 1, F.lit("no visit columns between the cost columns")))
-           .withColumn("visit_names", F.when(F.col("layout_error").isNull(),
-                                              F.slice("names", F.col("pos_cost") + 1, F.col("n_visits"))))
-           .withColumn("first_name", F.element_at("names", 1)))
-    return join_null_safe(lay, sheet_metadata(grid), SHEET, "left")
+    return (facts.drop("header_cells")
+            .withColumn("pos_activity", pos[COL_ACTIVITY]).withColumn("pos_type", pos[COL_TYPE])
+            .withColumn("pos_department", pos[COL_DEPARTMENT]).withColumn("pos_role", pos[COL_ROLE])
+            .withColumn("pos_cost", pos[COL_COST]).withColumn("pos_total", pos[COL_TOTAL])
+            .withColumn("n_visits", F.col("pos_total") - F.col("pos_cost") - 1)
+            .withColumn("layout_error",
+                        F.when(F.col("pos_cost") == 0, F.lit("missing column " + COL_COST))
+                        .when(F.col("pos_total") == 0, F.lit("missing column " + COL_TOTAL))
+                        .when(F.col("n_visits") < 1, F.lit("no visit columns between the cost columns")))
+            .withColumn("visit_names", F.when(F.col("layout_error").isNull(),
+                                               F.slice("names", F.col("pos_cost") + 1, F.col("n_visits"))))
+            .withColumn("first_name", F.element_at("names", 1)))
 
 
 def sheet_table(grid: DataFrame, layout: DataFrame) -> DataFrame:
@@ -204,9 +225,20 @@ def visit_label_of(pos1: Column) -> Column:
     return visit_number(pos1)
 
 
-def stage_a(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET):
-    """(layout, raw table rows, cleaned rows with flags and staff groups)."""
-    layout = sheet_layout(grid)
-    table = sheet_table(grid, layout)
-    clean = with_staff_group(clean_rows(with_flags(table, bucket_size)), bucket_size)
+def stage_a(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, stage: bool = True):
+    """(layout, raw table rows, cleaned rows with flags and staff groups).
+
+    With ``stage=True`` each of the three is written once as a stage table:
+    each feeds several later steps (and the bucketed primitives read their
+    input twice), so without it the scans and joins upstream would be
+    recomputed for every consumer.
+    """
+    from ledgerflow.sources.stage import materialize
+
+    def keep(df, name):
+        return materialize(df, name) if stage else df
+
+    layout = keep(sheet_layout(grid), "grid_layout")
+    table = keep(sheet_table(grid, layout), "grid_table")
+    clean = keep(with_staff_group(clean_rows(with_flags(table, bucket_size)), bucket_size), "grid_clean")
     return layout, table, clean

@@ -331,9 +331,10 @@ def q_study_arm(spark, sf_dir):
 
 @register("occurrence_ids", _B + f"SELECT {_LONG_SQL}, activity_occurrence_id FROM occ")
 def q_occurrence_ids(spark, sf_dir):
+    from ledgerflow.sources.stage import materialize
     _, table, clean = _stage_a(spark, sf_dir)
     routed = longform.reroute(clean.withColumnRenamed("sheet_pos", "source_sheet_pos"), longform.workbook_has_ua(table))
-    long = longform.with_occurrence_ids(longform.long_rows(routed))
+    long = longform.with_occurrence_ids(materialize(longform.long_rows(routed), "grid_long"))
     return long.select(*_LONG_COLS, "activity_occurrence_id")
 
 
