@@ -173,10 +173,46 @@ def q_template_counts(spark, sf_dir):
     return template_counts(build_all_templates(adjusted(spark, sf_dir, stage=True)))
 
 
+_KEYED = """keyed AS (
+  SELECT a.*, COALESCE(
+      (SELECT printf('EDGE-%04d', k.seq) FROM skn k WHERE k.cpms_id = a.cpms_id AND k.scenario_id = a.scenario_id
+         AND k.sheet_name IS NOT DISTINCT FROM a.sheet_name AND k.activity IS NOT DISTINCT FROM a.activity
+         AND k.row_id = a.row_id AND k.staff_group IS NOT DISTINCT FROM a.staff_group
+         AND k.study_arm IS NOT DISTINCT FROM a.study_arm),
+      (SELECT printf('EDGE-%04d', k.seq) FROM mkn k WHERE k.cpms_id = a.cpms_id AND k.scenario_id = a.scenario_id
+         AND k.study_arm IS NOT DISTINCT FROM a.study_arm AND k.visit IS NOT DISTINCT FROM a.visit)) AS edge_key
+  FROM adj a)"""
+
+
+def _arm_keyed_sql():
+    from ledgerflow.sources.fixtures import VIEWS, dialect
+    head = _with_keys().rstrip()
+    return head + ",\n" + _KEYED + f""",
+fx_base AS ({dialect(VIEWS["fx_base"][0], "duckdb")}),
+fx_long_c AS ({dialect(VIEWS["fx_long"][0], "duckdb")}),
+fx_cost_c AS ({dialect(VIEWS["fx_cost"][0], "duckdb").replace("FROM fx_long", "FROM fx_long_c")}),
+t AS (
+  SELECT cpms_id, scenario_id, study_name, visit, study_arm, edge_key, COALESCE(SUM(adjusted_amount), 0) AS total
+  FROM keyed WHERE NOT COALESCE(sheet_name IN {_SPECIAL}, FALSE) OR COALESCE(sheet_name = 'Pharmacy', FALSE)
+  GROUP BY cpms_id, scenario_id, study_name, visit, study_arm, edge_key)
+SELECT t.cpms_id, t.scenario_id, 'arm' AS template_kind, t.study_arm AS template_name,
+       {_edge_select('t.study_arm', "COALESCE((SELECT MIN(c.visit_label) FROM fx_cost_c c WHERE c.cpms_id = t.cpms_id AND c.study_arm IS NOT DISTINCT FROM t.study_arm AND c.visit_number IS NOT DISTINCT FROM t.visit), t.visit)", 't.edge_key', 't.total')}
+FROM t"""
+
+
+@register("template_arm_keyed")
+def q_template_arm_keyed(spark, sf_dir):
+    """Arm totals with the billing key in the grouping, labels from the cost table."""
+    from ledgerflow.operators.templates import arm_templates_by_key
+    adj = adjusted(spark, sf_dir, stage=True)
+    return arm_templates_by_key(assign_edge_keys(adj), Fixtures(spark, sf_dir).cost)
+
+
 def _late_oracles():
     from ledgerflow.plans.queries_posting import _mixed_price_sql
     from ledgerflow.plans.registry import ORACLES
     ORACLES["mixed_price_audit"] = _mixed_price_sql()
+    ORACLES["template_arm_keyed"] = _arm_keyed_sql()
 
 
 _late_oracles()
