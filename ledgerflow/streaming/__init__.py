@@ -1,0 +1,4 @@
+"""No streaming operators: the source processes one uploaded workbook per
+run and has no streams, watermarks or state.  Incremental loads of the cost
+table go through the keyed upsert (``operators.costs.upsert`` /
+``sinks.files.upsert_cost_table``) as batch jobs."""
