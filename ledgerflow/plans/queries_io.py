@@ -94,8 +94,8 @@ SELECT cpms_id, scenario_id, template_kind, template_name,
 FROM num""")
 def q_safe_sheet_names(spark, sf_dir):
     """K8: collision-free export sheet names per study and scenario."""
-    from ledgerflow.operators.templates import build_all_templates
-    t = build_all_templates(adjusted(spark, sf_dir, stage=True))
+    from ledgerflow.plans.queries_templates import templates_of
+    t = templates_of(adjusted(spark, sf_dir, stage=True))
     names = t.select("cpms_id", "scenario_id", "template_kind", "template_name").distinct()
     return safe_sheet_names(names, name_col="template_name", scope_cols=["cpms_id", "scenario_id"],
                             order_cols=["template_kind", "template_name"])
@@ -136,6 +136,7 @@ def workbook_templates(spark, sf_dir, scenario_id: str | None = "A"):
     allocation -> keys -> templates.  The long rows and the cost table are
     written once (stage tables) because both feed several later stages."""
     from ledgerflow.operators.allocate import adjust_posting_lines
+    from ledgerflow.operators.keys import key_table
     from ledgerflow.operators.templates import build_all_templates
     from ledgerflow.plans.pipeline import posting_plan
     from ledgerflow.plans.queries_posting import rule_tables
@@ -147,7 +148,7 @@ def workbook_templates(spark, sf_dir, scenario_id: str | None = "A"):
     fx = Fixtures(spark, sf_dir)
     plan = posting_plan(long, rule_tables(fx), scenario_id=scenario_id, cost_table=cost)
     adj = materialize(adjust_posting_lines(plan), "grid_adjusted_plan")
-    return build_all_templates(adj)
+    return build_all_templates(adj, keys=materialize(key_table(adj), "grid_key_table"))
 
 
 @register("workbook_templates")

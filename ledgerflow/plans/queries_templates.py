@@ -116,6 +116,12 @@ arm_t AS (
 
 # ---------------------------------------------------------------------------
 
+def templates_of(adj):
+    """All templates from a staged adjusted plan; the key table feeds both
+    template kinds, so it is written once too."""
+    return build_all_templates(adj, keys=materialize(key_table(adj), "key_table"))
+
+
 @register("alloc_dispatch", "SELECT " + ", ".join(_ADJ_COLS) + " FROM (" + ADJ_SQL + ") q")
 def q_alloc_dispatch(spark, sf_dir):
     """W6 + W7: UA/Setup lines balanced per activity row, all others per visit pool."""
@@ -162,7 +168,7 @@ _ALL = _with_keys().rstrip() + ",\n" + _SPECIAL_T + ",\n" + _ARM_T + ",\nallt AS
 @register("template_all", _ALL + "SELECT * FROM allt")
 def q_template_all(spark, sf_dir):
     """C5 end to end: posting plan -> allocation -> keys -> all templates."""
-    return build_all_templates(adjusted(spark, sf_dir, stage=True))
+    return templates_of(adjusted(spark, sf_dir, stage=True))
 
 
 @register("template_counts", _ALL + """
@@ -170,7 +176,7 @@ SELECT cpms_id, scenario_id, COUNT(DISTINCT (template_kind, template_name)) AS n
        COUNT(*) AS n_template_rows, CAST(SUM("Default Cost") AS DECIMAL(18,2)) AS total_default_cost
 FROM allt GROUP BY cpms_id, scenario_id""")
 def q_template_counts(spark, sf_dir):
-    return template_counts(build_all_templates(adjusted(spark, sf_dir, stage=True)))
+    return template_counts(templates_of(adjusted(spark, sf_dir, stage=True)))
 
 
 _KEYED = """keyed AS (
