@@ -91,18 +91,19 @@ def _finish(df: DataFrame, adj_sum: Column, target_adj: Column) -> DataFrame:
 
 def _allocate_window(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*group_cols)
-    base_sum = F.coalesce(F.sum(f"{_P}amt").over(w), F.lit(0)).cast(WIDE_AMOUNT)
-    step1 = (df
-             .withColumn("contract_price", F.min_by(f"{_P}price", f"{_P}ord").over(w))
-             .withColumn("base_sum", base_sum)
-             .withColumn("is_residual_row", F.col(f"{_P}tgt") == F.min(f"{_P}tgt").over(w))
-             .withColumn("multiplier", _multiplier(F.col("contract_price"), F.col("base_sum")))
-             .withColumn("adjusted_amount",
-                         _adjusted(F.col(f"{_P}amt"), F.col("base_sum"), F.col("multiplier"))))
-    step2 = (step1
-             .withColumn(f"{_P}adj_sum", F.sum("adjusted_amount").over(w))
-             .withColumn(f"{_P}tgt_adj",
-                         F.sum(F.when(F.col("is_residual_row"), F.col("adjusted_amount"))).over(w)))
+    # One select per step, so each step is a single Window operator over the
+    # same partitioning (one exchange, one sort for the whole allocation).
+    step1 = df.select(
+        "*",
+        F.min_by(f"{_P}price", f"{_P}ord").over(w).alias("contract_price"),
+        F.coalesce(F.sum(f"{_P}amt").over(w), F.lit(0)).cast(WIDE_AMOUNT).alias("base_sum"),
+        (F.col(f"{_P}tgt") == F.min(f"{_P}tgt").over(w)).alias("is_residual_row"))
+    step1 = (step1.withColumn("multiplier", _multiplier(F.col("contract_price"), F.col("base_sum")))
+             .withColumn("adjusted_amount", _adjusted(F.col(f"{_P}amt"), F.col("base_sum"), F.col("multiplier"))))
+    step2 = step1.select(
+        "*",
+        F.sum("adjusted_amount").over(w).alias(f"{_P}adj_sum"),
+        F.sum(F.when(F.col("is_residual_row"), F.col("adjusted_amount"))).over(w).alias(f"{_P}tgt_adj"))
     return _finish(step2, F.col(f"{_P}adj_sum"), F.col(f"{_P}tgt_adj"))
 
 
