@@ -33,7 +33,7 @@ from ledgerflow.llm import common
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Pre-tokens whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _UNKNOWN = "⁇"
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 U64 = np.uint64
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,10 @@ def workers_import(spark: SparkSession) -> None:
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in parts:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *parts])
+    # Whole texts make heavy rows: where the session has Spark's default of
+    # 10,000 rows an Arrow batch, use fewer, so that workers stay small.
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe
+from ledgerflow.llm import bpe, chat, decontam, langid, licenses, minhash, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_greedy_string_tiling": decontam.documents,
+    "op5_reply_trees": chat.conversations,
+    "op6_fast_similarity_sketch": minhash.documents,
+    "op7_trie_token_counts": tokencount.documents,
+    "op8_license_diagonals": licenses.documents,
+    "op9_language_ecoc": langid.languages,
     "op10_byte_bpe": bpe.digests,
 }
 
