@@ -24,6 +24,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,8 +169,6 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 
 def predict(model: Model, text: Column) -> Column:
     """struct(lang_pred, score, ambiguous) of each text."""
-    import pandas as pd
-
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in parts:

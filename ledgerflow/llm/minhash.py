@@ -68,7 +68,7 @@ def sketches(sets: list[np.ndarray], coords: int = COORDS) -> np.ndarray:
     for r in range(2 * coords):
         if not len(items):
             break
-        h = common.mix(items + np.uint64(r + 1) * np.uint64(0xA24BAED4963EE407))
+        h = common.mix(items + np.uint64((r + 1) * 0xA24BAED4963EE407 & 0xFFFFFFFFFFFFFFFF))
         value = (h >> np.uint64(11)) | (np.uint64(r) << _ROUND_BITS)
         at = (h & np.uint64(0x7FF)).astype(np.int64) * coords >> 11 if r < coords else np.full(len(items), r - coords)
         np.minimum.at(out, owner * coords + at, value)
