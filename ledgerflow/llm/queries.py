@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, chat, decontam, langid, licenses, minhash, tokencount
+from ledgerflow.llm import bpe, chat, decontam, hpylm, langid, licenses, lzprint, mainhtml, minhash, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hpylm": hpylm.documents,
+    "op2_text_density": mainhtml.pages,
+    "op3_lempel_ziv": lzprint.documents,
     "op4_greedy_string_tiling": decontam.documents,
     "op5_reply_trees": chat.conversations,
     "op6_fast_similarity_sketch": minhash.documents,
