@@ -121,6 +121,11 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(acc)
 
 
+def row_uid(id_col: str, text_col: str):
+    """A 64-bit hash of a row's id and text."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+
+
 def crc_mod(column: str, modulus: int):
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

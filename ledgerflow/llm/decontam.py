@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import common
+from ledgerflow.llm.common import row_uid
 
 LEAST = 5
 COVERAGE = 0.6
@@ -94,7 +95,7 @@ def runs_of(docs: DataFrame, seeds: np.ndarray | None, sizes: list[int], id_col:
             yield pa.RecordBatch.from_arrays([b.column("uid").take(rows), b.column("doc_id").take(rows), pa.array(runs, pa.list_(pa.list_(pa.int64()))), pa.array(found, pa.list_(pa.int64()))],
                                              ["uid", "doc_id", "runs", "hits"])
 
-    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(row_uid(id_col, text_col).alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     return common.map_arrow(rows, f"uid long, doc_id {kind}, runs array<array<long>>, hits array<long>", run)
 
@@ -147,7 +148,7 @@ def tiles(runs: list[np.ndarray], item: np.ndarray, least: int) -> list[tuple[in
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
           coverage: float = COVERAGE, sent_seeds: int = SENT_SEEDS) -> DataFrame:
-    """(doc_id, item_id, item_words, covered_words, coverage, n_tiles, longest_tile) of every leak."""
+    """(uid, doc_id, item_id, item_words, covered_words, coverage, n_tiles, longest_tile) of every leak."""
     items = common.stored(item_table(benchmark, item_id, item_text), "items")
     by_seed = items.select("item_id", F.explode("seeds").alias("seed"))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())
@@ -157,10 +158,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     docs_runs = common.stored(docs_runs, "runs") if few else docs_runs
     pairs = docs_runs.select("uid", F.explode("hits").alias("seed")).join(by_seed, "seed").select("uid", "item_id").distinct()
     kinds = dict(docs_runs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
-    both = docs_runs.dropDuplicates(["uid"]).join(pairs, "uid").join(items.select("item_id", "words", "size"), "item_id").select("doc_id", "item_id", "runs", "words", "size")
+    both = docs_runs.dropDuplicates(["uid"]).join(pairs, "uid").join(items.select("item_id", "words", "size"), "item_id").select("uid", "doc_id", "item_id", "runs", "words", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "item_id", "item_words", "covered_words", "coverage", "n_tiles", "longest_tile"]
+        names = ["uid", "doc_id", "item_id", "item_words", "covered_words", "coverage", "n_tiles", "longest_tile"]
         for b in common.slices(batches, 256):
             keep, rest = [], []
             for i, (parts, item, size) in enumerate(zip(b.column("runs").to_pylist(), b.column("words").to_pylist(), b.column("size").to_pylist(), strict=True)):
@@ -172,11 +173,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                     rest.append((len(item), covered, covered / len(item), len(found), max(n for *_, n in found)))
             rows = pa.array(keep, pa.int64())
             cols = list(zip(*rest, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("item_id").take(rows)] + [pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()], strict=True)], names)
+            yield pa.RecordBatch.from_arrays([b.column("uid").take(rows), b.column("doc_id").take(rows), b.column("item_id").take(rows)] + [pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()], strict=True)], names)
 
-    return common.map_arrow(both, f"doc_id {kinds[0]}, item_id {kinds[1]}, item_words long, covered_words long, coverage double, n_tiles long, longest_tile long", run)
+    return common.map_arrow(both, f"uid long, doc_id {kinds[0]}, item_id {kinds[1]}, item_words long, covered_words long, coverage double, n_tiles long, longest_tile long", run)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op4: the benchmark items that leak into documents."""
-    return leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")).drop("uid")
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without those that hold a benchmark item."""
+    found = leaks(docs, benchmark, id_col, text_col).select("uid").distinct()
+    return docs.withColumn("uid", row_uid(id_col, text_col)).join(found, "uid", "left_anti").select(docs.columns)
