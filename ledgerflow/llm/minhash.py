@@ -15,8 +15,9 @@ no band with probability (1 - 0.85**ROWS)**BANDS = 1.4e-9.
 Documents with equal sets form one class, which is sketched and compared
 once.  Within a bucket of the bands, classes are compared with a few pivots
 at a time and those that are connected already are not compared again, so a
-group of thousands of near copies costs one comparison a member.  Rounds go
-on until every bucket holds one component or all its pairs are settled.
+group of thousands of near copies costs a few comparisons a member.  Rounds go
+on until every bucket holds one component or all its pairs are settled.  A
+comparison looks at one bit of each coordinate first.
 
 Defined results: without words (null, empty or white space) a set is empty,
 linked with nothing, and the document is its own component; with one to four
@@ -29,15 +30,17 @@ results.  Sets are held as 64-bit hashes of the shingles, and classes as
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import common
+from ledgerflow.llm.common import row_uid
 
 SHINGLE = 5
 ROWS = 8
@@ -45,8 +48,13 @@ BANDS = 64
 COORDS = ROWS * BANDS
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Pivots of a bucket in every round but the first, which has one.
-PIVOTS = 64
+#: Pivots of a bucket in the rounds; the last number holds for all further rounds.
+PIVOTS = (1, 4, 16, 64)
+#: Pairs of sketches that differ in more than this many of the coordinates'
+#: last bits are not compared: at similarity 0.85 a bit differs with
+#: probability 0.075, and so many of 512 with less than 1e-8.
+MOST_BITS = 78
+_LONGS = COORDS // 64
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROUND_BITS = np.uint64(64 - 11)
 
@@ -89,8 +97,9 @@ def band_keys(grid: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, cls, bands) for every row: set size, hash of the
-    set (null if empty) and band keys.  A task gives the bands of a set once."""
+    """(uid, doc_id, n_shingles, cls, bands, bits) for every row: hash of the
+    id and text, set size, hash of the set (null if empty), band keys and the
+    last bit of each coordinate.  A task gives the bands of a set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = common.WordHashes(), set()
@@ -103,16 +112,19 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                     seen.add(c)
                     fresh.append(i)
             bands: list = [None] * len(sets)
+            bits: list = [None] * len(sets)
             if fresh:
-                for i, k in zip(fresh, band_keys(sketches([sets[i] for i in fresh])).view(np.int64), strict=True):
-                    bands[i] = k
+                grid = sketches([sets[i] for i in fresh])
+                last = np.packbits((grid & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+                for i, k, x in zip(fresh, band_keys(grid).view(np.int64), last, strict=True):
+                    bands[i], bits[i] = k, x
             if len(seen) > 1_000_000:
                 seen.clear()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                                             ["doc_id", "n_shingles", "cls", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                                             ["uid", "doc_id", "n_shingles", "cls", "bands", "bits"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return common.map_arrow(rows, "doc_id long, n_shingles long, cls long, bands array<long>", run)
+    rows = docs.select(row_uid(id_col, text_col).alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return common.map_arrow(rows, "uid long, doc_id long, n_shingles long, cls long, bands array<long>, bits array<long>", run)
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -153,49 +165,58 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
-    """(cls, comp) of all classes that are linked with another; None without any."""
-    banded = rows.where("bands is not null").select("cls", "n_shingles", F.explode("bands").alias("key"))
+def alike(a: str, b: str, size_a: str, size_b: str) -> Column:
+    """Whether two classes can be linked, by their set sizes and sketch bits."""
+    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(_LONGS)), F.lit(0))
+    return (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * PERCENT) & (differ <= MOST_BITS)
+
+
+def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cls, comp) of all classes that are linked with another."""
+    sketched = rows.where("bands is not null")
     bucket = Window.partitionBy("key")
-    first = F.min(F.struct("cls", "n_shingles")).over(bucket)
-    members = banded.select("key", "cls", "n_shingles", first.alias("pivot"), F.max("cls").over(bucket).alias("last")).where("pivot.cls < last")
-    members = common.stored(members.select("key", "cls", "n_shingles", F.col("pivot.cls").alias("pivot"), F.col("pivot.n_shingles").alias("pivot_n")).distinct(), "buckets")
-    sized = F.least("n_shingles", "pivot_n") * 100 >= F.greatest("n_shingles", "pivot_n") * PERCENT
-    pairs = members.where((F.col("cls") != F.col("pivot")) & sized).select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    involved = members.select("cls").distinct()
-    sets = common.stored(full_sets(docs, involved, rows, id_col, text_col), "sets")
-    links = common.stored(confirmed(pairs, sets), "links")
-    label = components(links)
-    rest = members.where("cls != pivot").select("key", "cls", "n_shingles")
-    while True:
-        rest = rest.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        kinds = Window.partitionBy("key")
-        rest = rest.withColumn("lo", F.min("comp").over(kinds)).withColumn("hi", F.max("comp").over(kinds)).where("lo < hi")
-        rest = common.stored(rest.withColumn("place", F.row_number().over(kinds.orderBy("cls"))).select("key", "cls", "n_shingles", "comp", "place"), "open")
-        pivots = rest.where(F.col("place") <= PIVOTS).select("key", F.col("cls").alias("a"), F.col("n_shingles").alias("pivot_n"), F.col("comp").alias("pivot_comp"))
-        pairs = rest.join(pivots, "key").where((F.col("a") < F.col("cls")) & (F.col("comp") != F.col("pivot_comp")) & sized).select("a", F.col("cls").alias("b")).distinct()
-        more = common.stored(confirmed(pairs, sets), "links")
-        if more.limit(1).count():
-            links = links.union(more)
+    banded = sketched.select("cls", F.explode("bands").alias("key"))
+    shared = banded.select("key", "cls", F.min("cls").over(bucket).alias("lo"), F.max("cls").over(bucket).alias("hi")).where("lo < hi").select("key", "cls").distinct()
+    bits = sketched.groupBy("cls", "n_shingles").agg(F.first("bits").alias("bits"))
+    rest = common.stored(shared.join(bits, "cls"), "buckets")
+    sets = common.stored(full_sets(docs, rest.select("cls").distinct(), rows, id_col, text_col), "sets")
+    links = label = None
+    for step in itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1])):
+        known = rest.withColumn("comp", F.col("cls")) if label is None else rest.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        mixed = known.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket)).where("lo < hi")
+        placed = mixed.withColumn("place", F.row_number().over(bucket.orderBy("cls"))).drop("lo", "hi")
+        rest = common.stored(placed, "open")
+        pivots = rest.where(F.col("place") <= step).select("key", F.col("cls").alias("a"), F.col("n_shingles").alias("size_a"), F.col("bits").alias("bits_a"), F.col("comp").alias("comp_a"))
+        pairs = rest.join(pivots, (rest.key == pivots.key) & (F.col("a") < F.col("cls")) & (F.col("comp") != F.col("comp_a")) & alike("bits", "bits_a", "n_shingles", "size_a"))
+        more = common.stored(confirmed(pairs.select("a", F.col("cls").alias("b")).distinct(), sets), "links")
+        if links is None or more.limit(1).count():
+            links = more if links is None else links.union(more)
             label = components(links)
-        rest = rest.where(F.col("place") > PIVOTS).select("key", "cls", "n_shingles")
+        rest = rest.where(F.col("place") > step).select("key", "cls", "n_shingles", "bits")
         if not rest.limit(1).count():
             return label
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row."""
+    """(uid, doc_id, n_shingles, component_id, kept) for every row."""
     rows = common.stored(described(docs, id_col, text_col), "sets-by-row")
     label = similar_classes(rows, docs, id_col, text_col)
     named = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least")) \
         .join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_class = named.select("cls", "comp").join(names, "comp").select("cls", "component_id")
-    out = rows.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
+    out = rows.select("uid", "doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("uid", "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op6: the near-duplicate group of every document."""
-    return groups(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups(common.table(spark, sf_dir, "documents")).drop("uid")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, without those that another of their group stands for and
+    with repeated rows once."""
+    kept = groups(docs, id_col, text_col).where("kept").select("uid").distinct()
+    return docs.withColumn("uid", row_uid(id_col, text_col)).join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select(docs.columns)
