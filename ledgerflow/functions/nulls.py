@@ -8,9 +8,9 @@ stay inside whole-stage code generation.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Whitespace class stripped by the source's trim functions.
@@ -52,21 +52,6 @@ def true_or_false(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def na_text(c: str | Column) -> Column:
-    """Text pasting renders a missing value as ``NA``."""
-    return F.coalesce(col(c).cast("string"), F.lit("NA"))
-
-
-def sum0(c: str | Column) -> Column:
-    """Sum ignoring NULLs, 0 when every value is NULL."""
-    return F.coalesce(F.sum(col(c)), F.lit(0))
-
-
-def parse_number(c: str | Column, dtype: str = "double") -> Column:
-    """Text to number; garbage gives NULL instead of an error (ANSI-safe)."""
-    return col(c).try_cast(dtype)
-
-
 def parse_currency(c: str | Column) -> Column:
     """Keep only digits and dots, then parse (``£1,234.50`` -> 1234.50).
 
@@ -79,16 +64,3 @@ def parse_currency(c: str | Column) -> Column:
 def round_even(c: str | Column, scale: int) -> Column:
     """Half-to-even rounding on an exact decimal value."""
     return F.bround(col(c), scale)
-
-
-def money(c: str | Column) -> Column:
-    return col(c).cast(MONEY)
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Join condition where NULL matches NULL on every key pair."""
-    cond = None
-    for lk, rk in pairs:
-        c = left[lk].eqNullSafe(right[rk])
-        cond = c if cond is None else cond & c
-    return cond

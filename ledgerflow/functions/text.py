@@ -30,16 +30,3 @@ def sheet_safe(c: str | Column) -> Column:
 
 def dots_to_spaces(c: str | Column) -> Column:
     return F.regexp_replace(col(c), r"\.", " ")
-
-
-def clean_header(c: str | Column) -> Column:
-    """Syntactic name of one header cell, before de-duplication.
-
-    Invalid characters become dots; a name that does not start with a letter,
-    or with a dot not followed by a digit, gets an ``X`` prefix; a missing
-    cell becomes ``NA.``... the source renders a missing header as ``NA``.
-    """
-    raw = F.coalesce(col(c), F.lit("NA"))
-    dotted = F.regexp_replace(raw, r"[^A-Za-z0-9._]", ".")
-    needs_prefix = (dotted == "") | ~dotted.rlike(r"^([A-Za-z]|[.]([^0-9]|$))")
-    return F.when(needs_prefix, F.concat(F.lit("X"), dotted)).otherwise(dotted)

@@ -7,17 +7,17 @@ Per group ``g`` of posting lines, ordered by ``order_cols`` then line type:
     multiplier     = NULL if base_sum = 0 else contract_price / base_sum
     adjusted       = 0 if base_sum = 0 else round_half_even(amount * multiplier, 2)
     residual       = round(contract_price - sum(adjusted), 2)
-    target row     = first DIRECT line, else first line
+    target row     = first DIRECT line, else first line; exactly one line,
+                     among equal keys one with the least amount
     adjusted[target] += residual
-    adjusted_sum_check, diff_check reconcile the group (0 when balanced)
+    adjusted_sum_check = sum(final adjusted), diff_check = price - that sum
 
 Two physical strategies compute the same result:
 
 ``method="window"``
-    unordered window aggregates over one partition spec: one shuffle of the
-    lines on the group key, one sort, no per-row order needed because the
-    "first" price and the target row are picked with ``min_by``/``min`` of a
-    struct.  Best when no group is huge.
+    window aggregates over one partition spec: one shuffle of the lines on
+    the group key and one sort.  For groups that stay small whatever the
+    data's size (the lines of one order, say).
 
 ``method="agg"`` (skew-safe)
     group statistics come from partial (map-side) aggregates, then are
@@ -25,8 +25,8 @@ Two physical strategies compute the same result:
     lines are split into ``ceil(n / rows_per_task)`` salt buckets and their
     statistics row is replicated once per bucket, so a group holding a third
     of all lines is spread over many tasks instead of one.  The list of hot
-    groups has at most ``total_lines / rows_per_task`` rows, which bounds the
-    one broadcast it needs.
+    groups is joined without a hint: Spark broadcasts it when its measured
+    size allows and shuffles it otherwise.
 """
 
 from __future__ import annotations
@@ -74,37 +74,36 @@ def _multiplier(price: Column, base_sum: Column) -> Column:
         .otherwise(price.cast("double") / base_sum.cast("double"))
 
 
-def _finish(df: DataFrame, adj_sum: Column, target_adj: Column) -> DataFrame:
-    """Residual, target update and reconciliation from group sums of ``adjusted``."""
-    price = F.col("contract_price")
-    residual = F.bround(price - F.coalesce(adj_sum, F.lit(0)), 2).cast(MONEY)
-    new_target = F.bround(target_adj + residual, 2).cast(MONEY)
-    check = F.bround(F.coalesce(adj_sum, F.lit(0)) - F.coalesce(target_adj, F.lit(0))
-                     + F.coalesce(new_target, F.lit(0)), 2).cast(MONEY)
-    return (df
-            .withColumn("residual", residual)
-            .withColumn("adjusted_amount",
-                        F.when(F.col("is_residual_row"), new_target).otherwise(F.col("adjusted_amount")))
-            .withColumn("adjusted_sum_check", check)
-            .withColumn("diff_check", F.bround(price - F.col("adjusted_sum_check"), 2).cast(MONEY)))
+def _pick_one(candidate: Column, *partition: str) -> Column:
+    """True on exactly one of the candidate lines with equal keys."""
+    ties = Window.partitionBy(*partition, candidate).orderBy(f"{_P}ord", F.col(f"{_P}amt").asc_nulls_last())
+    return candidate & (F.row_number().over(ties) == 1)
 
 
 def _allocate_window(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*group_cols)
+    first = w.orderBy(f"{_P}tgt", F.col(f"{_P}amt").asc_nulls_last())
     # One select per step, so each step is a single Window operator over the
-    # same partitioning (one exchange, one sort for the whole allocation).
-    step1 = df.select(
+    # same partitioning (one exchange for the whole allocation).
+    step1 = df.select("*", (F.row_number().over(first) == 1).alias("is_residual_row"))
+    step1 = step1.select(
         "*",
         F.min_by(f"{_P}price", f"{_P}ord").over(w).alias("contract_price"),
-        F.coalesce(F.sum(f"{_P}amt").over(w), F.lit(0)).cast(WIDE_AMOUNT).alias("base_sum"),
-        (F.col(f"{_P}tgt") == F.min(f"{_P}tgt").over(w)).alias("is_residual_row"))
+        F.coalesce(F.sum(f"{_P}amt").over(w), F.lit(0)).cast(WIDE_AMOUNT).alias("base_sum"))
     step1 = (step1.withColumn("multiplier", _multiplier(F.col("contract_price"), F.col("base_sum")))
              .withColumn("adjusted_amount", _adjusted(F.col(f"{_P}amt"), F.col("base_sum"), F.col("multiplier"))))
-    step2 = step1.select(
-        "*",
-        F.sum("adjusted_amount").over(w).alias(f"{_P}adj_sum"),
-        F.sum(F.when(F.col("is_residual_row"), F.col("adjusted_amount"))).over(w).alias(f"{_P}tgt_adj"))
-    return _finish(step2, F.col(f"{_P}adj_sum"), F.col(f"{_P}tgt_adj"))
+    step2 = step1.select("*", F.sum("adjusted_amount").over(w).alias(f"{_P}adj_sum"))
+    residual = F.bround(F.col("contract_price") - F.coalesce(f"{_P}adj_sum", F.lit(0)), 2).cast(MONEY)
+    step2 = (step2.withColumn("residual", residual)
+             .withColumn("adjusted_amount", F.when(F.col("is_residual_row"), F.bround(F.col("adjusted_amount") + F.col("residual"), 2).cast(MONEY))
+                         .otherwise(F.col("adjusted_amount"))))
+    return _checked(step2.select("*", F.sum("adjusted_amount").over(w).alias(f"{_P}final")))
+
+
+def _checked(df: DataFrame) -> DataFrame:
+    """Reconciliation from the sum of a group's final amounts."""
+    return (df.withColumn("adjusted_sum_check", F.bround(F.coalesce(f"{_P}final", F.lit(0)), 2).cast(MONEY))
+            .withColumn("diff_check", F.bround(F.col("contract_price") - F.col("adjusted_sum_check"), 2).cast(MONEY)))
 
 
 def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int) -> DataFrame:
@@ -118,11 +117,10 @@ def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int)
         F.min(f"{_P}tgt").alias(f"{_P}tgt_key"))
         .withColumn(f"{_P}nsalt", F.greatest(F.lit(1), F.ceil(F.col(f"{_P}n") / F.lit(rows_per_task)))
                     .cast("int")))
-    # 2. Hot groups only: at most total_lines / rows_per_task rows, so the
-    #    broadcast is bounded by construction.
+    # 2. Hot groups only: at most total_lines / rows_per_task rows.
     hot = stats.filter(F.col(f"{_P}nsalt") > 1).select(*g, F.col(f"{_P}nsalt").alias(f"{_P}hot"))
     salt_key = F.xxhash64(f"{_P}ord")
-    lines = (join_null_safe(df, F.broadcast(hot), g, "left")
+    lines = (join_null_safe(df, hot, g, "left")
              .withColumn(f"{_P}salt", F.pmod(salt_key, F.coalesce(F.col(f"{_P}hot"), F.lit(1))).cast("int"))
              .drop(f"{_P}hot"))
     # 3. Replicate each statistics row once per salt bucket of its group.
@@ -132,9 +130,12 @@ def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int)
                .drop(f"{_P}n"))
     keys = g + [f"{_P}salt"]
     joined = (join_null_safe(lines, stats_s, keys, "inner")
-              .withColumn("is_residual_row", F.col(f"{_P}tgt") == F.col(f"{_P}tgt_key"))
               .withColumn("adjusted_amount",
-                          _adjusted(F.col(f"{_P}amt"), F.col("base_sum"), F.col("multiplier"))))
+                          _adjusted(F.col(f"{_P}amt"), F.col("base_sum"), F.col("multiplier")))
+              .withColumn(f"{_P}cand", F.col(f"{_P}tgt") == F.col(f"{_P}tgt_key")))
+    # Lines with equal order keys share a salt, so the candidates of a group
+    # are numbered where they are.
+    joined = joined.withColumn("is_residual_row", _pick_one(F.col(f"{_P}cand"), *keys))
     # 4. Sums of the rounded amounts: again partial aggregates, then one row
     #    per group, replicated per salt bucket and joined back co-partitioned.
     sums = (joined.groupBy(*g).agg(
@@ -144,11 +145,22 @@ def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int)
         .withColumn(f"{_P}salt", F.explode(F.sequence(F.lit(0), F.col(f"{_P}ns2") - 1)))
         .drop(f"{_P}ns2"))
     back = join_null_safe(joined, sums, keys, "inner")
-    return _finish(back, F.col(f"{_P}adj_sum"), F.col(f"{_P}tgt_adj"))
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on ``keys`` where NULL matches NULL; keeps the left key columns only."""
+    residual = F.bround(F.col("contract_price") - F.coalesce(f"{_P}adj_sum", F.lit(0)), 2).cast(MONEY)
+    final = F.when(F.col("is_residual_row"), F.bround(F.col("adjusted_amount") + F.col("residual"), 2).cast(MONEY)).otherwise(F.col("adjusted_amount"))
+    # The group's final sum: its rounded sum, with the one target line exchanged.
+    changed = F.bround(F.col(f"{_P}tgt_adj") + F.col("residual"), 2).cast(MONEY)
+    total = F.coalesce(f"{_P}adj_sum", F.lit(0)) - F.coalesce(f"{_P}tgt_adj", F.lit(0)) + F.coalesce(changed, F.lit(0))
+    back = back.withColumn("residual", residual).withColumn("adjusted_amount", final)
+    return _checked(back.withColumn(f"{_P}final", total))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, nulls: bool = True) -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL; keeps the left key columns only.
+
+    ``nulls=False`` is for keys that are never NULL: plain equality, which can
+    use a partitioning that the keys already have."""
+    if not nulls:
+        return left.join(right, on=list(keys), how=how)
     renamed = right
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"{_P}r_{k}")
@@ -205,13 +217,14 @@ def with_alloc_key(df: DataFrame, *, sheet_col: str = "sheet_name", arm_col: str
                                     F.lit(None).cast("string").alias("c")))))
 
 
-def adjust_posting_lines(plan: DataFrame, *, study_col: str = "cpms_id", method: str = "window",
+def adjust_posting_lines(plan: DataFrame, *, study_col: str = "cpms_id", method: str = "agg",
                          rows_per_task: int = 2_000_000, order_cols: Sequence[str] = ("row_id",),
                          grain: str = "sheet") -> DataFrame:
     """Allocation of a posting plan, grouped the way each sheet class needs.
 
     ``grain="sheet"`` is the live grouping; ``grain="row"`` balances every
-    source row alone per scenario (the older grouping).
+    source row alone per scenario (the older grouping).  Pools of a visit
+    grow with the data, so the splitting method is the default.
     """
     if grain == "row":
         return allocate(plan, group_cols=[study_col, "scenario_id", "row_id"], order_cols=list(order_cols),

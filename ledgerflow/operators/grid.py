@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.nulls import blank_to_null, is_in, trim_ws, true_or_false
-from ledgerflow.functions.text import visit_number
 from ledgerflow.operators.allocate import join_null_safe
+from ledgerflow.operators.quality import fail_if_any
 from ledgerflow.operators.sequence import DEFAULT_BUCKET, dense_sequence, fill_forward, row_bucket
 
 SHEET = ["workbook_id", "sheet_name"]
@@ -99,11 +99,18 @@ def syntactic_name(raw: Column) -> Column:
 
 
 def unique_names(bases: Column) -> Column:
-    """make-unique over an array: the k-th repeat of a name gets ``.k``."""
-    def one(b, i):
-        k = F.size(F.filter(F.slice(bases, 1, i), lambda x: x == b))
-        return F.when(k == 0, b).otherwise(F.concat(b, F.lit("."), k.cast("string")))
-    return F.transform(bases, one)
+    """make-unique over an array: a name's first place keeps it; each repeat
+    gets the least ``.k`` that no other name has."""
+    def one(done, i):
+        name = F.element_at(bases, i)
+        repeat = F.array_contains(F.slice(bases, 1, i - 1), name)
+        suffixed = F.transform(F.sequence(F.lit(1), F.size(bases)), lambda k: F.concat(name, F.lit("."), k.cast("string")))
+        free = F.filter(suffixed, lambda x: ~F.array_contains(bases, x) & ~F.array_contains(done, x))
+        return F.array_append(done, F.when(repeat, F.element_at(free, 1)).otherwise(name))
+
+    empty = F.array().cast("array<string>")
+    places = F.when(F.size(bases) > 0, F.sequence(F.lit(1), F.size(bases))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, empty, one)
 
 
 def with_names(headers: DataFrame) -> DataFrame:
@@ -155,13 +162,23 @@ def sheet_layout(grid: DataFrame) -> DataFrame:
             .withColumn("first_name", F.element_at("names", 1)))
 
 
+def rejected_sheets(grid: DataFrame, layout: DataFrame | None = None) -> DataFrame:
+    """(workbook, sheet, reason) of every sheet that gives no table: no header
+    row, or a header without usable cost columns."""
+    layout = sheet_layout(grid) if layout is None else layout
+    known = layout.select(*SHEET, "layout_error", F.lit(True).alias("_header"))
+    sheets = join_null_safe(grid.select(*SHEET).distinct(), known, SHEET, "left")
+    reason = F.when(F.col("_header").isNull(), F.lit("no header row")).otherwise(F.col("layout_error"))
+    return sheets.select(*SHEET, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def sheet_table(grid: DataFrame, layout: DataFrame) -> DataFrame:
     """P2 cut + named fields: rows after the first header of sheets with a
     valid layout, with the fixed columns and the visit marks as an array."""
     lay = layout.filter(F.col("layout_error").isNull()).select(
         *SHEET, "sheet_pos", "header_row", "pos_activity", "pos_type", "pos_department", "pos_role", "pos_cost",
         "pos_total", "n_visits", "first_name", "study_name", "cpms_id")
-    rows = join_null_safe(grid.drop("sheet_pos"), lay, SHEET, "inner").filter(F.col("row_idx") > F.col("header_row"))
+    rows = join_null_safe(grid.drop("sheet_pos"), lay, SHEET, "inner", nulls=False).filter(F.col("row_idx") > F.col("header_row"))
 
     def at(p: str) -> Column:
         return F.when(F.col(p) > 0, cell(F.col(p)))
@@ -188,7 +205,7 @@ def with_flags(table: DataFrame, bucket_size: int = DEFAULT_BUCKET) -> DataFrame
     included); rows before any marker take the sheet's default."""
     marked = table.withColumn("_marker", F.when(is_in("first_cell", FLAG_MARKERS), F.col("first_cell")))
     filled = fill_forward(marked, partition_cols=SHEET, order_col="row_idx", value_col="_marker",
-                          out_col="_ff", bucket_size=bucket_size)
+                          out_col="_ff", bucket_size=bucket_size, nulls=False)
     return (filled.withColumn("flag", F.coalesce("_ff", default_flag(F.col("sheet_name"))))
             .drop("_marker", "_ff"))
 
@@ -205,7 +222,7 @@ def with_staff_group(clean: DataFrame, bucket_size: int = DEFAULT_BUCKET) -> Dat
     """1, 2, ... for repeats of the same activity under the same flag, per sheet."""
     b = clean.withColumn("_b", row_bucket("row_idx", bucket_size))
     out = dense_sequence(b, partition_cols=SHEET + ["activity", "flag"], order_cols=["row_idx"],
-                         bucket_col="_b", out_col="staff_group")
+                         bucket_col="_b", out_col="staff_group", nulls=False)
     return out.withColumn("staff_group", F.col("staff_group").cast("int")).drop("_b")
 
 
@@ -221,24 +238,33 @@ def numeric_marks(c: str = "marks") -> Column:
     return F.transform(F.col(c), coerce_mark)
 
 
-def visit_label_of(pos1: Column) -> Column:
-    return visit_number(pos1)
+def stage_tables(grid: DataFrame, stage: bool = True, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(layout, raw table rows).  The layout has one row per sheet.
 
+    ``strict`` fails when a sheet has a header but no usable cost columns, as
+    its rows would be left out; otherwise see ``rejected_sheets``.  With
+    ``stage`` both are written once, as several steps read them."""
+    from ledgerflow.sources.stage import materialize
 
-def stage_a(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, stage: bool = True):
+    layout = sheet_layout(grid)
+    layout = materialize(layout, "grid_layout") if stage else layout
+    if strict:
+        fail_if_any(layout.filter(F.col("layout_error").isNotNull()).select(*SHEET, "layout_error"), "sheets without usable cost columns")
+    table = sheet_table(grid, layout)
+    return layout, materialize(table, "grid_table") if stage else table
+
+
+def stage_a(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, stage: bool = True, strict: bool = True,
+            staff_groups: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(layout, raw table rows, cleaned rows with flags and staff groups).
 
-    With ``stage=True`` each of the three is written once as a stage table:
-    each feeds several later steps (and the bucketed primitives read their
-    input twice), so without it the scans and joins upstream would be
-    recomputed for every consumer.
-    """
+    Steps that do not look at staff groups leave them out: their numbering
+    is another pass over the rows, and only its readers share the result."""
     from ledgerflow.sources.stage import materialize
 
-    def keep(df, name):
-        return materialize(df, name) if stage else df
-
-    layout = keep(sheet_layout(grid), "grid_layout")
-    table = keep(sheet_table(grid, layout), "grid_table")
-    clean = keep(with_staff_group(clean_rows(with_flags(table, bucket_size)), bucket_size), "grid_clean")
+    layout, table = stage_tables(grid, stage, strict)
+    clean = clean_rows(with_flags(table, bucket_size))
+    if staff_groups:
+        clean = with_staff_group(clean, bucket_size)
+        clean = materialize(clean, "grid_clean") if stage else clean
     return layout, table, clean

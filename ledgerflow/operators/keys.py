@@ -32,16 +32,17 @@ MAIN_KEY = ("study_arm", "visit")
 
 
 def dense_sequence(df: DataFrame, *, partition_cols: Sequence[str], order_cols: Sequence[str],
-                   bucket_col: str, out_col: str) -> DataFrame:
+                   bucket_col: str, out_col: str, nulls: bool = True) -> DataFrame:
     """1..n per partition in ``order_cols`` order; ``bucket_col`` must be a
-    coarse, order-preserving function of the order (a prefix of it)."""
+    coarse, order-preserving function of the order (a prefix of it).
+    ``nulls=False``: partition and bucket columns are never NULL."""
     p = list(partition_cols)
     local = df.withColumn(
         "__local", F.row_number().over(Window.partitionBy(*p, bucket_col).orderBy(*order_cols)))
     counts = df.groupBy(*p, bucket_col).agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*p).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
-    return (join_null_safe(local, offsets, p + [bucket_col], "inner")
+    return (join_null_safe(local, offsets, p + [bucket_col], "inner", nulls)
             .withColumn(out_col, (F.col("__off") + F.col("__local")).cast("long"))
             .drop("__off", "__local"))
 

@@ -12,14 +12,15 @@ from ledgerflow.functions.nulls import MONEY
 
 
 def balance_audit(adjusted: DataFrame, *, study_cols: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
-    """Per study: groups, unbalanced groups (diff_check not 0), money totals.
+    """Per study: groups, unbalanced groups (the summed adjusted amounts are
+    not the group's price), money totals.
 
     Two-stage aggregate (group, then study) so every step combines map-side.
     """
     per_group = adjusted.groupBy(*study_cols, *group_cols).agg(
-        F.max(F.col("diff_check").isNull() | (F.col("diff_check") != 0)).alias("unbalanced"),
         F.sum("adjusted_amount").alias("adj"),
-        F.max(F.when(F.col("is_residual_row"), F.col("contract_price"))).alias("price"))
+        F.max("contract_price").alias("price"))
+    per_group = per_group.withColumn("unbalanced", F.col("price").isNull() | (F.coalesce("adj", F.lit(0)) != F.col("price")))
     return per_group.groupBy(*study_cols).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.count(F.when(F.col("unbalanced"), 1)).alias("n_unbalanced"),

@@ -28,8 +28,9 @@ def row_bucket(order_col: str | Column, bucket_size: int = DEFAULT_BUCKET) -> Co
 
 
 def fill_forward(df: DataFrame, *, partition_cols: Sequence[str], order_col: str, value_col: str,
-                 out_col: str, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
-    """Last non-NULL ``value_col`` at or before each row, per partition.
+                 out_col: str, bucket_size: int = DEFAULT_BUCKET, nulls: bool = True) -> DataFrame:
+    """Last non-NULL ``value_col`` at or before each row, per partition
+    (``nulls=False``: partition and order columns are never NULL).
 
     Inside a bucket a running ``last(ignorenulls)`` window; across buckets
     the last value of every earlier bucket, carried by a window over the
@@ -45,6 +46,6 @@ def fill_forward(df: DataFrame, *, partition_cols: Sequence[str], order_col: str
                        .alias("__ff_last")))
     before = Window.partitionBy(*p).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.withColumn("__ff_in", F.last("__ff_last", ignorenulls=True).over(before)).drop("__ff_last")
-    return (join_null_safe(local, carry, p + [b], "left")
+    return (join_null_safe(local, carry, p + [b], "left", nulls)
             .withColumn(out_col, F.coalesce("__ff_local", "__ff_in"))
             .drop("__ff_local", "__ff_in", b))

@@ -29,9 +29,13 @@ class RuleTables:
 def posting_plan(rows: DataFrame, rules: RuleTables, *, scenario_id: str | None = None,
                  ruleset_id: str = DEFAULT_RULESET, mff_rate: float = DEFAULT_MFF_RATE,
                  cost_table: DataFrame | None = None, with_costs: bool = True,
-                 compat: bool = False, strict: bool = False) -> DataFrame:
+                 compat: bool = False, strict: bool = True) -> DataFrame:
     """Long posting plan.  The cost join runs on source rows, before the
-    rule join multiplies them into lines (and scenarios)."""
+    rule join multiplies them into lines (and scenarios).
+
+    ``strict`` (the default) fails on line types without a price, listed twice
+    in the amount map or without a route; without it such lines keep NULLs,
+    which the audits of ``operators.rules`` report."""
     ctx = classify_rows(rows, ruleset_id=ruleset_id)
     if with_costs:
         ctx = join_ict_costs(ctx, cost_table, compat=compat)
@@ -41,5 +45,5 @@ def posting_plan(rows: DataFrame, rules: RuleTables, *, scenario_id: str | None
     return select_output_cols(resolve_entities(routed))
 
 
-def adjusted_plan(plan: DataFrame, *, method: str = "window", rows_per_task: int = 2_000_000) -> DataFrame:
+def adjusted_plan(plan: DataFrame, *, method: str = "agg", rows_per_task: int = 2_000_000) -> DataFrame:
     return adjust_posting_lines(plan, method=method, rows_per_task=rows_per_task)

@@ -78,14 +78,16 @@ def alloc_oracle(lines_cte: str, group: list[str], order: list[str], src: str =
 g AS (
   SELECT {gk},
          CAST(COALESCE(SUM(posting_amount), 0) AS DECIMAL(28,6)) AS base_sum,
-         CAST(round_even(arg_min_null(CAST(contract_cost AS DECIMAL(20,6)), {ordt}), 0) AS DECIMAL(18,2)) AS contract_price,
-         arg_min({ordt}, {tgt_ord}) AS tgt
+         CAST(round_even(arg_min_null(CAST(contract_cost AS DECIMAL(20,6)), {ordt}), 0) AS DECIMAL(18,2)) AS contract_price
   FROM {src} GROUP BY {gk}),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY {gk} ORDER BY {tgt_ord}, posting_amount NULLS LAST) = 1 AS is_residual_row
+  FROM {src}),
 a AS (
-  SELECT l.*, g.contract_price, g.base_sum,
+  SELECT l.* EXCLUDE (is_residual_row), g.contract_price, g.base_sum,
          CASE WHEN g.base_sum = 0 THEN NULL ELSE CAST(g.contract_price AS DOUBLE) / CAST(g.base_sum AS DOUBLE) END AS multiplier,
-         {ordt.replace('(', '(l.', 1).replace(', ', ', l.')} = g.tgt AS is_residual_row
-  FROM {src} l JOIN g ON {join_on}),
+         l.is_residual_row
+  FROM numbered l JOIN g ON {join_on}),
 b AS (
   SELECT *, CASE WHEN base_sum = 0 THEN CAST(0 AS DECIMAL(18,2))
                  ELSE CAST(round_even(CAST(CAST(posting_amount AS DOUBLE) * multiplier AS DECIMAL(18,6)), 2) AS DECIMAL(18,2)) END AS adj0
@@ -156,6 +158,38 @@ def balance_audit(spark, sf_dir):
     return audit(out, study_cols=["o_custkey"], group_cols=["l_orderkey"])
 
 
+# ---------------------------------------------------------------------------
+# Ties: the line number is left out of the order and every line is equal in
+# its keys to the other lines of its order, part and type.
+TIED_GROUP = ["o_custkey"]
+TIED_ORDER = ["l_orderkey"]
+_TIED_LINES = """lines AS (
+  SELECT o_custkey, l_orderkey, l_linenumber, """ + LINE_TYPE_SQL + """ AS posting_line_type_id,
+         CAST(100 AS DECIMAL(18,6)) AS posting_amount, o_totalprice AS contract_cost
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+_TIED_SQL = f"""SELECT o_custkey, l_orderkey, posting_line_type_id, adjusted_amount, residual, adjusted_sum_check, diff_check,
+       CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(SUM(CASE WHEN is_residual_row THEN 1 ELSE 0 END) AS BIGINT) AS n_residual
+FROM ({alloc_oracle(_TIED_LINES, TIED_GROUP, TIED_ORDER)}) q GROUP BY ALL"""
+
+
+def _tied(spark, sf_dir, method) -> DataFrame:
+    lines = order_lines(spark, sf_dir).withColumn("posting_amount", F.lit(100).cast(AMOUNT))
+    out = allocate(lines, group_cols=TIED_GROUP, order_cols=TIED_ORDER, method=method)
+    return out.groupBy("o_custkey", "l_orderkey", "posting_line_type_id", "adjusted_amount", "residual", "adjusted_sum_check", "diff_check").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("is_residual_row").cast("long")).alias("n_residual"))
+
+
+@register("alloc_tied_lines", _TIED_SQL)
+def alloc_tied_lines(spark, sf_dir):
+    """Lines that tie on every order key: one of them takes the residual."""
+    return _tied(spark, sf_dir, "window")
+
+
+@register("alloc_tied_lines_agg", _TIED_SQL)
+def alloc_tied_lines_agg(spark, sf_dir):
+    return _tied(spark, sf_dir, "agg")
+
+
 # ---------------------------------------------------------------------------
 # Skew: every line of a finished order (status F, about half of all lines)
 # falls into ONE allocation group; the others stay one group per order.

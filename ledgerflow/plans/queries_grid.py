@@ -19,8 +19,8 @@ def grid_df(spark, sf_dir):
     return Fixtures(spark, sf_dir).grid.withColumnRenamed("cpms_id", "workbook_id")
 
 
-def _stage_a(spark, sf_dir):
-    return grid.stage_a(grid_df(spark, sf_dir))
+def _stage_a(spark, sf_dir, **kw):
+    return grid.stage_a(grid_df(spark, sf_dir), **kw)
 
 
 def _stage_b(spark, sf_dir):
@@ -54,11 +54,14 @@ hb AS (
                                   THEN COALESCE(header, 'NA') ELSE 'X' || COALESCE(header, 'NA') END,
                              '[^A-Za-z0-9._]', '.', 'g') AS d
     FROM hcell) x),
+free AS (
+  SELECT x.workbook_id, x.sheet_name, x.base, x.name, row_number() OVER (PARTITION BY x.workbook_id, x.sheet_name, x.base ORDER BY x.i) AS place
+  FROM (SELECT DISTINCT workbook_id, sheet_name, base, i, base || '.' || CAST(i AS VARCHAR) AS name FROM hb, range(1, 40) r(i)) x
+  WHERE NOT EXISTS (SELECT 1 FROM hb b WHERE b.workbook_id = x.workbook_id AND b.sheet_name = x.sheet_name AND b.base = x.name)),
 hn AS (
-  SELECT a.workbook_id, a.sheet_name, a.col_pos, a.header,
-         CASE WHEN k = 0 THEN a.base ELSE a.base || '.' || CAST(k AS VARCHAR) END AS name
-  FROM (SELECT a.*, (SELECT COUNT(*) FROM hb b WHERE b.workbook_id = a.workbook_id AND b.sheet_name = a.sheet_name
-                     AND b.base = a.base AND b.col_pos < a.col_pos) AS k FROM hb a) a)"""
+  SELECT a.workbook_id, a.sheet_name, a.col_pos, a.header, COALESCE(f.name, a.base) AS name
+  FROM (SELECT *, row_number() OVER (PARTITION BY workbook_id, sheet_name, base ORDER BY col_pos) - 1 AS k FROM hb) a
+  LEFT JOIN free f ON f.workbook_id = a.workbook_id AND f.sheet_name = a.sheet_name AND f.base = a.base AND f.place = a.k)"""
 O_LAY = """lay0 AS (
   SELECT h.workbook_id, h.sheet_name, h.header_row, list(n.name ORDER BY n.col_pos) AS names
   FROM hdr h JOIN hn n ON n.workbook_id = h.workbook_id AND n.sheet_name = h.sheet_name
@@ -198,6 +201,25 @@ def q_kv_metadata(spark, sf_dir):
     return grid.sheet_metadata(grid_df(spark, sf_dir))
 
 
+def spoiled(g):
+    """The grid with 'Activity Cost' misspelt in sheets 'Arm B' and without the header row in 'Pharmacy' sheets."""
+    fixed = F.transform("cells", lambda c: F.when((c == "Activity Cost") & (F.col("sheet_name") == "Arm B"), F.lit("Activity cost")).otherwise(c))
+    return g.withColumn("cells", fixed).filter(~((F.col("sheet_name") == "Pharmacy") & (F.col("row_idx") == 4)))
+
+
+@register("rejected_sheets", duckdb_ctes("fx_grid").rstrip() + """,
+b AS (SELECT cpms_id AS workbook_id, sheet_name, row_idx,
+             CASE WHEN sheet_name = 'Arm B' THEN list_transform(cells, lambda c: CASE WHEN c = 'Activity Cost' THEN 'Activity cost' ELSE c END) ELSE cells END AS cells
+      FROM fx_grid WHERE NOT (sheet_name = 'Pharmacy' AND row_idx = 4)),
+h AS (SELECT workbook_id, sheet_name, arg_min(cells, row_idx) FILTER (WHERE list_contains(cells, 'Activity') AND list_contains(cells, 'Activity Type')
+             AND list_contains(cells, 'Department')) AS hc FROM b GROUP BY workbook_id, sheet_name)
+SELECT workbook_id, sheet_name, CASE WHEN hc IS NULL THEN 'no header row' ELSE 'missing column Activity.Cost' END AS reason
+FROM h WHERE hc IS NULL OR NOT list_contains(hc, 'Activity Cost')""")
+def q_rejected_sheets(spark, sf_dir):
+    """Sheets whose rows no stage can use, with the reason."""
+    return grid.rejected_sheets(spoiled(grid_df(spark, sf_dir)))
+
+
 @register("header_rows", duckdb_ctes("fx_grid").rstrip() + ",\n" + O_G + """
 SELECT workbook_id, sheet_name, row_idx FROM g
 WHERE list_contains(cells, 'Activity') AND list_contains(cells, 'Activity Type') AND list_contains(cells, 'Department')""")
@@ -208,7 +230,7 @@ def q_header_rows(spark, sf_dir):
 @register("section_cut", o_stage_a() + "SELECT workbook_id, sheet_name, row_idx, first_cell FROM tbl")
 def q_section_cut(spark, sf_dir):
     """Rows after the first header row of each sheet (the table body)."""
-    _, table, _ = _stage_a(spark, sf_dir)
+    _, table = grid.stage_tables(grid_df(spark, sf_dir), stage=False, strict=False)
     return table.select("workbook_id", "sheet_name", "row_idx", "first_cell")
 
 
@@ -262,7 +284,7 @@ FROM sg, range(1, len(marks) + 1) r(i)""")
 def q_mark_coerce(spark, sf_dir):
     """P8 + P9: marks of cleaned rows as numbers, visits renumbered."""
     from ledgerflow.functions.text import visit_number
-    _, _, clean = _stage_a(spark, sf_dir)
+    _, _, clean = _stage_a(spark, sf_dir, staff_groups=False)
     ex = clean.select("workbook_id", "sheet_name", "row_idx", F.posexplode(grid.numeric_marks()).alias("p0", "mark"))
     return ex.select("workbook_id", "sheet_name", "row_idx", visit_number(F.col("p0") + 1).alias("visit"), "mark")
 
@@ -272,7 +294,7 @@ def q_mark_coerce(spark, sf_dir):
 
 @register("summary_transpose", o_stage_a().rstrip() + ",\n" + O_SUMMARY + "\nSELECT * FROM summary")
 def q_summary_transpose(spark, sf_dir):
-    layout, table, _ = _stage_a(spark, sf_dir)
+    layout, table = grid.stage_tables(grid_df(spark, sf_dir))
     return costs.summary_costs(table, layout)
 
 
@@ -291,7 +313,7 @@ _B = o_stage_a().rstrip() + ",\n" + O_STAGE_B + "\n"
 @register("reroute_sheets", _B + """
 SELECT workbook_id, source_sheet, row_idx, flag, department, target_sheet AS sheet_name, is_moved FROM routed2""")
 def q_reroute_sheets(spark, sf_dir):
-    layout, table, clean = _stage_a(spark, sf_dir)
+    layout, table, clean = _stage_a(spark, sf_dir, staff_groups=False)
     routed = longform.reroute(clean, longform.workbook_has_ua(table))
     return routed.select("workbook_id", "source_sheet", "row_idx", "flag", "department",
                          F.col("target_sheet").alias("sheet_name"), "is_moved")
@@ -306,7 +328,7 @@ _LONG_SQL = ("workbook_id, target_sheet AS sheet_name, source_sheet, row_idx, vi
 @register("unpivot_marks", _B + f"SELECT {_LONG_SQL} FROM lc")
 def q_unpivot_marks(spark, sf_dir):
     """One long row per occurrence of an activity at a visit."""
-    _, table, clean = _stage_a(spark, sf_dir)
+    _, table, clean = _stage_a(spark, sf_dir, staff_groups=False)
     long = longform.long_rows(longform.reroute(clean, longform.workbook_has_ua(table)))
     return long.select(*_LONG_COLS)
 
@@ -315,7 +337,7 @@ def q_unpivot_marks(spark, sf_dir):
 SELECT {_LONG_SQL} FROM lc WHERE target_sheet IN ('Unscheduled Activities', 'Setup & Closedown')""")
 def q_first_visit_reduce(spark, sf_dir):
     """P10: UA and Setup sheets keep one row per activity, at the first visit."""
-    _, table, clean = _stage_a(spark, sf_dir)
+    _, table, clean = _stage_a(spark, sf_dir, staff_groups=False)
     long = longform.long_rows(longform.reroute(clean, longform.workbook_has_ua(table)))
     return long.filter(F.col("sheet_name").isin(*longform.FIRST_VISIT_SHEETS)).select(*_LONG_COLS)
 
@@ -325,7 +347,7 @@ SELECT workbook_id, sheet_name, row_idx, flag,
        CASE flag WHEN 'Scheduled / Some Participants' THEN 'SSP' WHEN 'Unscheduled / Itemised Activities' THEN 'UA'
                  WHEN 'Setup & Closedown' THEN 'SC' ELSE source_sheet END AS study_arm FROM sg""")
 def q_study_arm(spark, sf_dir):
-    _, _, clean = _stage_a(spark, sf_dir)
+    _, _, clean = _stage_a(spark, sf_dir, staff_groups=False)
     return clean.select("workbook_id", "sheet_name", "row_idx", "flag", longform.study_arm().alias("study_arm"))
 
 

@@ -9,8 +9,14 @@ from ledgerflow.operators.rules import with_defaults
 from ledgerflow.plans.queries_grid import O_EXPAND, O_SUMMARY, _B, _stage_a, _stage_b, o_stage_a
 from ledgerflow.plans.queries_templates import _ALL, ADJ_SQL, adjusted
 from ledgerflow.plans.registry import register
+from ledgerflow.operators.costjoin import join_ict_costs
+from ledgerflow.plans.pipeline import posting_plan
+from ledgerflow.plans.queries_posting import LINE_COLS, O_CTX, RULESET, o_lines, o_plan, rule_tables
+from ledgerflow.sinks import files
 from ledgerflow.sinks.files import report_format, safe_sheet_names
-from ledgerflow.sources.fixtures import Fixtures, VIEWS, dialect
+from ledgerflow.sources import readers
+from ledgerflow.sources.fixtures import Fixtures, VIEWS, dialect, duckdb_ctes
+from ledgerflow.sources.readers import COST_SCAN_COLUMNS
 
 _COSTS_SQL = o_stage_a().rstrip() + ",\n" + O_SUMMARY + ",\n" + O_EXPAND + """,
 batch AS (SELECT * FROM summary UNION ALL SELECT * FROM expanded)
@@ -128,6 +134,90 @@ def q_report_format(spark, sf_dir):
     return report_format(adj)
 
 
+# ---------------------------------------------------------------------------
+# Written by a sink and read back
+
+def _fresh(df, name):
+    from ledgerflow.sources.stage import stage_path
+    return stage_path(df, name)
+
+
+_COST_COLS = ", ".join(COST_SCAN_COLUMNS)
+
+
+@register("sink_cost_table", duckdb_ctes("fx_cost").rstrip() + f" SELECT {_COST_COLS} FROM fx_cost")
+def q_sink_cost_table(spark, sf_dir):
+    """K1 + S6: the cost table written twice, the second time study by study, and scanned."""
+    costs_df = Fixtures(spark, sf_dir).cost
+    path = _fresh(costs_df, "sink_cost")
+    files.write_cost_table(costs_df, path, strict=False)
+    files.write_cost_table(costs_df, path, mode="studies", strict=False)
+    return readers.read_cost_table(spark, path).select(*COST_SCAN_COLUMNS)
+
+
+@register("sink_upsert", _COSTS_SQL.rstrip() + f""",
+fx_long AS ({_FX_LONG}),
+fx_cost AS ({_FX_COST}),
+b AS (SELECT * FROM batch WHERE cpms_id IS NOT NULL AND visit_number IS NOT NULL AND study_arm IS NOT NULL AND ict_cost IS NOT NULL),
+t AS (SELECT * FROM fx_cost WHERE cpms_id IS NOT NULL AND visit_number IS NOT NULL AND study_arm IS NOT NULL AND ict_cost IS NOT NULL)
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.cpms_id = t.cpms_id AND b.visit_number = t.visit_number AND b.study_arm = t.study_arm)
+UNION ALL SELECT * FROM b""")
+def q_sink_upsert(spark, sf_dir):
+    """K2 + K3: the stored cost table, then the grid batch upserted into a new version of it."""
+    whole = lambda df: df.dropna(subset=["cpms_id", "visit_number", "study_arm", "ict_cost"])
+    target = whole(Fixtures(spark, sf_dir).cost)
+    path = _fresh(target, "sink_upsert")
+    files.write_cost_table(target, path)
+    return files.upsert_cost_table(path, whole(grid_costs(spark, sf_dir)), f"{path}-new").select(target.columns)
+
+
+@register("sink_posting_csv", o_plan("A").rstrip() + """
+SELECT cpms_id, posting_line_type_id, COUNT(*) AS n_lines, CAST(SUM(posting_amount) AS DECIMAL(28,6)) AS amount FROM plan
+GROUP BY cpms_id, posting_line_type_id""")
+def q_sink_posting_csv(spark, sf_dir):
+    """K4: the posting plan through its CSV export."""
+    fx = Fixtures(spark, sf_dir)
+    plan = posting_plan(fx.long, rule_tables(fx), scenario_id="A", cost_table=fx.cost, strict=False)
+    path = _fresh(plan, "sink_csv")
+    files.write_posting_csv(plan, path)
+    back = spark.read.option("header", True).schema(plan.schema).csv(path)
+    return back.groupBy("cpms_id", "posting_line_type_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("posting_amount").cast("decimal(28,6)").alias("amount"))
+
+
+@register("sink_per_sheet", o_plan("A").rstrip() + """
+SELECT cpms_id, sheet_name, substr(regexp_replace(sheet_name, '[\\[\\]\\*\\?:/\\\\]', '_', 'g'), 1, 31) AS safe_sheet, COUNT(*) AS n_lines
+FROM plan GROUP BY cpms_id, sheet_name""")
+def q_sink_per_sheet(spark, sf_dir):
+    """K5 + K6: one folder per study and sheet."""
+    fx = Fixtures(spark, sf_dir)
+    plan = posting_plan(fx.long, rule_tables(fx), scenario_id="A", cost_table=fx.cost, strict=False)
+    path = _fresh(plan, "sink_sheets")
+    files.write_per_sheet(plan, path)
+    return spark.read.parquet(path).select(F.col("cpms_id").cast("string").alias("cpms_id"), "sheet_name", "safe_sheet").groupBy("cpms_id", "sheet_name", "safe_sheet").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("reader_rules", duckdb_ctes("fx_long", "fx_dist_rules").rstrip() + "," + O_CTX + ",\n" + o_lines("ctx", "A")
+          + "\nSELECT " + ", ".join(LINE_COLS) + " FROM lines")
+def q_reader_rules(spark, sf_dir):
+    """Lines by rule tables that were stored and read back with their ruleset filter."""
+    from ledgerflow.operators.rules import apply_dist_rules, classify_rows
+    fx = Fixtures(spark, sf_dir)
+    path = _fresh(fx.dist_rules, "rules")
+    for name in ("dist_rules", "amount_map", "routing_rules"):
+        getattr(fx, name).write.parquet(f"{path}/{name}")
+    stored = readers.load_rules(spark, path, RULESET)
+    return apply_dist_rules(classify_rows(fx.long, scenario_id="A", ruleset_id=RULESET), stored.dist_rules, scenario_id="A").select(*LINE_COLS)
+
+
+@register("null_cost_table", duckdb_ctes("fx_long") + """
+SELECT cpms_id, row_id, CAST(NULL AS DECIMAL(18,2)) AS contract_cost FROM fx_long""")
+def q_null_cost_table(spark, sf_dir):
+    """Without a cost table every contract cost is NULL."""
+    long = Fixtures(spark, sf_dir).long
+    missing = readers.read_cost_table(spark, f"{sf_dir}/no_such_cost_table")
+    return join_ict_costs(long, missing).select("cpms_id", "row_id", "contract_cost")
+
+
 # ---------------------------------------------------------------------------
 # C3 -> C4 -> C5: the whole chain from raw grids to import templates
 
@@ -146,7 +236,7 @@ def workbook_templates(spark, sf_dir, scenario_id: str | None = "A"):
     cost = materialize(costs.cost_table(table, layout, clean), "grid_cost_table")
     long = materialize(longform.stage_b(clean, table, layout), "grid_long_rows")
     fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(long, rule_tables(fx), scenario_id=scenario_id, cost_table=cost)
+    plan = posting_plan(long, rule_tables(fx), scenario_id=scenario_id, cost_table=cost, strict=False)
     adj = materialize(adjust_posting_lines(plan), "grid_adjusted_plan")
     return build_all_templates(adj, keys=materialize(key_table(adj), "grid_key_table"))
 

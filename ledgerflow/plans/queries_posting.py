@@ -159,15 +159,15 @@ def q_parse_currency(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # J4 / J5 / Q4
 
-_LINE_COLS = ("cpms_id", "row_id", "scenario_id", "row_category", "is_medic", "posting_line_type_id",
+LINE_COLS = ("cpms_id", "row_id", "scenario_id", "row_category", "is_medic", "posting_line_type_id",
               "activity_cost_num")
 
 
 @register("rule_match", duckdb_ctes("fx_long", "fx_dist_rules") + "," + O_CTX + ",\n" + o_lines("ctx", "A")
-          + "\nSELECT " + ", ".join(_LINE_COLS) + " FROM lines")
+          + "\nSELECT " + ", ".join(LINE_COLS) + " FROM lines")
 def q_rule_match(spark, sf_dir):
     fx, ctx = _ctx(spark, sf_dir)
-    return rules.apply_dist_rules(ctx, fx.dist_rules, scenario_id=SCENARIO).select(*_LINE_COLS)
+    return rules.apply_dist_rules(ctx, fx.dist_rules, scenario_id=SCENARIO).select(*LINE_COLS)
 
 
 @register("rule_unmatched", duckdb_ctes("fx_long", "fx_dist_rules") + "," + O_CTX + """
@@ -262,6 +262,49 @@ _ENTITY_COLS = ("cpms_id", "row_id", "scenario_id", "posting_line_type_id", "des
                 "destination_entity", "cost_code")
 
 
+def ranked_routing(routing):
+    """The routing rules with a place in their table, two more of equal
+    priority for each, and priorities of 2 left out."""
+    base = routing.withColumn("priority", F.when(F.col("priority") != 2, F.col("priority")))
+    late = base.select(*[F.lit("DEST_LATE").alias(c) if c == "destination_bucket" else F.col(c) for c in base.columns], F.lit(2).cast("long").alias("rule_no"))
+    early = base.select(*[F.lit("DEST_Z_EARLY").alias(c) if c == "destination_bucket" else F.col(c) for c in base.columns], F.lit(1).cast("long").alias("rule_no"))
+    return late.unionByName(early).unionByName(base.withColumn("rule_no", F.lit(None).cast("long")))
+
+
+_RANKED = """(SELECT r.* EXCLUDE (priority, destination_bucket), CASE WHEN priority <> 2 THEN priority END AS priority,
+    COALESCE(x.b, r.destination_bucket) AS destination_bucket, x.no AS rule_no
+  FROM fx_routing_rules r, (VALUES ('DEST_LATE', 2), ('DEST_Z_EARLY', 1), (NULL, NULL)) x(b, no))"""
+
+
+@register("route_ties", duckdb_ctes("fx_long", "fx_dist_rules", "fx_amount_map", "fx_routing_rules") + ","
+          + O_CTX + ",\n" + o_lines("ctx", "A") + ",\n" + o_priced() + f""",
+ranked AS (SELECT p.cpms_id, p.row_id, p.scenario_id, p.posting_line_type_id, p.is_medic, rr.destination_bucket,
+    row_number() OVER (PARTITION BY p.cpms_id, p.row_id, p.scenario_id, p.posting_line_type_id
+                       ORDER BY rr.priority NULLS LAST, rr.rule_no NULLS LAST, rr.destination_bucket) AS place
+  FROM priced p LEFT JOIN {_RANKED} rr ON rr.ruleset_id = '{RULESET}' AND rr.scenario_id = p.scenario_id
+    AND rr.posting_line_type_id = p.posting_line_type_id AND {o_passes('rr', 'p.is_medic')})
+SELECT """ + ", ".join(_ROUTE_COLS) + " FROM ranked WHERE place = 1")
+def q_route_ties(spark, sf_dir):
+    """Routing with equal and missing priorities: table order decides, missing ones come last."""
+    fx, ctx = _ctx(spark, sf_dir)
+    priced = rules.apply_amount_map(rules.apply_dist_rules(ctx, fx.dist_rules, scenario_id=SCENARIO), fx.amount_map)
+    return rules.apply_routing(priced, ranked_routing(fx.routing_rules)).select(*_ROUTE_COLS)
+
+
+@register("amount_map_dups", duckdb_ctes("fx_long", "fx_dist_rules", "fx_amount_map") + "," + O_CTX + ",\n" + o_lines("ctx", "A") + """,
+twice AS (SELECT * FROM fx_amount_map UNION ALL SELECT * FROM fx_amount_map WHERE applies_to_row_category = 'BASELINE'),
+dup AS (SELECT posting_line_type_id, COUNT(*) AS n FROM twice GROUP BY posting_line_type_id HAVING COUNT(*) > 1)
+SELECT l.posting_line_type_id, COUNT(*) AS n_lines, CAST(SUM(d.n) AS BIGINT) AS n_multiplied
+FROM lines l JOIN dup d ON d.posting_line_type_id = l.posting_line_type_id GROUP BY l.posting_line_type_id""")
+def q_amount_map_dups(spark, sf_dir):
+    """Lines that an amount map with repeated line types would multiply."""
+    fx, ctx = _ctx(spark, sf_dir)
+    lines = rules.apply_dist_rules(ctx, fx.dist_rules, scenario_id=SCENARIO)
+    twice = fx.amount_map.unionByName(fx.amount_map.filter(F.col("applies_to_row_category") == "BASELINE"))
+    dups = rules.amount_map_fanout(twice)
+    return lines.join(dups, "posting_line_type_id").groupBy("posting_line_type_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("count").alias("n_multiplied"))
+
+
 @register("entity_map", duckdb_ctes("fx_long", "fx_dist_rules", "fx_amount_map", "fx_routing_rules") + ","
           + O_CTX + ",\n" + o_lines("ctx", "A") + ",\n" + o_priced() + ",\n" + o_routed() + ",\n" + O_ENTITY
           + "\nSELECT " + ", ".join(_ENTITY_COLS) + " FROM entity")
@@ -278,14 +321,14 @@ def q_entity_map(spark, sf_dir):
 @register("posting_plan", o_plan("A") + "SELECT * FROM plan")
 def q_posting_plan(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost)
+    return posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost, strict=False)
 
 
 @register("scenario_matrix", o_plan(None) + "SELECT * FROM plan")
 def q_scenario_matrix(spark, sf_dir):
     """All eight scenarios in one job: scenario is a column, not a loop."""
     fx = Fixtures(spark, sf_dir)
-    return posting_plan(fx.long, rule_tables(fx), cost_table=fx.cost)
+    return posting_plan(fx.long, rule_tables(fx), cost_table=fx.cost, strict=False)
 
 
 @register("scenario_list", o_plan(None, costed=False) + """
@@ -293,7 +336,7 @@ SELECT scenario_id, COUNT(*) AS n_lines, COUNT(DISTINCT cpms_id) AS n_studies FR
 def q_scenario_list(spark, sf_dir):
     """Scenarios present in the plan, with their line and study counts."""
     fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), with_costs=False)
+    plan = posting_plan(fx.long, rule_tables(fx), with_costs=False, strict=False)
     per_study = plan.groupBy("scenario_id", "cpms_id").agg(F.count(F.lit(1)).alias("n"))
     return (per_study.groupBy("scenario_id")
             .agg(F.sum("n").alias("n_lines"), F.count(F.lit(1)).alias("n_studies"))
@@ -395,7 +438,7 @@ def _alloc_plan_oracle(group, scenario="A"):
 def q_alloc_row_grain(spark, sf_dir):
     """Older grouping: every source row balanced alone, per scenario."""
     fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost)
+    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost, strict=False)
     return adjust_posting_lines(plan, grain="row").select(*_ALLOC_PLAN_COLS)
 
 
@@ -412,7 +455,7 @@ def q_mixed_price_audit(spark, sf_dir):
     """Q3: allocation groups whose lines carry different contract costs (first wins)."""
     from ledgerflow.operators.allocate import with_alloc_key
     fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost)
+    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost, strict=False)
     keyed = with_alloc_key(plan)
     return (keyed.groupBy("cpms_id", "scenario_id", "alloc_class", "alloc_key")
             .agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("contract_cost").alias("n_prices"),

@@ -21,11 +21,11 @@ from ledgerflow.sources.stage import materialize
 STUDY = ["cpms_id", "scenario_id"]
 
 
-def adjusted(spark, sf_dir, method="window", scenario=SCENARIO, stage=False):
+def adjusted(spark, sf_dir, method="agg", scenario=SCENARIO, stage=False):
     """Adjusted posting plan; ``stage=True`` writes it once for its several
     consumers (keys, special and arm templates) instead of recomputing it."""
     fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=scenario, cost_table=fx.cost)
+    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=scenario, cost_table=fx.cost, strict=False)
     adj = adjust_posting_lines(plan, method=method)
     return materialize(adj, "adjusted_plan") if stage else adj
 

@@ -46,7 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only a bare local test session gets a fresh scratch folder.
+    as is; a cluster session without it fails.  Only a bare local test session
+    gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,16 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc._jsc.sc().getCheckpointDir().isDefined():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
 
-
-def cut_lineage(df):
-    """Reliable checkpoint into the session's shared checkpoint folder.
-
-    Used between long pipeline stages so a lost executor replays from the
-    written checkpoint, not from the scan.  Never a local checkpoint.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -78,13 +78,14 @@ body AS (
   SELECT cpms_id, sheet_name, 3, ARRAY_OF('notes', 'not a table', CAST(NULL AS STRING)) FROM sheets
   UNION ALL
   SELECT cpms_id, sheet_name, 4, ARRAY_OF('Activity', 'Activity Type', 'Department', 'Staff Role', 'Activity Cost',
-         'Screening', 'Day 30', CASE WHEN sheet_name = 'Arm B' THEN 'Day 30' ELSE '1st review' END, 'Follow-up', 'Total Activity Cost') FROM sheets
+         CASE WHEN sheet_name = 'Pharmacy' THEN 'Day 30' ELSE 'Screening' END, 'Day 30', CASE WHEN sheet_name = 'Arm B' THEN 'Day 30' ELSE '1st review' END,
+         CASE WHEN sheet_name = 'Pharmacy' THEN 'Day 30.1' ELSE 'Follow-up' END, 'Total Activity Cost') FROM sheets
   UNION ALL
   SELECT cpms_id, sheet_name, row_idx, ARRAY_OF(activity, activity_type, department, staff_role, activity_cost,
          ELEM(marks, 1), ELEM(marks, 2), ELEM(marks, 3), ELEM(marks, 4), total_activity_cost) FROM fx_rows
   UNION ALL
-  SELECT cpms_id, sheet_name, 1000000, ARRAY_OF(CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING),
-         'Total Including MFF', '1000.5', '2000.25', '333', '1', CAST(NULL AS STRING)) FROM sheets)
+  SELECT cpms_id, sheet_name, MAX(row_idx) + 1, ARRAY_OF(CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING),
+         'Total Including MFF', '1000.5', '2000.25', '333', '1', CAST(NULL AS STRING)) FROM fx_rows GROUP BY cpms_id, sheet_name)
 SELECT body.cpms_id, body.sheet_name, pos.sheet_pos, body.row_idx, body.cells
 FROM body JOIN pos ON body.cpms_id = pos.cpms_id AND body.sheet_name = pos.sheet_name
 """

@@ -49,12 +49,20 @@ def load_rules(spark: SparkSession, root: str, ruleset_id: str) -> RuleTables:
     return RuleTables(dist, amap, route)
 
 
+def read_by_study(spark: SparkSession, path: str) -> DataFrame:
+    """A table in folders by study.  Study ids are text: their folder names
+    must not be read as numbers."""
+    found = spark.read.parquet(path).schema
+    typed = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "cpms_id" else f for f in found])
+    return spark.read.schema(typed).parquet(path)
+
+
 def read_cost_table(spark: SparkSession, path: str | None) -> DataFrame | None:
     """S6 + S7: projected cost-table scan; a missing table gives ``None``
     (the cost join then yields NULL contract costs)."""
     if path is None or ("://" not in path and not os.path.exists(path)):
         return None
-    df = spark.read.parquet(path)
+    df = read_by_study(spark, path)
     return df.select(*[c for c in COST_SCAN_COLUMNS if c in df.columns])
 
 

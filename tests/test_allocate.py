@@ -108,3 +108,36 @@ def test_permutation_invariance(spark):
     a = run(spark, rows)
     b = run(spark, list(reversed(rows)))
     assert {k: v.asDict() for k, v in a.items()} == {k: v.asDict() for k, v in b.items()}
+
+
+@pytest.mark.parametrize("method", ["window", "agg"])
+def test_one_of_tied_lines_takes_the_residual(spark, method):
+    rows = [("g", 1, "DIRECT", d(10), 100.0)] * 3 + [("h", 1, "DIRECT", d(5), 10.0)] * 2
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = allocate(df, group_cols=["g"], order_cols=["row_id"], method=method, rows_per_task=2).collect()
+    tied = [r for r in out if r.g == "g"]
+    assert sorted(r.adjusted_amount for r in tied) == [Decimal("33.33"), Decimal("33.33"), Decimal("33.34")]
+    assert sum(r.is_residual_row for r in tied) == 1
+    assert all(r.adjusted_sum_check == 100 and r.diff_check == 0 for r in tied)
+
+
+def test_balance_audit_sees_a_tampered_amount(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerflow.operators.quality import balance_audit
+    rows = [("a", 1, "DIRECT", d(10), 100.0), ("a", 2, "DIRECT", d(20), 100.0), ("b", 1, "DIRECT", d(1), 7.0)]
+    out = allocate(spark.createDataFrame(rows, SCHEMA), group_cols=["g"], order_cols=["row_id"]).withColumn("study", F.lit("s"))
+    audit = lambda df: balance_audit(df, study_cols=["study"], group_cols=["g"]).first()
+    assert audit(out).n_unbalanced == 0
+    worn = out.withColumn("adjusted_amount", F.when(F.col("row_id") == 2, F.col("adjusted_amount") + 1).otherwise(F.col("adjusted_amount")))
+    assert audit(worn).n_unbalanced == 1
+
+
+def test_split_allocation_has_no_window_over_the_whole_pool(spark):
+    from ledgerflow.plans.queries_templates import adjusted
+    from tests.conftest import SF_SMALL
+    text = adjusted(spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert "ResolvedHint" not in text and "strategy=broadcast" not in text
+    for line in text.splitlines():
+        if line.lstrip(" +-:").startswith("Window ["):
+            assert "__alloc_salt" in line

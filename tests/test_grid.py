@@ -64,3 +64,21 @@ def test_bucketed_primitives_match_plain_windows(spark):
                          bucket_col="b", out_col="n").drop("b")
     ref2 = df.withColumn("n", F.row_number().over(Window.partitionBy("p").orderBy("r")).cast("long"))
     assert sorted(seq.collect()) == sorted(ref2.collect())
+
+
+def test_names_avoid_those_that_are_taken(spark):
+    df = spark.createDataFrame([(["a", "a", "a.1"],), (["a", "a", "a"],), (["a.1", "a", "a", "a.1"],), ([],)], "b array<string>")
+    got = [r.n for r in df.select(grid.unique_names(F.col("b")).alias("n")).collect()]
+    assert got == [["a", "a.2", "a.1"], ["a", "a.1", "a.2"], ["a.1", "a", "a.2", "a.1.1"], []]
+
+
+def test_bad_sheets_are_reported_and_fail_strict_runs(spark):
+    import pytest
+    good, bad = sheet("Arm A", 1, [["x", "t", "d", "r", "1", "1", "1", "1", "1", "4"]]), sheet("Arm B", 2, [])
+    bad[2] = ("W", "Arm B", 2, 3, ["Activity", "Activity Type", "Department", "Staff Role", "Activity cost", "V", "Total Activity Cost"])
+    g = spark.createDataFrame(good + bad + [("W", "Notes", 3, 1, ["free text"])], GRID)
+    assert {(r.sheet_name, r.reason) for r in grid.rejected_sheets(g).collect()} == {("Arm B", "missing column Activity.Cost"), ("Notes", "no header row")}
+    with pytest.raises(ValueError, match="Arm B"):
+        grid.stage_a(g)
+    _, table, _ = grid.stage_a(g, strict=False)
+    assert {r.sheet_name for r in table.collect()} == {"Arm A"}
