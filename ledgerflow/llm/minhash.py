@@ -16,8 +16,11 @@ Documents with equal sets form one class, which is sketched and compared
 once.  Within a bucket of the bands, classes are compared with a few pivots
 at a time and those that are connected already are not compared again, so a
 group of thousands of near copies costs a few comparisons a member.  Rounds go
-on until every bucket holds one component or all its pairs are settled.  A
-comparison looks at one bit of each coordinate first.
+on until every bucket holds one component or all its pairs are settled.  Each
+pair is looked at in the first band that it shares.  Before sets are compared,
+two bounds leave pairs out: two bits of each coordinate, and the number of
+shingles that a set has alone among all the sets looked at, which no
+intersection can hold.
 
 Defined results: without words (null, empty or white space) a set is empty,
 linked with nothing, and the document is its own component; with one to four
@@ -49,12 +52,14 @@ COORDS = ROWS * BANDS
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Pivots of a bucket in the rounds; the last number holds for all further rounds.
-PIVOTS = (1, 4, 16, 64)
-#: Pairs of sketches that differ in more than this many of the coordinates'
-#: last bits are not compared: at similarity 0.85 a bit differs with
-#: probability 0.075, and so many of 512 with less than 1e-8.
-MOST_BITS = 78
+PIVOTS = (1, 8, 512)
+#: Pairs of sketches that differ in more than this many coordinates, by their
+#: last two bits, are not compared: at similarity 0.85 a coordinate differs so
+#: with probability 0.1125, and more than 97 of 512 with less than 2e-7.
+MOST_DIFFERENT = 97
 _LONGS = COORDS // 64
+#: Slots of the map of documents whose sets are needed: one bit each.
+SLOTS = 1 << 22
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROUND_BITS = np.uint64(64 - 11)
 
@@ -99,7 +104,7 @@ def band_keys(grid: np.ndarray, rows: int = ROWS) -> np.ndarray:
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(uid, doc_id, n_shingles, cls, bands, bits) for every row: hash of the
     id and text, set size, hash of the set (null if empty), band keys and the
-    last bit of each coordinate.  A task gives the bands of a set once."""
+    last two bits of each coordinate.  A task gives the bands of a set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = common.WordHashes(), set()
@@ -115,7 +120,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             bits: list = [None] * len(sets)
             if fresh:
                 grid = sketches([sets[i] for i in fresh])
-                last = np.packbits((grid & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+                last = np.packbits(np.concatenate(((grid & np.uint64(1)).astype(np.uint8), (grid >> np.uint64(1) & np.uint64(1)).astype(np.uint8)), axis=1), axis=1).view(np.int64)
                 for i, k, x in zip(fresh, band_keys(grid).view(np.int64), last, strict=True):
                     bands[i], bits[i] = k, x
             if len(seen) > 1_000_000:
@@ -127,10 +132,25 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return common.map_arrow(rows, "uid long, doc_id long, n_shingles long, cls long, bands array<long>, bits array<long>", run)
 
 
+def wanted(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Those documents whose id may be among the chosen ones.  The chosen ids
+    are marked in a map of ``SLOTS`` bits, at most 65,536 rows of 64, which all
+    tasks get; what it lets through besides is sorted out by a join."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    marks = chosen.select((slot / 64).cast("int").alias("row"), F.pmod(slot, F.lit(64)).cast("int").alias("bit")) \
+        .groupBy("row").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("marks"))
+    at = docs.withColumn("row", (slot / 64).cast("int")).withColumn("bit", F.pmod(slot, F.lit(64)).cast("int"))
+    return at.join(F.broadcast(marks), "row").where(F.expr("shiftright(marks, bit) & 1 = 1")).drop("row", "bit", "marks")
+
+
 def full_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cls, items): the shingles of one document of each class in ``classes``."""
-    chosen = rows.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id")
+    chosen = rows.where("doc_id is not null").join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    nameless = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("d"), F.min("uid").alias("uid")).where("d is null").join(classes, "cls", "left_semi").select("cls", "uid")
+    chosen = common.stored(chosen, "chosen")
+    all_docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = wanted(all_docs, chosen).join(chosen, "doc_id").select("cls", "text")
+    without_id = docs.where(F.col(id_col).isNull()).select(row_uid(id_col, text_col).alias("uid"), F.col(text_col).alias("text")).join(nameless, "uid").select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = common.WordHashes()
@@ -139,7 +159,17 @@ def full_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str,
             right = [i for i, (s, c) in enumerate(zip(sets, b.column("cls").to_pylist(), strict=True)) if int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())))) == c]
             yield pa.RecordBatch.from_arrays([b.column("cls").take(pa.array(right, pa.int64())), pa.array([sets[i].view(np.int64) for i in right], pa.list_(pa.int64()))], ["cls", "items"])
 
-    return common.map_arrow(found.select("cls", "text"), "cls long, items array<long>", run).dropDuplicates(["cls"])
+    return common.map_arrow(found.union(without_id), "cls long, items array<long>", run).dropDuplicates(["cls"])
+
+
+def linkable(sets: DataFrame) -> DataFrame:
+    """(cls, shared) of the sets that can have a link at all: shared is the
+    number of their items that some other set has too, and a link needs
+    ``PERCENT`` of a set's items in common with another."""
+    alone = sets.select("cls", F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("cls")) \
+        .where("n = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
+    sized = sets.select("cls", F.size("items").alias("size")).join(alone, "cls", "left").withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
+    return sized.where(F.col("shared") * 100 >= F.col("size") * PERCENT).select("cls", "shared")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -165,34 +195,44 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def alike(a: str, b: str, size_a: str, size_b: str) -> Column:
-    """Whether two classes can be linked, by their set sizes and sketch bits."""
-    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(_LONGS)), F.lit(0))
-    return (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * PERCENT) & (differ <= MOST_BITS)
+def worth_comparing() -> Column:
+    """Whether the classes of a joined pair, the second with names ending in
+    _a, can be linked and this band is the first that they share."""
+    differ = sum((F.bit_count((F.col("bits")[i].bitwiseXOR(F.col("bits_a")[i])).bitwiseOR(F.col("bits")[i + _LONGS].bitwiseXOR(F.col("bits_a")[i + _LONGS]))) for i in range(_LONGS)), F.lit(0))
+    size = F.least("n_shingles", "n_shingles_a") * 100 >= F.greatest("n_shingles", "n_shingles_a") * PERCENT
+    # 32 bits of each band's key: another band seems equal with probability 1.5e-8.
+    # Of two sets of m items together, similar ones share at least m * P / (100 + P).
+    overlap = F.least("shared", "shared_a") * (100 + PERCENT) >= (F.col("n_shingles") + F.col("n_shingles_a")) * PERCENT
+    first = F.array_position(F.zip_with("bands", "bands_a", lambda x, y: x == y), True) == F.col("band") + 1
+    return size & overlap & (differ <= MOST_DIFFERENT) & first
 
 
 def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(cls, comp) of all classes that are linked with another."""
     sketched = rows.where("bands is not null")
     bucket = Window.partitionBy("key")
-    banded = sketched.select("cls", F.explode("bands").alias("key"))
-    shared = banded.select("key", "cls", F.min("cls").over(bucket).alias("lo"), F.max("cls").over(bucket).alias("hi")).where("lo < hi").select("key", "cls").distinct()
-    bits = sketched.groupBy("cls", "n_shingles").agg(F.first("bits").alias("bits"))
-    rest = common.stored(shared.join(bits, "cls"), "buckets")
-    sets = common.stored(full_sets(docs, rest.select("cls").distinct(), rows, id_col, text_col), "sets")
+    banded = sketched.select("cls", F.posexplode("bands").alias("band", "key"))
+    shared = banded.select("key", "band", "cls", F.min("cls").over(bucket).alias("lo"), F.max("cls").over(bucket).alias("hi")).where("lo < hi").select("key", "band", "cls").distinct()
+    shared = common.stored(shared, "buckets")
+    sets = common.stored(full_sets(docs, shared.select("cls").distinct(), rows, id_col, text_col), "sets")
+    first = common.stored(linkable(sets), "linkable")
+    sets = common.stored(sets.join(first, "cls", "left_semi"), "sets")
+    able = common.stored(linkable(sets), "linkable")
+    about = sketched.join(able, "cls").groupBy("cls", "n_shingles", "shared").agg(F.first("bits").alias("bits"), F.transform(F.first("bands"), lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
+    about = common.stored(about, "sketches")
+    rest = shared.join(able.select("cls"), "cls", "left_semi")
     links = label = None
     for step in itertools.chain(PIVOTS, itertools.repeat(PIVOTS[-1])):
         known = rest.withColumn("comp", F.col("cls")) if label is None else rest.join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         mixed = known.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket)).where("lo < hi")
-        placed = mixed.withColumn("place", F.row_number().over(bucket.orderBy("cls"))).drop("lo", "hi")
-        rest = common.stored(placed, "open")
-        pivots = rest.where(F.col("place") <= step).select("key", F.col("cls").alias("a"), F.col("n_shingles").alias("size_a"), F.col("bits").alias("bits_a"), F.col("comp").alias("comp_a"))
-        pairs = rest.join(pivots, (rest.key == pivots.key) & (F.col("a") < F.col("cls")) & (F.col("comp") != F.col("comp_a")) & alike("bits", "bits_a", "n_shingles", "size_a"))
-        more = common.stored(confirmed(pairs.select("a", F.col("cls").alias("b")).distinct(), sets), "links")
+        rest = common.stored(mixed.withColumn("place", F.row_number().over(bucket.orderBy("cls"))).drop("lo", "hi"), "open")
+        pivots = rest.where(F.col("place") <= step).join(about, "cls").select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "comp", "n_shingles", "shared", "bits", "bands")])
+        pairs = rest.join(about, "cls").join(pivots, (F.col("cls_a") < F.col("cls")) & (F.col("comp") != F.col("comp_a")) & worth_comparing() & (rest.key == pivots.key))
+        more = common.stored(confirmed(pairs.select(F.col("cls_a").alias("a"), F.col("cls").alias("b")), sets), "links")
         if links is None or more.limit(1).count():
             links = more if links is None else links.union(more)
             label = components(links)
-        rest = rest.where(F.col("place") > step).select("key", "cls", "n_shingles", "bits")
+        rest = rest.where(F.col("place") > step).select("key", "band", "cls")
         if not rest.limit(1).count():
             return label
 

@@ -64,6 +64,20 @@ def test_chain_of_near_copies_beyond_the_pivots(spark, monkeypatch):
     assert as_rows(got) == sorted(brute_groups(rows), key=str)
 
 
+def test_outliers_of_a_large_group(spark, monkeypatch):
+    """Copies with one to four changed words: links only between some of them, none beyond the bounds."""
+    monkeypatch.setattr(minhash, "PIVOTS", (1, 2))
+    base = prose(9, 140).split()
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for j in range(1 + i % 4):
+            w[(i * 17 + j * 41) % 140] = f"edit{i if i % 3 else 0}x{j}"
+        rows.append((i if i % 10 else None, " ".join(w)))
+    got = minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert as_rows(got) == sorted(brute_groups(rows), key=str)
+
+
 def test_groups_of_an_empty_table(spark):
     assert minhash.groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
