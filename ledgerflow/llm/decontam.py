@@ -36,7 +36,7 @@ from ledgerflow.llm import common
 from ledgerflow.llm.common import row_uid
 
 LEAST = 5
-COVERAGE = 0.6
+COVERAGE = 0.5
 SENT_SEEDS = 1 << 20
 _GAP = bytes(b if chr(b).isalnum() or b >= 0x80 else 0x20 for b in range(256))
 
