@@ -78,11 +78,13 @@ def chosen_paths(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     leaves = cur.select("key", "node").join(parents, ["key", "node"], "left_anti")
     jumps, total = [], rows.count()
     while (1 << len(jumps)) <= 2 * total and cur.where("anc is not null").limit(1).count():
-        jumps.append(cur.where("anc is not null").select("key", "node", "anc"))
+        # Messages whose pointer has passed the root are done and not joined again.
+        ahead = cur.where("anc is not null")
+        jumps.append(ahead.select("key", "node", "anc"))
         far = cur.select(F.col("key").alias("k"), F.col("node").alias("n"), F.col("anc").alias("far_anc"), F.col("hops").alias("far_hops"), F.col("score").alias("far_score"), F.col("top").alias("far_top"))
-        joined = cur.join(far, (F.col("key") == F.col("k")) & (F.col("anc") == F.col("n")), "left")
-        cur = common.stored(joined.select("key", "node", F.col("far_anc").alias("anc"), (F.col("hops") + F.coalesce("far_hops", F.lit(0))).alias("hops"),
-                                          (F.col("score") + F.coalesce("far_score", F.lit(0.0))).alias("score"), F.coalesce("far_top", "top").alias("top")), "jumps")
+        joined = ahead.join(far, (F.col("key") == F.col("k")) & (F.col("anc") == F.col("n")))
+        moved = joined.select("key", "node", F.col("far_anc").alias("anc"), (F.col("hops") + F.col("far_hops")).alias("hops"), (F.col("score") + F.col("far_score")).alias("score"), F.col("far_top").alias("top"))
+        cur = common.stored(moved.unionByName(cur.where("anc is null")), "jumps")
     ends = leaves.join(cur.where("anc is null"), ["key", "node"]).select("key", F.col("node").alias("path"), "score", "top")
     if keep == 1:
         best = ends.groupBy("key", "top").agg(F.min(F.struct((-F.col("score")).alias("s"), "path")).alias("b")).select("key", "b.path", F.lit(1).alias("rank"))
