@@ -3,8 +3,8 @@
 Activity-level cost rows are keyed by (study, source sheet, visit, arm,
 activity, staff group) and reduced to one row per key before the join, so
 the join never multiplies rows; ``compat=True`` reproduces the source's
-five-key join without the sheet and without reduction (it fans out when a
-key repeats -- see ``cost_dup_audit``).  Visit-level summary rows are the
+five-key join without the sheet and without reduction, of activity and of
+visit costs (it fans out when a key repeats -- see ``cost_dup_audit``).  Visit-level summary rows are the
 fallback, keyed by (study, visit, arm).
 
 The cost table has one row per study x visit x arm (x activity), so it
@@ -42,10 +42,12 @@ def activity_costs(cost_table: DataFrame, *, compat: bool = False, sheet_col: st
             .agg(F.max("ict_cost").alias("contract_cost_activity")))
 
 
-def visit_costs(cost_table: DataFrame) -> DataFrame:
-    return (cost_table.filter(F.col("activity_name").isNull())
-            .select(*[F.col(b).alias(a) for a, b in VISIT_KEYS], "ict_cost")
-            .groupBy(*[a for a, _ in VISIT_KEYS])
+def visit_costs(cost_table: DataFrame, *, compat: bool = False) -> DataFrame:
+    rows = (cost_table.filter(F.col("activity_name").isNull())
+            .select(*[F.col(b).alias(a) for a, b in VISIT_KEYS], "ict_cost"))
+    if compat:
+        return rows.withColumnRenamed("ict_cost", "contract_cost_visit")
+    return (rows.groupBy(*[a for a, _ in VISIT_KEYS])
             .agg(F.max("ict_cost").alias("contract_cost_visit")))
 
 
@@ -56,8 +58,8 @@ def join_activity_costs(df: DataFrame, cost_table: DataFrame, *, compat: bool =
     return out.drop("cost_occurrence_id") if compat else out
 
 
-def join_visit_costs(df: DataFrame, cost_table: DataFrame) -> DataFrame:
-    return join_null_safe(df, visit_costs(cost_table), [a for a, _ in VISIT_KEYS], "left")
+def join_visit_costs(df: DataFrame, cost_table: DataFrame, *, compat: bool = False) -> DataFrame:
+    return join_null_safe(df, visit_costs(cost_table, compat=compat), [a for a, _ in VISIT_KEYS], "left")
 
 
 def join_ict_costs(df: DataFrame, cost_table: DataFrame | None, *, compat: bool = False,
@@ -68,7 +70,7 @@ def join_ict_costs(df: DataFrame, cost_table: DataFrame | None, *, compat: bool
     """
     if cost_table is None:
         return df.withColumn("contract_cost", F.lit(None).cast("decimal(18,2)"))
-    out = join_visit_costs(join_activity_costs(df, cost_table, compat=compat, sheet_col=sheet_col), cost_table)
+    out = join_visit_costs(join_activity_costs(df, cost_table, compat=compat, sheet_col=sheet_col), cost_table, compat=compat)
     return (out.withColumn("contract_cost", F.coalesce("contract_cost_activity", "contract_cost_visit"))
             .drop("contract_cost_activity", "contract_cost_visit"))
 

@@ -52,7 +52,8 @@ def key_table(adjusted: DataFrame, *, study_cols: Sequence[str] = ("cpms_id", "s
     """Distinct keys with their number and ``edge_key`` text.
 
     Columns: study cols, ``key_class`` ('special'/'main'), the five special
-    key columns (NULL where not applicable), ``edge_seq``, ``edge_key``.
+    key columns (NULL where not applicable), ``has_sheet`` (some line of the
+    key names its sheet), ``edge_seq``, ``edge_key``.
     """
     s = list(study_cols)
     sheet = F.col("sheet_name")
@@ -61,14 +62,14 @@ def key_table(adjusted: DataFrame, *, study_cols: Sequence[str] = ("cpms_id", "s
     spec = (adjusted.filter(special)
             .groupBy(*s, *SPECIAL_KEY)
             .agg(F.min(F.struct(part.alias("part"), F.col("row_id"))).alias("first"))
-            .select(*s, F.lit("special").alias("key_class"), *SPECIAL_KEY,
+            .select(*s, F.lit("special").alias("key_class"), *SPECIAL_KEY, F.lit(True).alias("has_sheet"),
                     F.lit(0).alias("cls"), F.col("first.part").alias("part"), F.col("first.row_id").alias("first_row")))
     main = (adjusted.filter(~special)
             .groupBy(*s, *MAIN_KEY)
-            .agg(F.min("row_id").alias("first_row"))
+            .agg(F.min("row_id").alias("first_row"), F.max(sheet.isNotNull()).alias("has_sheet"))
             .select(*s, F.lit("main").alias("key_class"), F.lit(None).cast("string").alias("sheet_name"),
                     F.lit(None).cast("string").alias("activity"), F.lit(None).cast("long").alias("row_id"),
-                    F.lit(None).cast("int").alias("staff_group"), "study_arm",
+                    F.lit(None).cast("int").alias("staff_group"), "study_arm", "has_sheet",
                     F.lit(1).alias("cls"), F.lit(1).alias("part"), "first_row",
                     F.col("visit").alias("key_visit")))
     spec = spec.withColumn("key_visit", F.lit(None).cast("string"))

@@ -3,6 +3,7 @@ so each pipeline is one lazy plan that Catalyst optimises end to end.
 
 C4 ``posting_plan``      rows -> classified -> costed -> lines -> priced -> routed
 C5 ``build_templates``   plan -> allocated -> keyed -> import templates
+C6 ``run``               grids -> templates, with stage tables in between
 C7 scenario matrix       ``scenario_id=None``: every scenario in one job
 C1-C3 ``process_grid``   raw sheet grids -> long rows + cost table
 """
@@ -13,10 +14,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ledgerflow.operators import costs, grid, longform
 from ledgerflow.operators.allocate import adjust_posting_lines
-from ledgerflow.operators.costjoin import join_ict_costs
+from ledgerflow.operators.costjoin import enrich_labels, join_ict_costs
+from ledgerflow.operators.keys import key_table
 from ledgerflow.operators.rules import (DEFAULT_MFF_RATE, DEFAULT_RULESET, apply_amount_map, apply_dist_rules,
                                         apply_routing, classify_rows, resolve_entities, select_output_cols)
+from ledgerflow.operators.templates import build_all_templates
+from ledgerflow.sources.stage import materialize
 
 
 @dataclass(frozen=True)
@@ -47,3 +52,34 @@ def posting_plan(rows: DataFrame, rules: RuleTables, *, scenario_id: str | None
 
 def adjusted_plan(plan: DataFrame, *, method: str = "agg", rows_per_task: int = 2_000_000) -> DataFrame:
     return adjust_posting_lines(plan, method=method, rows_per_task=rows_per_task)
+
+
+def process_grid(grids: DataFrame, *, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(long rows with row ids, cost table) of all workbooks, both
+    written as stage tables since later stages read them more than once."""
+    layout, table, clean = grid.stage_a(grids, strict=strict)
+    return (materialize(longform.stage_b(clean, table, layout), "grid_long_rows"),
+            materialize(costs.cost_table(table, layout, clean), "grid_cost_table"))
+
+
+def build_templates(plan: DataFrame, *, fail_if_empty: bool = False) -> DataFrame:
+    """Allocation, keys and all import templates of a posting plan.
+
+    ``fail_if_empty`` raises when the plan gives no template at all (Q7)."""
+    adjusted = materialize(adjusted_plan(plan), "adjusted_plan")
+    templates = build_all_templates(adjusted, keys=materialize(key_table(adjusted), "key_table"))
+    if fail_if_empty and templates.isEmpty():
+        raise ValueError("the posting plan gives no template rows")
+    return templates
+
+
+def run(grids: DataFrame, rules: RuleTables, *, scenario_id: str | None = None, label_source: str = "cost",
+        strict: bool = True) -> DataFrame:
+    """From raw grids to import templates, every workbook at once.
+
+    ``label_source="cost"`` takes visit labels from the cost table (J14),
+    ``"visit"`` keeps the visit as its label."""
+    long, cost = process_grid(grids, strict=strict)
+    labelled = enrich_labels(long, cost, label_source=label_source)
+    plan = posting_plan(labelled, rules, scenario_id=scenario_id, cost_table=cost, strict=strict)
+    return build_templates(plan, fail_if_empty=strict)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import costs, longform
 from ledgerflow.operators.rules import with_defaults
-from ledgerflow.plans.queries_grid import O_EXPAND, O_SUMMARY, _B, _stage_a, _stage_b, o_stage_a
+from ledgerflow.plans.queries_grid import O_EXPAND, O_SUMMARY, _B, _stage_a, _stage_b, grid_df, o_stage_a
 from ledgerflow.plans.queries_templates import _ALL, ADJ_SQL, adjusted
 from ledgerflow.plans.registry import register
 from ledgerflow.operators.costjoin import join_ict_costs
@@ -221,27 +221,8 @@ def q_null_cost_table(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # C3 -> C4 -> C5: the whole chain from raw grids to import templates
 
-def workbook_templates(spark, sf_dir, scenario_id: str | None = "A"):
-    """Grids -> long rows (with row ids) + cost table -> posting plan ->
-    allocation -> keys -> templates.  The long rows and the cost table are
-    written once (stage tables) because both feed several later stages."""
-    from ledgerflow.operators.allocate import adjust_posting_lines
-    from ledgerflow.operators.keys import key_table
-    from ledgerflow.operators.templates import build_all_templates
-    from ledgerflow.plans.pipeline import posting_plan
-    from ledgerflow.plans.queries_posting import rule_tables
-    from ledgerflow.sources.stage import materialize
-
-    layout, table, clean = _stage_a(spark, sf_dir)
-    cost = materialize(costs.cost_table(table, layout, clean), "grid_cost_table")
-    long = materialize(longform.stage_b(clean, table, layout), "grid_long_rows")
-    fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(long, rule_tables(fx), scenario_id=scenario_id, cost_table=cost, strict=False)
-    adj = materialize(adjust_posting_lines(plan), "grid_adjusted_plan")
-    return build_all_templates(adj, keys=materialize(key_table(adj), "grid_key_table"))
-
-
 @register("workbook_templates")
 def q_workbook_templates(spark, sf_dir):
     """One run from uploaded grids to import templates, every workbook at once."""
-    return workbook_templates(spark, sf_dir)
+    from ledgerflow.plans import pipeline
+    return pipeline.run(grid_df(spark, sf_dir), rule_tables(Fixtures(spark, sf_dir)), scenario_id="A", strict=False)
