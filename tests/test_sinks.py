@@ -91,3 +91,17 @@ def test_strict_pricing_fails_on_repeated_line_types(spark):
     amap = spark.createDataFrame([("T", 1.0, 1.0), ("T", 2.0, 1.0)], "posting_line_type_id string, base_mult double, split_mult double")
     with pytest.raises(ValueError, match="more than once"):
         apply_amount_map(plan, amap, strict=True)
+
+
+def test_compat_costs_keep_repeated_keys(spark):
+    from ledgerflow.operators.costjoin import visit_costs
+    cost = spark.createDataFrame([("1", "V", "A", None, 1.0), ("1", "V", "A", None, 2.0)], "cpms_id string, visit_number string, study_arm string, activity_name string, ict_cost double")
+    assert visit_costs(cost).count() == 1 and visit_costs(cost, compat=True).count() == 2
+
+
+def test_the_whole_run_fails_without_templates(spark):
+    from ledgerflow.plans import pipeline
+    plan = spark.createDataFrame([], "cpms_id string, scenario_id string, row_id long, sheet_name string, study_name string, study_arm string, activity string, visit string, visit_label string, staff_group int, posting_line_type_id string, posting_amount decimal(18,6), contract_cost double")
+    assert pipeline.build_templates(plan).count() == 0
+    with pytest.raises(ValueError, match="no template"):
+        pipeline.build_templates(plan, fail_if_empty=True)
