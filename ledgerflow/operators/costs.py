@@ -17,7 +17,7 @@ from ledgerflow.functions.text import visit_number
 from ledgerflow.operators.allocate import join_null_safe
 from ledgerflow.operators.grid import (ARM_SC, ARM_SSP, ARM_UA, FLAG_SETUP, FLAG_SOME, FLAG_UA, SHEET, SHEET_SETUP,
                                        SUMMARY_MARKER, coerce_mark)
-from ledgerflow.operators.sequence import DEFAULT_BUCKET, dense_sequence, row_bucket
+from ledgerflow.operators.sequence import DEFAULT_BUCKET, dense_sequence, row_bucket, with_copies
 
 COST_COLUMNS = ("cpms_id", "study", "visit_number", "study_arm", "visit_label", "activity_name", "ict_cost",
                 "activity_occurrence_id", "staff_group", "source_sheet")
@@ -86,9 +86,8 @@ def expand_cost_rows(clean: DataFrame, labels: DataFrame, bucket_size: int = DEF
     per_visit = rows.select(
         "*", F.try_divide(total_cost, occurrence_totals(F.col("marks"))).alias("cost_per_occ"),
         F.posexplode(counts).alias("p0", "n"))
-    copies = (per_visit.withColumn("n_copies", F.floor("n").cast("int"))
-              .filter(F.col("n_copies") >= 1)
-              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies")))))
+    copies = with_copies(per_visit.withColumn("n_copies", F.floor("n").cast("int")).filter(F.col("n_copies") >= 1),
+                         "n_copies", "copy")
     vnum = visit_number(F.col("p0") + 1)
     label = F.coalesce(F.try_element_at(F.col("label_names"), (F.col("p0") + 1).cast("int")), vnum)
     shaped = copies.select(

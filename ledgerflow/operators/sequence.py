@@ -19,7 +19,7 @@ from ledgerflow.operators.keys import dense_sequence
 
 DEFAULT_BUCKET = 1_000_000
 
-__all__ = ["DEFAULT_BUCKET", "dense_sequence", "fill_forward", "row_bucket"]
+__all__ = ["DEFAULT_BUCKET", "dense_sequence", "fill_forward", "row_bucket", "with_copies"]
 
 
 def row_bucket(order_col: str | Column, bucket_size: int = DEFAULT_BUCKET) -> Column:
@@ -27,6 +27,19 @@ def row_bucket(order_col: str | Column, bucket_size: int = DEFAULT_BUCKET) -> Co
     return F.floor(c / F.lit(bucket_size))
 
 
+COPY_BLOCK = 10_000
+
+
+def with_copies(df: DataFrame, n_col: str, out_col: str, block: int = COPY_BLOCK) -> DataFrame:
+    """One row per copy 1..n of each row.  Rows are first multiplied by blocks
+    of copies, so no array is longer than ``block`` or n / ``block``."""
+    blocks = F.sequence(F.lit(0), F.floor((F.col(n_col) - 1) / F.lit(block)).cast("int"))
+    rows = df.withColumn("__block", F.explode(blocks))
+    last = F.least(F.lit(block), F.col(n_col) - F.col("__block") * block).cast("int")
+    inside = F.explode(F.sequence(F.lit(1), last))
+    return rows.withColumn(out_col, inside).withColumn(out_col, F.col("__block") * block + F.col(out_col)).drop("__block")
+
+
 def fill_forward(df: DataFrame, *, partition_cols: Sequence[str], order_col: str, value_col: str,
                  out_col: str, bucket_size: int = DEFAULT_BUCKET, nulls: bool = True) -> DataFrame:
     """Last non-NULL ``value_col`` at or before each row, per partition

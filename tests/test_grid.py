@@ -82,3 +82,10 @@ def test_bad_sheets_are_reported_and_fail_strict_runs(spark):
         grid.stage_a(g)
     _, table, _ = grid.stage_a(g, strict=False)
     assert {r.sheet_name for r in table.collect()} == {"Arm A"}
+
+
+def test_copies_in_blocks(spark):
+    from ledgerflow.operators.sequence import with_copies
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 6), ("d", 13)], "k string, n int")
+    got = sorted((r.k, r.c) for r in with_copies(df, "n", "c", block=3).collect())
+    assert got == [(k, i) for k, n in (("a", 1), ("b", 7), ("c", 6), ("d", 13)) for i in range(1, n + 1)]
