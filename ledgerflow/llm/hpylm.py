@@ -21,10 +21,11 @@ Spark jobs:
 1. Every partition of the documents counts its distinct words and its
    distinct (context, symbol) grams; the counts are summed over the corpus and
    given back to each partition's rows.
-2. Restaurants of three and more symbols of context are sampled in one group
-   for each pair of last symbols.  The restaurants above them number at most
-   258 * 258, a bound that does not grow with the corpus; their seating is
-   sampled once, from the groups' tables.
+2. Restaurants of three and more symbols of context are sampled in groups that
+   hold all of one pair of last symbols, and so all of their parents; a group
+   takes as many pairs as make about ``GROUP`` grams.  The restaurants above
+   them number at most 258 * 258, a bound that does not grow with the corpus;
+   their seating is sampled from the groups' tables.
 3. Each partition's words and grams, now with counts and probabilities, are
    brought together with its documents, which are read as a stream.
 
@@ -57,6 +58,8 @@ SMOOTHING = 0.1
 END_TOKEN = b" "
 #: Grams that a task counts at a time.
 RUN = 1 << 22
+#: Grams that a group of restaurants is meant to have.
+GROUP = 50_000
 WORD, GRAM, DOCUMENT = 0, 1, 2
 
 
@@ -206,11 +209,12 @@ def upper_probabilities(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys, p
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """(key, logp): log10 of the averaged predictive probability of each gram.  ``counts``: key, n."""
+def probabilities(counts: DataFrame, n_grams: int) -> DataFrame:
+    """(key, logp): log10 of the averaged predictive probability of each gram.
+    ``counts``: key, n, one row for each of the ``n_grams`` grams."""
     spark = counts.sparkSession
     low = F.col("key").bitwiseAND((1 << 3 * BITS) - 1)
-    counts = counts.withColumn("pair", F.shiftright(low, BITS).cast("int"))
+    counts = counts.withColumn("group", F.pmod(F.xxhash64(F.shiftright(low, BITS)), F.lit(n_grams // GROUP + 1)).cast("int"))
 
     def subtrees(upper: tuple[np.ndarray, np.ndarray]) -> DataFrame:
         sent = spark.sparkContext.broadcast(upper)
@@ -220,13 +224,13 @@ def probabilities(counts: DataFrame) -> DataFrame:
             base = lambda k: p2[np.searchsorted(keys2, k & (1 << 3 * BITS) - 1)]
             rows = rows.sort_values("key")
             keys = rows["key"].to_numpy(np.int64)
-            p, last, tables = sample(keys, rows["n"].to_numpy(np.int64), list(range(ORDER, 2, -1)), base, seed=int(rows["pair"].iloc[0]))
+            p, last, tables = sample(keys, rows["n"].to_numpy(np.int64), list(range(ORDER, 2, -1)), base, seed=int(rows["group"].iloc[0]))
             two, at = np.unique(last & (1 << 3 * BITS) - 1, return_inverse=True)
             customers = np.bincount(at, weights=tables, minlength=len(two)).astype(np.int64)
             return pd.DataFrame({"upper": np.repeat([False, True], [len(keys), len(two)]), "key": np.concatenate((keys, two)),
                                  "n": np.concatenate((rows["n"].to_numpy(np.int64), customers)), "logp": np.concatenate((np.log10(p), np.zeros(len(two))))})
 
-        return counts.groupBy("pair").applyInPandas(run, "upper boolean, key long, n long, logp double")
+        return counts.groupBy("group").applyInPandas(run, "upper boolean, key long, n long, logp double")
 
     common.workers_import(spark)
     # At most 258 * 258 * 257 rows, however large the corpus is.
@@ -246,8 +250,10 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     counted = gathered(rows)
     same = Window.partitionBy("kind", "key")
     totals = common.stored(counted.select("block", "kind", "key", F.sum("n").over(same).alias("n"), (F.row_number().over(same.orderBy("block")) == 1).alias("first")), "counts")
-    n_train, v_train = totals.where("kind = 0 and first").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0))).first()
-    logp = common.stored(probabilities(totals.where("kind = 1 and first").select("key", "n")), "probabilities")
+    word = F.col("kind") == WORD
+    n_train, v_train, n_grams = totals.where("first").agg(
+        F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)), F.count(F.when(word & (F.col("n") > 0), 1)), F.count(F.when(~word, 1))).first()
+    logp = common.stored(probabilities(totals.where("kind = 1 and first").select("key", "n"), n_grams), "probabilities")
     none = F.lit(None)
     entries = totals.where("kind = 0").select("block", "kind", "key", F.col("n").cast("double").alias("value")) \
         .union(totals.where("kind = 1").select("block", "kind", "key").join(logp, "key").select("block", "kind", "key", "logp"))
