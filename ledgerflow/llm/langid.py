@@ -38,7 +38,7 @@ MAX_LANGUAGES = 1000
 #: Texts are looked at in runs of so many characters (with overlap), to bound memory.
 RUN = 1 << 20
 #: Least lead, in mean loss, of the best codeword over the next.
-LEAD = 0.02
+LEAD = 0.01
 #: Sharpness with which losses are turned into a score.
 SHARPNESS = 6.0
 UNDETERMINED = "und"
