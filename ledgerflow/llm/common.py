@@ -87,7 +87,7 @@ def ascii_words(text: str) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of each word, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
