@@ -93,12 +93,12 @@ class Tally:
             self.merge()
 
     def merge(self) -> None:
-        for weight in (0, 1):
-            if parts := [k for k, w in self.waiting if w == weight]:
-                codes, found = pd.factorize(np.concatenate(parts))
-                counts = np.bincount(codes, minlength=len(found)) * weight
-                self.keys, at = np.unique(np.concatenate((self.keys, found)), return_inverse=True)
-                self.counts = np.bincount(at, weights=np.concatenate((self.counts, counts)), minlength=len(self.keys)).astype(np.int64)
+        if self.waiting:
+            codes, found = pd.factorize(np.concatenate([k for k, _ in self.waiting]))
+            weights = np.repeat([w for _, w in self.waiting], [len(k) for k, _ in self.waiting])
+            counts = np.bincount(codes, weights=weights, minlength=len(found))
+            self.keys, at = np.unique(np.concatenate((self.keys, found)), return_inverse=True)
+            self.counts = np.bincount(at, weights=np.concatenate((self.counts, counts)), minlength=len(self.keys)).astype(np.int64)
         self.waiting, self.size = [], 0
 
 
@@ -249,7 +249,7 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.spark_partition_id().alias("block"), F.col(id_col).alias("doc_id"), train.alias("train"), F.col(text_col).alias("text"))
     counted = gathered(rows)
     same = Window.partitionBy("kind", "key")
-    totals = common.stored(counted.select("block", "kind", "key", F.sum("n").over(same).alias("n"), (F.row_number().over(same.orderBy("block")) == 1).alias("first")), "counts")
+    totals = common.stored(counted.select("block", "kind", "key", F.sum("n").over(same).alias("n"), (F.col("block") == F.min("block").over(same)).alias("first")), "counts")
     word = F.col("kind") == WORD
     n_train, v_train, n_grams = totals.where("first").agg(
         F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)), F.count(F.when(word & (F.col("n") > 0), 1)), F.count(F.when(~word, 1))).first()
@@ -277,10 +277,22 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                 raise ValueError("the documents' partitions changed between two readings")
             return ready[kind][1][at], np.concatenate(([0], np.cumsum([len(k) for k in keys])[:-1]))
 
-        for b in common.slices(batches, 256):
+        def documents(part: pa.RecordBatch) -> pa.RecordBatch:
+            words = [tokens(t) for t in common.texts(part)]
+            c, at = look(WORD, [hashes.of(w).view(np.int64) for w in words])
+            known = np.add.reduceat((c > 0).astype(np.int64), at)
+            sizes = np.array(list(map(len, words)))
+            base = np.add.reduceat(np.log10(c + SMOOTHING), at) - sizes * log_total
+            p, at = look(GRAM, [grams(w) for w in words])
+            return pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([not t for t in part.column("train").to_pylist()]), pa.array(sizes), pa.array(known), pa.array(np.full(len(words), n_train)), pa.array(base), pa.array(np.add.reduceat(p, at))], names)
+
+        for b in batches:
             blocks, kinds = b.column("block").to_numpy(), b.column("kind").to_numpy()
             edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
             for s, e in zip([0, *edges], [*edges, len(blocks)], strict=True):
+                if s == e:
+                    continue
                 if blocks[s] != now:
                     now, parts, ready = blocks[s], ([], []), None
                 part = b.slice(s, e - s)
@@ -289,14 +301,7 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                     continue
                 if ready is None:
                     ready, parts = (table(WORD), table(GRAM)), ([], [])
-                words = [tokens(t) for t in common.texts(part)]
-                c, at = look(WORD, [hashes.of(w).view(np.int64) for w in words])
-                known = np.add.reduceat((c > 0).astype(np.int64), at)
-                sizes = np.array(list(map(len, words)))
-                base = np.add.reduceat(np.log10(c + SMOOTHING), at) - sizes * log_total
-                p, at = look(GRAM, [grams(w) for w in words])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([not t for t in part.column("train").to_pylist()]), pa.array(sizes), pa.array(known), pa.array(np.full(len(words), n_train)), pa.array(base), pa.array(np.add.reduceat(p, at))], names)
+                yield from map(documents, common.slices([part], 256))
 
     together = all_rows.repartition("block").sortWithinPartitions("block", "kind")
     return common.map_arrow(together, f"doc_id {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", run)
