@@ -1,7 +1,8 @@
 """A training-data pipeline over ``documents``: each stage takes what its predecessor kept.
 
 Language ID drops documents without a language (no text, no letter, or an
-ambiguous one); near-dedup keeps one document of each group; decontamination
+ambiguous one); near-dedup keeps one document of each group, whose sets are
+alike from ``NEAR_PERCENT`` on (op6's own threshold is higher); decontamination
 drops documents that hold a benchmark item; the last stage encodes the rest.
 Null ids and texts, repeated rows and empty tables are treated as the
 operators' modules say; no stage fails on them.
@@ -15,12 +16,16 @@ from pyspark.sql import functions as F
 from ledgerflow.llm import bpe, common, decontam, langid, minhash
 
 
+#: The stage's threshold of similarity; 85 is that of query op6 alone.
+NEAR_PERCENT = 80
+
+
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identified(docs).where((F.col("found.lang_pred") != langid.UNDETERMINED) & ~F.col("found.ambiguous")).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.deduplicated(docs)
+    return minhash.deduplicated(docs, percent=NEAR_PERCENT)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

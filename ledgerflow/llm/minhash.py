@@ -10,7 +10,8 @@ about the Jaccard similarity of the sets.  Bands of coordinates bring
 documents together; every link is confirmed on the full sets.
 
 With ``BANDS`` bands of ``ROWS`` coordinates, a pair at similarity 0.85 shares
-no band with probability (1 - 0.85**ROWS)**BANDS = 1.4e-9.
+no band with probability (1 - 0.85**ROWS)**BANDS = 1.4e-9, one at 0.8, the
+threshold of the pipeline's stage, with 7.9e-6.
 
 Documents with equal sets form one class, which is sketched and compared
 once.  Within a bucket of the bands, classes are compared with a few pivots
@@ -34,6 +35,7 @@ results.  Sets are held as 64-bit hashes of the shingles, and classes as
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,14 +51,12 @@ SHINGLE = 5
 ROWS = 8
 BANDS = 64
 COORDS = ROWS * BANDS
-#: Links have 100 * intersection >= PERCENT * union.
+#: Query op6 links sets with 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Pivots of a bucket in the rounds; the last number holds for all further rounds.
 PIVOTS = (1, 8, 512)
-#: Pairs of sketches that differ in more than this many coordinates, by their
-#: last two bits, are not compared: at similarity 0.85 a coordinate differs so
-#: with probability 0.1125, and more than 97 of 512 with less than 2e-7.
-MOST_DIFFERENT = 97
+#: Chance that two bits of each coordinate leave out a pair at the threshold.
+LEFT_OUT = 2e-7
 _LONGS = COORDS // 64
 #: Slots of the map of documents whose sets are needed: one bit each.
 SLOTS = 1 << 22
@@ -64,6 +64,22 @@ _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROUND_BITS = np.uint64(64 - 11)
 
 
+def most_different(percent: int) -> int:
+    """Pairs of sketches that differ in more than this many coordinates, by
+    their last two bits, are not compared.  At the threshold a coordinate
+    differs so with probability 0.75 * (1 - percent / 100); more than this many
+    of ``COORDS`` do with less than ``LEFT_OUT``: 97 at 85, 120 at 80."""
+    p = 0.75 * (100 - percent) / 100
+    if not p:
+        return 0
+    more = 0.0
+    for k in range(COORDS, 0, -1):
+        more += math.comb(COORDS, k) * p**k * (1 - p)**(COORDS - k)
+        if more >= LEFT_OUT:
+            return k
+    return 0
+
+
 def shingles(text: str, hashes: common.WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the five-word shingles."""
     words = hashes.of(common.ascii_words(text))
@@ -162,22 +178,22 @@ def full_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, id_col: str,
     return common.map_arrow(found.union(without_id), "cls long, items array<long>", run).dropDuplicates(["cls"])
 
 
-def linkable(sets: DataFrame) -> DataFrame:
+def linkable(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(cls, shared) of the sets that can have a link at all: shared is the
     number of their items that some other set has too, and a link needs
-    ``PERCENT`` of a set's items in common with another."""
+    ``percent`` of a set's items in common with another."""
     alone = sets.select("cls", F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("cls")) \
         .where("n = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
     sized = sets.select("cls", F.size("items").alias("size")).join(alone, "cls", "left").withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
-    return sized.where(F.col("shared") * 100 >= F.col("size") * PERCENT).select("cls", "shared")
+    return sized.where(F.col("shared") * 100 >= F.col("size") * percent).select("cls", "shared")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of the pairs (a, b) of classes whose full sets are similar enough."""
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("items_a")), "a") \
         .join(sets.select(F.col("cls").alias("b"), F.col("items").alias("items_b")), "b")
     common_n = F.size(F.array_intersect("items_a", "items_b"))
-    return both.select("a", "b", common_n.alias("n"), (F.size("items_a") + F.size("items_b")).alias("m")).where(F.col("n") * 100 >= (F.col("m") - F.col("n")) * PERCENT).select("a", "b")
+    return both.select("a", "b", common_n.alias("n"), (F.size("items_a") + F.size("items_b")).alias("m")).where(F.col("n") * 100 >= (F.col("m") - F.col("n")) * percent).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -195,19 +211,19 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def worth_comparing() -> Column:
+def worth_comparing(percent: int = PERCENT) -> Column:
     """Whether the classes of a joined pair, the second with names ending in
     _a, can be linked and this band is the first that they share."""
     differ = sum((F.bit_count((F.col("bits")[i].bitwiseXOR(F.col("bits_a")[i])).bitwiseOR(F.col("bits")[i + _LONGS].bitwiseXOR(F.col("bits_a")[i + _LONGS]))) for i in range(_LONGS)), F.lit(0))
-    size = F.least("n_shingles", "n_shingles_a") * 100 >= F.greatest("n_shingles", "n_shingles_a") * PERCENT
+    size = F.least("n_shingles", "n_shingles_a") * 100 >= F.greatest("n_shingles", "n_shingles_a") * percent
     # 32 bits of each band's key: another band seems equal with probability 1.5e-8.
     # Of two sets of m items together, similar ones share at least m * P / (100 + P).
-    overlap = F.least("shared", "shared_a") * (100 + PERCENT) >= (F.col("n_shingles") + F.col("n_shingles_a")) * PERCENT
+    overlap = F.least("shared", "shared_a") * (100 + percent) >= (F.col("n_shingles") + F.col("n_shingles_a")) * percent
     first = F.array_position(F.zip_with("bands", "bands_a", lambda x, y: x == y), True) == F.col("band") + 1
-    return size & overlap & (differ <= MOST_DIFFERENT) & first
+    return size & overlap & (differ <= most_different(percent)) & first
 
 
-def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame:
     """(cls, comp) of all classes that are linked with another."""
     sketched = rows.where("bands is not null")
     bucket = Window.partitionBy("key")
@@ -215,9 +231,9 @@ def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str
     shared = banded.select("key", "band", "cls", F.min("cls").over(bucket).alias("lo"), F.max("cls").over(bucket).alias("hi")).where("lo < hi").select("key", "band", "cls").distinct()
     shared = common.stored(shared, "buckets")
     sets = common.stored(full_sets(docs, shared.select("cls").distinct(), rows, id_col, text_col), "sets")
-    first = common.stored(linkable(sets), "linkable")
+    first = common.stored(linkable(sets, percent), "linkable")
     sets = common.stored(sets.join(first, "cls", "left_semi"), "sets")
-    able = common.stored(linkable(sets), "linkable")
+    able = common.stored(linkable(sets, percent), "linkable")
     about = sketched.join(able, "cls").groupBy("cls", "n_shingles", "shared").agg(F.first("bits").alias("bits"), F.transform(F.first("bands"), lambda x: F.shiftright(x, 32).cast("int")).alias("bands"))
     about = common.stored(about, "sketches")
     rest = shared.join(able.select("cls"), "cls", "left_semi")
@@ -227,8 +243,8 @@ def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str
         mixed = known.withColumn("lo", F.min("comp").over(bucket)).withColumn("hi", F.max("comp").over(bucket)).where("lo < hi")
         rest = common.stored(mixed.withColumn("place", F.row_number().over(bucket.orderBy("cls"))).drop("lo", "hi"), "open")
         pivots = rest.where(F.col("place") <= step).join(about, "cls").select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "comp", "n_shingles", "shared", "bits", "bands")])
-        pairs = rest.join(about, "cls").join(pivots, (F.col("cls_a") < F.col("cls")) & (F.col("comp") != F.col("comp_a")) & worth_comparing() & (rest.key == pivots.key))
-        more = common.stored(confirmed(pairs.select(F.col("cls_a").alias("a"), F.col("cls").alias("b")), sets), "links")
+        pairs = rest.join(about, "cls").join(pivots, (F.col("cls_a") < F.col("cls")) & (F.col("comp") != F.col("comp_a")) & worth_comparing(percent) & (rest.key == pivots.key))
+        more = common.stored(confirmed(pairs.select(F.col("cls_a").alias("a"), F.col("cls").alias("b")), sets, percent), "links")
         if links is None or more.limit(1).count():
             links = more if links is None else links.union(more)
             label = components(links)
@@ -237,10 +253,10 @@ def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str
             return label
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(uid, doc_id, n_shingles, component_id, kept) for every row."""
     rows = common.stored(described(docs, id_col, text_col), "sets-by-row")
-    label = similar_classes(rows, docs, id_col, text_col)
+    label = similar_classes(rows, docs, id_col, text_col, percent)
     named = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least")) \
         .join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -255,8 +271,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(common.table(spark, sf_dir, "documents")).drop("uid")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents, without those that another of their group stands for and
     with repeated rows once."""
-    kept = groups(docs, id_col, text_col).where("kept").select("uid").distinct()
+    kept = groups(docs, id_col, text_col, percent).where("kept").select("uid").distinct()
     return docs.withColumn("uid", row_uid(id_col, text_col)).join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select(docs.columns)

@@ -5,7 +5,8 @@ import pyarrow.parquet as pq
 import corpus_pipeline
 from ledgerflow.llm import common, langid, minhash
 from tests.conftest import SF_SMALL
-from tests.llm.test_dedup_decontam import brute_groups
+from tests.llm.conftest import prose
+from tests.llm.test_dedup_decontam import brute_groups, shingle_set
 
 
 def test_pipeline_keeps_what_brute_force_keeps(spark):
@@ -37,3 +38,23 @@ def test_every_stage_but_the_last_keeps_the_columns(spark, messy):
 def test_stages_name_four_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "MinHash near-dedup", "benchmark decontamination", "byte-level BPE"]
     assert minhash.PERCENT == 85
+
+
+def test_near_dedup_stage_links_from_80_on_and_op6_from_85_on(spark):
+    """12 words in a row changed: 130 of 162 shingles in common; 13: 129 of 163."""
+    base = prose(21, 150).split()
+    near = base[:60] + [f"edit{i}" for i in range(12)] + base[72:]
+    far = base[:60] + [f"other{i}" for i in range(13)] + base[73:]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))]
+    sets = [shingle_set(t) for _, t in rows]
+    alike = [len(sets[0] & x) / len(sets[0] | x) for x in sets[1:]]
+    assert 0.8 <= alike[0] < 0.85 and alike[1] < 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, SF_SMALL).collect()) == [1, 3]
+    assert sorted(r.doc_id for r in minhash.groups(docs).where("kept").collect()) == [1, 2, 3]
+
+
+def test_bound_of_differing_coordinates_follows_the_threshold():
+    assert minhash.most_different(85) == 97
+    assert minhash.most_different(80) > 115 and minhash.most_different(100) == 0
