@@ -1,14 +1,21 @@
 """Main text of HTML pages by composite text density.
 
 A page is read into a DOM.  Scripts, styles, forms, menus, headers, footers,
-sidebars, notices, adverts and reader comments are cut by element, role or
-class.  Every node gets its composite density: characters per tag times the
+sidebars, notices, adverts and reader comments are cut by element or role.
+An element is marked if a class or its id is a word for these, whole or as its
+last part (``has-sidebar`` and the like tell of the holder).  Marked elements
+are cut, save those that hold the core or two thirds of the body's characters;
+reader comments, and what lies outside when an article or main element is not
+marked, are cut even then.  A marked paragraph is cut if it is below the
+threshold or mostly links.  If no text is left, marks cut nothing.  Every node
+gets its composite density: characters per tag times the
 logarithm of (characters per link character times tags per link tag), in a
 base that grows with the node's links against the page's.  The node whose
 children's densities have the largest sum is the core.  The least density on
 the way from the core up to the body is the threshold.  Within an article or
 main element the whole element is the content; otherwise the core is, with
-those subtrees beside its way to the body that reach the threshold.
+those subtrees beside its way to the body that reach the threshold.  Within
+the content, lists of links are cut as menus if the links are short.
 
 Text: character references decoded, white space within a block turned into
 one space, blocks trimmed and joined by one line end in page order.
@@ -39,23 +46,29 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 CUT = frozenset("script style title head nav header footer aside form iframe noscript template button select textarea menu dialog svg math object embed canvas audio video map".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 CUT_WORDS = frozenset("ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notification notifications pagination popup promo promoted related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+READER_WORDS = frozenset("comment comments disqus reply replies respond".split())
+#: First parts of a class that tell what its element has or lacks.
+HOLDER_WORDS = frozenset("has have no not with without hide show".split())
 # Elements whose start ends an open element of the same group.
 ENDS_PARAGRAPH = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("table ul ol dl select body".split())
 _TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)([^>]*>)?""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_PART = re.compile(r"[^a-z]+")
+#: Links of a menu have fewer characters than this, on average.
+LABEL = 25
 #: Least base of the logarithm; the formula's own base is 1 on a page without links.
 LEAST_BASE = 2.0
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "cut", "marks", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool = False):
         self.tag, self.parent, self.cut = tag, parent, cut
         self.children: list[Node | str] = []
+        self.marks: set[str] = set()
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -67,11 +80,22 @@ def is_cut(tag: str, attributes: str) -> bool:
         value, name = (a or b or c).lower(), name.lower()
         if name == "role" and value.strip() in CUT_ROLES or name == "aria-hidden" and value == "true":
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not CUT_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
     return False
 
 
+def marks(tag: str, attributes: str) -> set[str]:
+    """The words of CUT_WORDS that are a class or the id, or its last part."""
+    found: set[str] = set()
+    if tag not in ("html", "body", "article", "main"):
+        for name, a, b, c in _ATTRIBUTE.findall(attributes):
+            if name.lower() in ("class", "id"):
+                for token in (a or b or c).lower().split():
+                    parts = [x for x in _PART.split(token) if x]
+                    if parts and parts[-1] in CUT_WORDS and parts[0] not in HOLDER_WORDS:
+                        found.add(parts[-1])
+    return found
+
+
 def parse(page: str) -> Node:
     """The DOM below a root node; cut elements keep no content."""
     root = here = Node("#root", None)
@@ -106,6 +130,8 @@ def parse(page: str) -> Node:
                 if node.tag in group:
                     here = node.parent
             child = Node(tag, here, here.cut or is_cut(tag, m[3]))
+            if not child.cut:
+                child.marks = marks(tag, m[3])
             here.children.append(child)
             if tag in RAW:
                 close = re.compile(f"</{tag}", re.I).search(page, at)
@@ -127,6 +153,8 @@ def measure(root: Node) -> tuple[Node, list[Node]]:
         order.append(node)
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.cut)
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = 0.0
         for c in node.children:
             if isinstance(c, str):
                 node.chars += sum(map(len, c.split()))
@@ -146,11 +174,8 @@ def measure(root: Node) -> tuple[Node, list[Node]]:
     return body, order
 
 
-def content(root: Node) -> list[Node]:
-    """The nodes whose text is the main text, in page order."""
-    body, order = measure(root)
-    if not body.chars:
-        return []
+def way_of(root: Node, body: Node, order: list[Node]) -> list[Node]:
+    """The core and the nodes that hold it, up to the body."""
     inside = [x for x in order if x is not root]
     core = max(inside, key=lambda x: x.total, default=body)
     if not core.total:
@@ -158,6 +183,47 @@ def content(root: Node) -> list[Node]:
     way = [core]
     while way[-1] is not body and way[-1].parent is not None and way[-1].parent is not root:
         way.append(way[-1].parent)
+    return way
+
+
+def settle(root: Node) -> tuple[Node, list[Node]]:
+    """Cut the marked elements that do not hold the page's text; measures of the rest."""
+    body, order = measure(root)
+    marked = [x for x in order if x.marks]
+    if not marked:
+        return body, order
+    under, within = set(), set()
+    for x in order:
+        if x.marks or id(x.parent) in under:
+            under.add(id(x))
+        if x.tag in ("article", "main") or id(x.parent) in within:
+            within.add(id(x))
+    named = any(x.tag in ("article", "main") and x.chars and id(x) not in under for x in order)
+    for x in marked:
+        x.cut = x.tag != "p" and (named and id(x) not in within or not READER_WORDS.isdisjoint(x.marks))
+    body, order = measure(root)
+    way = way_of(root, body, order)
+    held, threshold = {id(x) for x in way}, min(x.density for x in way)
+    for x in order:
+        if x.marks and x.tag == "p":
+            x.cut = x.density < threshold or 2 * x.link_chars >= x.chars
+        elif x.marks:
+            x.cut = id(x) not in held and 3 * x.chars <= 2 * body.chars
+    body, order = measure(root)
+    if not body.chars:
+        for x in marked:
+            x.cut = False
+        body, order = measure(root)
+    return body, order
+
+
+def content(root: Node) -> list[Node]:
+    """The nodes whose text is the main text, in page order."""
+    body, order = settle(root)
+    if not body.chars:
+        return []
+    way = way_of(root, body, order)
+    core = way[0]
     holders = [x for x in way if x.tag in ("article", "main")]
     if holders:
         return [holders[-1]]
@@ -172,8 +238,9 @@ def content(root: Node) -> list[Node]:
 
 
 def is_menu(node: Node) -> bool:
-    """A block of at least two links and hardly any other text."""
-    return node.tag in ("ul", "ol", "div", "table", "section") and node.link_tags >= 2 and node.link_chars >= 0.9 * node.chars
+    """A block of at least two short links and hardly any other text; longer
+    links are references."""
+    return node.tag in ("ul", "ol", "div", "table", "section") and node.link_tags >= 2 and node.link_chars >= 0.9 * node.chars and node.link_chars < LABEL * node.link_tags
 
 
 def block_texts(nodes: list[Node]) -> Iterator[str]:

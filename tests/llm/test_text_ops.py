@@ -153,6 +153,31 @@ def test_density_prefers_text_to_links():
     assert text.density > 5 * links.density
 
 
+TEXT = "Some sentence of the main text that goes on for a while, and then on. " * 4
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div class='content has-sidebar'><p>{t}</p><p>{t}</p></div><div class='sidebar'>side</div>",
+    "<body><div id=page class='no-sidebar'><p>{t}</p><p>{t}</p></div>",
+    "<body><div class='post social-share-enabled'><p>{t}</p><p>{t}</p></div>",
+    "<body><div class='left-sidebar'><div class='text'><p>{t}</p><p>{t}</p></div></div>",
+    "<body><div class=comments><p>{t}</p><p>{t}</p></div>",
+    "<body><article><section id='related-work'><p>{t}</p></section><p>{t}</p></article>",
+    "<body><article><div class='text widget'><p>{t}</p><p>{t}</p></div></article><div class=promoted>" + "<p>{t}</p>" * 9 + "</div>",
+    "<body><article><p>{t}</p><p class='notice'>{t}</p></article>",
+    "<body><article><p>{t}</p><p>{t}</p></article><div id=comments>" + "<p>{t}</p>" * 9 + "</div>",
+    "<body><div class=post><p>{t}</p><p>{t}</p></div><div id=comments>" + "<div><p>{t}</p></div>" * 9 + "</div>",
+])
+def test_class_words_do_not_cut_what_holds_the_text(page):
+    assert mainhtml.main_text(page.replace("{t}", TEXT)) == "\n".join([TEXT.strip()] * 2)
+
+
+def test_references_of_an_article_are_kept():
+    refs = [f"On the {w} of long titles in lists of references" for w in ("use", "harm", "length")]
+    page = f"<body><article><p>{TEXT}</p><ol>" + "".join(f"<li><a href=x>{x}</a></li>" for x in refs) + "</ol><ul><li><a>Home</a></li><li><a>Next</a></li></ul></article>"
+    assert mainhtml.main_text(page) == "\n".join([TEXT.strip(), *refs])
+
+
 def brute_places(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     at = sorted((i, label) for p, label in licenses.BASE.items() for i in range(len(words)) if words[i:i + len(p.split())] == p.split())
