@@ -172,6 +172,16 @@ def test_class_words_do_not_cut_what_holds_the_text(page):
     assert mainhtml.main_text(page.replace("{t}", TEXT)) == "\n".join([TEXT.strip()] * 2)
 
 
+def test_thresholds_decide_on_pages_without_article():
+    """Beside the way to the body, a dense subtree is kept and those of links or scraps are not."""
+    links = "".join(f"<a href=x>link {i}</a> " for i in range(8))
+    page = f"<body><div><b>x</b>{links}</div><div><div><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p></div><p>{TEXT}</p><div>{links}</div></div><div><i>a</i><i>b</i><i>c</i></div>"
+    root = mainhtml.parse(page)
+    kept = mainhtml.content(root)
+    assert [x.tag for x in kept] == ["div", "p"] and len(kept[0].children) == 3
+    assert mainhtml.main_text(page) == "\n".join([TEXT.strip()] * 4)
+
+
 def test_references_of_an_article_are_kept():
     refs = [f"On the {w} of long titles in lists of references" for w in ("use", "harm", "length")]
     page = f"<body><article><p>{TEXT}</p><ol>" + "".join(f"<li><a href=x>{x}</a></li>" for x in refs) + "</ol><ul><li><a>Home</a></li><li><a>Next</a></li></ul></article>"
