@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, chat, decontam, hpylm, langid, licenses, lzprint, mainhtml, minhash, tokencount
+from ledgerflow.llm import bpe, chat, decontam, hpylm, langid, licenses, lzprint, mainhtml, merkle, minhash, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hpylm": hpylm.documents,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_diagonals": licenses.documents,
     "op9_language_ecoc": langid.languages,
     "op10_byte_bpe": bpe.digests,
+    "op11_merkle_butterfly": merkle.documents,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_merkle_butterfly": merkle.SQL,
+}
