@@ -129,3 +129,19 @@ def row_uid(id_col: str, text_col: str):
 def crc_mod(column: str, modulus: int):
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+#: Keys that hold more than one in so many rows are hot; there are fewer than that.
+SHARE = 4096
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame) -> DataFrame:
+    """``rows`` (a stored table) left-joined with ``table``, whose ``key`` is unique.
+
+    Keys with more than one in ``SHARE`` of the rows stay where their rows are:
+    they are fewer than ``SHARE``, so their part of ``table`` can be sent to
+    every task.  No task of the other join gets more of one key than that share."""
+    total = rows.count()
+    hot = F.broadcast(stored(rows.groupBy(key).agg(F.count("*").alias("rows")).where((F.col("rows") * SHARE > total) & F.col(key).isNotNull()).select(key), "hot-keys"))
+    of_hot = F.broadcast(hot.join(table, key, "left"))
+    return rows.join(of_hot, key).unionByName(rows.join(hot, key, "left_anti").join(table, key, "left"))
