@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, chat, decontam, hpylm, langid, licenses, lzprint, mainhtml, merkle, minhash, tokencount, warc
+from ledgerflow.llm import bpe, chat, colloc, decontam, hpylm, langid, licenses, lzprint, mainhtml, merkle, minhash, tokencount, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hpylm": hpylm.documents,
@@ -21,9 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": bpe.digests,
     "op11_merkle_butterfly": merkle.documents,
     "op12_warc_transactions": warc.pages,
+    "op13_stripe_collocations": colloc.documents,
 }
 
 ORACLES: dict[str, str] = {
     "op11_merkle_butterfly": merkle.SQL,
     "op12_warc_transactions": warc.SQL,
+    "op13_stripe_collocations": colloc.SQL,
 }
