@@ -39,22 +39,30 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: list[np.ndarray] = []
 
 
-def phrases(text: str, seen: set[str], start: int = 0, border: int | None = None) -> tuple[list[int], int]:
-    """Ends of the phrases from ``start`` on, and how many end by ``border``.
-    ``seen`` holds the phrases so far and is extended."""
+def phrases(text: str, root: dict, start: int = 0, log: list | None = None) -> tuple[list[int], bool]:
+    """Ends of the phrases from ``start`` on, and whether the last is cut short
+    by the end of the text; such a one counts, but is not learnt.
+
+    ``root`` is the trie of the phrases so far, nested by character, with 0 for
+    a phrase that none extends; it is extended, and ``log`` says where."""
     ends: list[int] = []
-    n, before = len(text), 0
-    border = n if border is None else border
-    while start < n:
-        end = start + 1
-        while (piece := text[start:end]) in seen and end < n:
-            end += 1
-        seen.add(piece)
+    node, end = root, start
+    for char in text[start:]:
+        end += 1
+        below = node.get(char)
+        if below:
+            node = below
+        elif below is None:
+            node[char] = 0
+            if log is not None:
+                log.append((node, char))
+            ends.append(end)
+            node = root
+        else:
+            node[char] = node = {}
+    if node is not root:
         ends.append(end)
-        if end <= border:
-            before += 1
-        start = end
-    return ends, before
+    return ends, node is not root
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,8 +111,7 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
 
 
 def print_of(text: str) -> np.ndarray:
-    ends, _ = phrases(text, set())
-    return least(phrase_hashes(text, ends))
+    return least(phrase_hashes(text, phrases(text, {})[0]))
 
 
 def prints_of_both(text: str, following: str) -> tuple[np.ndarray, str, np.ndarray]:
@@ -112,17 +119,23 @@ def prints_of_both(text: str, following: str) -> tuple[np.ndarray, str, np.ndarr
     q = len(text) // 4
     border = len(text) - q
     edited = text[:border] + following[:q]
-    ends, before = phrases(text, set(), border=border)
-    own = phrase_hashes(text, ends)
     if edited == text:
-        return least(own), edited, least(own)
-    # The last phrase can be cut short by the end of the text.
-    before = min(before, len(ends) - 1)
-    at = ends[before - 1] if before else 0
-    starts = [0, *ends[:before]]
-    seen = {text[s:e] for s, e in zip(starts, ends[:before], strict=False)}
-    rest, _ = phrases(edited, seen, at)
-    return least(own), edited, least(np.concatenate((own[:before], phrase_hashes(edited, rest, at))))
+        mine = print_of(text)
+        return mine, edited, mine
+    # Both begin alike; the phrase that crosses the border is read anew in each.
+    root: dict = {}
+    both, cut = phrases(text[:border], root)
+    if cut:
+        both.pop()
+    at = both[-1] if both else 0
+    shared = phrase_hashes(text, both)
+    learnt: list[tuple[dict, str]] = []
+    rest, _ = phrases(text, root, at, learnt)
+    for node, char in reversed(learnt):
+        del node[char]
+    other, _ = phrases(edited, root, at)
+    return (least(np.concatenate((shared, phrase_hashes(text, rest, at)))), edited,
+            least(np.concatenate((shared, phrase_hashes(edited, other, at)))))
 
 
 def chained(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

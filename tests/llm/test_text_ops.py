@@ -106,16 +106,49 @@ def test_lz_fingerprints_and_neighbours(messy):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
-def test_lz_likeness_follows_the_phrase_sets():
-    def jaccard(a, b):
-        sets = []
-        for t in (a, b):
-            ends, _ = lzprint.phrases(t, seen := set())
-            sets.append(seen)
-        return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+def plain_phrases(text: str) -> set[str]:
+    """The phrase set by slices and a set, and what the end cuts short."""
+    seen, start = set(), 0
+    while start < len(text):
+        end = start + 1
+        while text[start:end] in seen and end < len(text):
+            end += 1
+        seen.add(text[start:end])
+        start = end
+    return seen
+
+
+def plain_print(text: str) -> str:
+    """The fingerprint by whole numbers, one phrase after another."""
+    m, base = 1 << 64, 0x9E3779B97F4A7C15
+
+    def mix(x: int) -> int:
+        for _ in range(2):
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 % m
+        return x ^ x >> 32
+
+    hashes = {mix((sum(mix(ord(c) + 1) * pow(base, i, m) for i, c in enumerate(w)) + len(w)) % m) >> 32 for w in plain_phrases(text)}
+    return "".join(f"{x:08x}" for x in sorted(hashes)[:lzprint.SIZE])
+
 
+def edge_texts() -> list[str]:
+    return ["", "a", "aa", "aaab", "a" * 500, "ab" * 77, "日本語日本語日本" * 9, "\U0001F600é\x00" * 5, prose(3, 300), prose(3, 299) + "x", *[prose(i, i) for i in range(1, 40, 3)]]
+
+
+def test_lz_fingerprints_equal_plain_ones(monkeypatch):
+    texts = edge_texts()
+    for run in (lzprint.RUN, 7):  # texts beyond a run
+        monkeypatch.setattr(lzprint, "RUN", run)
+        for t, nxt in zip(texts, texts[1:] + texts[:1], strict=True):
+            own, edited, other = lzprint.prints_of_both(t, nxt)
+            assert edited == t[:len(t) - len(t) // 4] + nxt[:len(t) // 4]
+            assert (lzprint.fingerprint(own), lzprint.fingerprint(other)) == (plain_print(t), plain_print(edited))
+
+
+def test_lz_likeness_follows_the_phrase_sets():
     a, b = prose(1, 900), prose(1, 600) + prose(9, 300)
-    assert abs(lzprint.likeness(lzprint.print_of(a), lzprint.print_of(b)) - jaccard(a, b)) < 0.2
+    sets = [plain_phrases(t) for t in (a, b)]
+    assert abs(lzprint.likeness(lzprint.print_of(a), lzprint.print_of(b)) - len(sets[0] & sets[1]) / len(sets[0] | sets[1])) < 0.2
     assert lzprint.print_of("") .size == 0 and lzprint.likeness(lzprint.print_of(""), lzprint.print_of(a)) == 0
 
 
