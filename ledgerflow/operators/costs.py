@@ -86,18 +86,19 @@ def expand_cost_rows(clean: DataFrame, labels: DataFrame, bucket_size: int = DEF
     per_visit = rows.select(
         "*", F.try_divide(total_cost, occurrence_totals(F.col("marks"))).alias("cost_per_occ"),
         F.posexplode(counts).alias("p0", "n"))
-    copies = with_copies(per_visit.withColumn("n_copies", F.floor("n").cast("int")).filter(F.col("n_copies") >= 1),
-                         "n_copies", "copy")
+    per_visit = per_visit.withColumn("n_copies", F.floor("n").cast("int")).filter(F.col("n_copies") >= 1)
     vnum = visit_number(F.col("p0") + 1)
     label = F.coalesce(F.try_element_at(F.col("label_names"), (F.col("p0") + 1).cast("int")), vnum)
-    shaped = copies.select(
-        *SHEET, "row_idx", "p0", "copy", "cpms_id", F.col("study_name").alias("study"),
+    shaped = per_visit.select(
+        *SHEET, "row_idx", "p0", "n_copies", "cpms_id", F.col("study_name").alias("study"),
         vnum.alias("visit_number"), F.col("pseudo_arm").alias("study_arm"), label.alias("visit_label"),
         F.col("activity").alias("activity_name"), F.col("cost_per_occ").alias("ict_cost"), "staff_group",
         F.col("sheet_name").alias("source_sheet"), row_bucket("row_idx", bucket_size).alias("_b"))
+    # Numbered before they are multiplied: a bucket has a row per row number at most.
     numbered = dense_sequence(shaped, partition_cols=SHEET + ["study_arm", "visit_number", "activity_name"],
-                              order_cols=["row_idx", "p0", "copy"], bucket_col="_b", out_col="occ")
-    return numbered.withColumn("activity_occurrence_id", F.col("occ").cast("int")).select(*COST_COLUMNS)
+                              order_cols=["row_idx", "p0"], bucket_col="_b", out_col="occ", weight_col="n_copies")
+    copies = with_copies(numbered, "n_copies", "copy")
+    return copies.withColumn("activity_occurrence_id", (F.col("occ") + F.col("copy")).cast("int")).select(*COST_COLUMNS)
 
 
 def cost_table(table: DataFrame, layout: DataFrame, clean: DataFrame,

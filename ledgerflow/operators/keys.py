@@ -32,14 +32,23 @@ MAIN_KEY = ("study_arm", "visit")
 
 
 def dense_sequence(df: DataFrame, *, partition_cols: Sequence[str], order_cols: Sequence[str],
-                   bucket_col: str, out_col: str, nulls: bool = True) -> DataFrame:
+                   bucket_col: str, out_col: str, nulls: bool = True, weight_col: str | None = None) -> DataFrame:
     """1..n per partition in ``order_cols`` order; ``bucket_col`` must be a
     coarse, order-preserving function of the order (a prefix of it).
-    ``nulls=False``: partition and bucket columns are never NULL."""
+    ``nulls=False``: partition and bucket columns are never NULL.
+
+    With ``weight_col`` a row stands for so many numbers, and gets the count
+    of those before it: rows that are going to be multiplied are numbered
+    before they are, so a bucket holds no more rows than its order keys."""
     p = list(partition_cols)
-    local = df.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*p, bucket_col).orderBy(*order_cols)))
-    counts = df.groupBy(*p, bucket_col).agg(F.count(F.lit(1)).alias("__cnt"))
+    inside = Window.partitionBy(*p, bucket_col).orderBy(*order_cols)
+    if weight_col is None:
+        rank, size = F.row_number().over(inside), F.count(F.lit(1))
+    else:
+        earlier = F.sum(weight_col).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+        rank, size = F.coalesce(earlier, F.lit(0)), F.sum(weight_col)
+    local = df.withColumn("__local", rank)
+    counts = df.groupBy(*p, bucket_col).agg(size.alias("__cnt"))
     before = Window.partitionBy(*p).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
     return (join_null_safe(local, offsets, p + [bucket_col], "inner", nulls)

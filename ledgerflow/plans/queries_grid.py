@@ -298,12 +298,22 @@ def q_summary_transpose(spark, sf_dir):
     return costs.summary_costs(table, layout)
 
 
-@register("expand_cost_rows", o_stage_a().rstrip() + ",\n" + O_SUMMARY + ",\n" + O_EXPAND + "\nSELECT * FROM expanded")
+_EXPANDED_SQL = o_stage_a().rstrip() + ",\n" + O_SUMMARY + ",\n" + O_EXPAND + "\nSELECT * FROM expanded"
+
+
+@register("expand_cost_rows", _EXPANDED_SQL)
 def q_expand_cost_rows(spark, sf_dir):
     layout, table, clean = _stage_a(spark, sf_dir)
     return costs.expand_cost_rows(clean, costs.label_lookup(table, layout))
 
 
+@register("expand_cost_rows_split", _EXPANDED_SQL)
+def q_expand_cost_rows_split(spark, sf_dir):
+    """W3 with sheets above the bound."""
+    layout, table, clean = _stage_a(spark, sf_dir)
+    return costs.expand_cost_rows(clean, costs.label_lookup(table, layout), bucket_size=SMALL_BUCKET)
+
+
 # ---------------------------------------------------------------------------
 # P13 / P10 / R1 / P14 / W4 / W5
 
@@ -351,17 +361,45 @@ def q_study_arm(spark, sf_dir):
     return clean.select("workbook_id", "sheet_name", "row_idx", "flag", longform.study_arm().alias("study_arm"))
 
 
-@register("occurrence_ids", _B + f"SELECT {_LONG_SQL}, activity_occurrence_id FROM occ")
-def q_occurrence_ids(spark, sf_dir):
+#: Row numbers a bucket: most sheets of the given tables are above it.
+SMALL_BUCKET = 3
+
+
+def _occurrence_ids(spark, sf_dir, **bucket):
     from ledgerflow.sources.stage import materialize
     _, table, clean = _stage_a(spark, sf_dir)
     routed = longform.reroute(clean.withColumnRenamed("sheet_pos", "source_sheet_pos"), longform.workbook_has_ua(table))
-    long = longform.with_occurrence_ids(materialize(longform.long_rows(routed), "grid_long"))
-    return long.select(*_LONG_COLS, "activity_occurrence_id")
+    visits = materialize(longform.visit_rows(longform.by_target_sheet(longform.with_visit_counts(routed))), "grid_visits")
+    return longform.occurrences(longform.with_occurrence_starts(visits, **bucket)).select(*_LONG_COLS, "activity_occurrence_id")
+
 
+_OCC_SQL = _B + f"SELECT {_LONG_SQL}, activity_occurrence_id FROM occ"
 
-@register("row_ids", _B + f"SELECT {_LONG_SQL}, activity_occurrence_id, target_sheet_pos, row_id FROM longr")
+
+@register("occurrence_ids", _OCC_SQL)
+def q_occurrence_ids(spark, sf_dir):
+    return _occurrence_ids(spark, sf_dir)
+
+
+@register("occurrence_ids_split", _OCC_SQL)
+def q_occurrence_ids_split(spark, sf_dir):
+    """W4 with sheets above the bound: counted over many buckets, moved rows among them."""
+    return _occurrence_ids(spark, sf_dir, bucket_size=SMALL_BUCKET)
+
+
+_ROW_SQL = _B + f"SELECT {_LONG_SQL}, activity_occurrence_id, target_sheet_pos, row_id FROM longr"
+
+
+@register("row_ids", _ROW_SQL)
 def q_row_ids(spark, sf_dir):
     """C3 output: long rows with arm, occurrence id and per-workbook row id."""
     long = _stage_b(spark, sf_dir)
     return long.select(*_LONG_COLS, "activity_occurrence_id", "target_sheet_pos", "row_id")
+
+
+@register("row_ids_split", _ROW_SQL)
+def q_row_ids_split(spark, sf_dir):
+    """W5 with sheets above the bound."""
+    layout, table, clean = _stage_a(spark, sf_dir)
+    long = longform.stage_b(clean, table, layout, bucket_size=SMALL_BUCKET)
+    return long.select(*_LONG_COLS, "activity_occurrence_id", "target_sheet_pos", "row_id")
