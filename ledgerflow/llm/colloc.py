@@ -47,10 +47,10 @@ from ledgerflow.llm import common
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: A candidate is dropped for a longer one with so many percent of its occurrences.
 SUBSUMED = 100
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 SEGMENT = 1 << 20
 #: Bytes of text cut into words at a time, and entries of stripes merged at a time.
-RUN = 1 << 20
+RUN = 1 << 18
 #: Tasks among which the candidates of one language are dealt for the report.
 DEALT = 64
 BORDER = b"."
