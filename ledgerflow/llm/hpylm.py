@@ -27,7 +27,8 @@ Spark jobs:
    them number at most 258 * 258, a bound that does not grow with the corpus;
    their seating is sampled from the groups' tables.
 3. Each partition's words and grams, now with counts and probabilities, are
-   brought together with its documents, which are read as a stream.
+   packed into arrays and brought together with its documents, which are read
+   as a stream.
 
 Defined results: a null or empty text is the end token alone; a null id
 counts as an empty id for the fold; repeated rows are learnt and scored
@@ -61,6 +62,8 @@ RUN = 1 << 22
 #: Grams that a group of restaurants is meant to have.
 GROUP = 50_000
 WORD, GRAM, DOCUMENT = 0, 1, 2
+#: Entries of a block in one row, and entries that a task packs at a time.
+PACK, PACKED = 1024, 1 << 19
 
 
 def tokens(text: str) -> list[bytes]:
@@ -239,6 +242,37 @@ def probabilities(counts: DataFrame, n_grams: int) -> DataFrame:
     return subtrees(upper_probabilities(drawn)).where("not upper").select("key", "logp")
 
 
+def packed(entries: DataFrame) -> DataFrame:
+    """(block, kind, keys, values): the entries (block, kind, key, value) with up
+    to ``PACK`` of one block and kind in a row, as arrays."""
+
+    def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, kind, key, value = (np.concatenate([b.column(i).to_numpy() for b in parts]) for i in range(4))
+        order = np.lexsort((kind, block))
+        block, kind, key, value = block[order], kind[order], key[order], value[order]
+        edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+        starts = np.concatenate([np.arange(s, e, PACK) for s, e in zip([0, *edges], [*edges, len(block)], strict=True)])
+        for i in range(0, len(starts), 256):
+            rows = starts[i:i + 256]
+            last = starts[i + 256] if i + 256 < len(starts) else len(block)
+            offsets = pa.array((np.append(rows, last) - rows[0]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x[rows[0]:last])) for x in (key, value)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[rows]), pa.array(kind[rows]), *lists], ["block", "kind", "keys", "values"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size >= PACKED:
+                yield from flush(held)
+                held, size = [], 0
+        if size:
+            yield from flush(held)
+
+    return common.map_arrow(entries.select("block", "kind", "key", "value"), "block int, kind tinyint, keys array<long>, values array<double>", run)
+
+
 def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row; rows where ``train`` holds are learnt from.
@@ -250,16 +284,16 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     counted = gathered(rows)
     same = Window.partitionBy("kind", "key")
     totals = common.stored(counted.select("block", "kind", "key", F.sum("n").over(same).alias("n"), (F.col("block") == F.min("block").over(same)).alias("first")), "counts")
-    word = F.col("kind") == WORD
-    n_train, v_train, n_grams = totals.where("first").agg(
-        F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)), F.count(F.when(word & (F.col("n") > 0), 1)), F.count(F.when(~word, 1))).first()
+    word, one = F.col("first") & (F.col("kind") == WORD), F.col("first") & (F.col("kind") == GRAM)
+    n_train, v_train, n_grams, last_block = totals.agg(
+        F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)), F.count(F.when(word & (F.col("n") > 0), 1)), F.count(F.when(one, 1)), F.coalesce(F.max("block"), F.lit(0))).first()
     logp = common.stored(probabilities(totals.where("kind = 1 and first").select("key", "n"), n_grams), "probabilities")
     none = F.lit(None)
     entries = totals.where("kind = 0").select("block", "kind", "key", F.col("n").cast("double").alias("value")) \
         .union(totals.where("kind = 1").select("block", "kind", "key").join(logp, "key").select("block", "kind", "key", "logp"))
     id_kind = rows.schema["doc_id"].dataType.simpleString()
-    all_rows = entries.select("block", "kind", "key", "value", none.cast(id_kind).alias("doc_id"), none.cast("boolean").alias("train"), none.cast("string").alias("text")) \
-        .union(rows.select("block", F.lit(DOCUMENT).cast("tinyint"), none.cast("long"), none.cast("double"), "doc_id", "train", "text"))
+    all_rows = packed(entries).select("*", none.cast(id_kind).alias("doc_id"), none.cast("boolean").alias("train"), none.cast("string").alias("text")) \
+        .union(rows.select("block", F.lit(DOCUMENT).cast("tinyint"), none.cast("array<long>"), none.cast("array<double>"), "doc_id", "train", "text"))
     log_total = float(np.log10(n_train + SMOOTHING * (v_train + 1)))
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
@@ -297,13 +331,15 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
                     now, parts, ready = blocks[s], ([], []), None
                 part = b.slice(s, e - s)
                 if kinds[s] != DOCUMENT:
-                    parts[kinds[s]].append((part.column("key").to_numpy(), part.column("value").to_numpy()))
+                    parts[kinds[s]].append((part.column("keys").flatten().to_numpy(), part.column("values").flatten().to_numpy()))
                     continue
                 if ready is None:
                     ready, parts = (table(WORD), table(GRAM)), ([], [])
                 yield from map(documents, common.slices([part], 256))
 
-    together = all_rows.repartition("block").sortWithinPartitions("block", "kind")
+    # Blocks are dealt in turn, not by a hash: no task has two while another has none.
+    deal = max(1, min(last_block + 1, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    together = all_rows.repartitionById(deal, F.pmod("block", F.lit(deal))).sortWithinPartitions("block", "kind")
     return common.map_arrow(together, f"doc_id {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", run)
 
 
