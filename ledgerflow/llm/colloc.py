@@ -17,13 +17,13 @@ Spark jobs, for each length:
 
 1. a block (at most about ``BLOCK`` words of one language, as numbers of its own
    list of words or phrases) meets the numbers given to its frequent phrases and
-   sends its stripes.  A frequent prefix's stripe goes in segments of about
-   ``SEGMENT`` occurrences, by what follows;
-2. the parts of one segment meet in a task, which reads them as a stream and
-   sends one row to each block for each of its frequent phrases.
+   sends its stripes, those of one bucket packed into a row.  A frequent prefix's
+   stripe goes in segments of about ``SEGMENT`` occurrences, by what follows;
+2. the rows of one bucket meet in a task, which merges the bucket's stripes and
+   sends each block a row with the numbers of its phrases that are frequent.
 
-No key is in more than one row of a block, so none is hot.  Numbers are given
-by the task that merges (its partition and a counter), never by a hash.
+No key is in a block more than once, so none is hot.  Numbers are given by the
+task that merges (its partition and a counter), never by a hash.
 
 Defined results: a null text is empty, a null language ``und``; repeated rows
 count each; an empty table gives no rows; other columns are ignored.
@@ -32,6 +32,7 @@ count each; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -49,8 +50,10 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 SUBSUMED = 100
 BLOCK = 1 << 20
 SEGMENT = 1 << 20
-#: Bytes of text cut into words at a time, and entries of stripes merged at a time.
+#: Bytes of text cut into words at a time.
 RUN = 1 << 18
+#: Buckets, for each of the session's shuffle partitions, that words and stripes are dealt into; a task merges one at a time.
+BUCKETS = 4
 #: Tasks among which the candidates of one language are dealt for the report.
 DEALT = 64
 BORDER = b"."
@@ -89,36 +92,97 @@ class Block(dict):
         self.size += len(found)
 
 
-def packed(code: np.ndarray) -> bytes:
+def packed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers, each array sorted or not, as differences by byte planes, compressed."""
+    parts = []
+    for x in arrays:
+        steps = np.diff(x.astype(np.int64), prepend=0)
+        parts += [np.int64(len(x)).tobytes(), steps.view(np.uint8).reshape(-1, 8).T.tobytes()]
+    return zstandard.compress(b"".join(parts), 3)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    raw, at, out = zstandard.decompress(data), 0, []
+    while at < len(raw):
+        n = int(np.frombuffer(raw, np.int64, 1, at)[0])
+        planes = np.frombuffer(raw, np.uint8, 8 * n, at + 8).reshape(8, n)
+        out.append(np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel()))
+        at += 8 + 8 * n
+    return out
+
+
+def packed_code(code: np.ndarray) -> bytes:
     return zstandard.compress(code.astype(np.int32).tobytes(), 3)
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked_code(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), np.int32)
 
 
-def coded(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """Per block one row with its ``code``, and a row (c, word, n) for each of its words."""
-    names, types = ["block", "lang", "code", "c", "word", "n"], [pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.string(), pa.int64()]
+def runs(sorted_keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(key, start, end) of each run of equal keys."""
+    edges = np.flatnonzero(np.diff(sorted_keys)) + 1
+    if len(sorted_keys):
+        for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(sorted_keys)], strict=True):
+            yield int(sorted_keys[s]), s, e
+
+
+class Sender:
+    """Collects rows of a schema (``name kind, ...``) and gives them as batches."""
 
-    def batch(*columns) -> pa.RecordBatch:
-        size = max(len(x) for x in columns if x is not None)
-        return pa.RecordBatch.from_arrays([pa.nulls(size, t) if x is None else x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
+    KINDS = {"long": pa.int64(), "int": pa.int32(), "tinyint": pa.int8(), "string": pa.string(), "binary": pa.binary()}
+
+    def __init__(self, schema: str):
+        self.fields = [(name, self.KINDS[kind]) for name, kind in (x.split() for x in schema.split(", "))]
+        self.rows: list[dict] = []
+        self.size = 0
+
+    def add(self, **row) -> None:
+        self.rows.append(row)
+        self.size += sum(len(x) for x in row.values() if isinstance(x, bytes))
+
+    def full(self) -> bool:
+        return len(self.rows) >= 1000 or self.size > 1 << 22
+
+    def batch(self) -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array([r.get(name) for r in self.rows], kind) for name, kind in self.fields], [name for name, _ in self.fields])
+        self.rows, self.size = [], 0
+        return out
+
+    def columns(self, **columns) -> Iterator[pa.RecordBatch]:
+        """Whole columns at once; the others are null."""
+        size = len(next(iter(columns.values())))
+        for i in range(0, size, 50_000):
+            n = min(50_000, size - i)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[name][i:i + n], kind) if name in columns else pa.nulls(n, kind) for name, kind in self.fields], [name for name, _ in self.fields])
+
+
+CODED = "block long, lang string, code binary, total long, bucket int, words binary, data binary"
+
+
+def coded(docs: DataFrame, text_col: str, lang_col: str, buckets: int) -> DataFrame:
+    """Per block one row with its ``code`` and ``total`` words, and a row for each
+    bucket of its distinct words: their numbers and counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[str, Block] = {}
         made = TaskContext.get().partitionId() << 32
+        out = Sender(CODED)
 
         def close(lang: str) -> Iterator[pa.RecordBatch]:
             nonlocal made
             b = blocks.pop(lang)
             code = np.concatenate(b.codes)
-            n = np.bincount(code, minlength=len(b))[1:]
-            yield batch([made], [lang], [packed(code)], None, None, None)
-            spelt = list(b)[1:]
-            for i in range(0, len(spelt), 50_000):
-                part = pa.array(spelt[i:i + 50_000], pa.binary()).cast(pa.string())
-                yield batch([made] * len(part), [lang] * len(part), None, np.arange(i + 1, i + 1 + len(part), dtype=np.int32), part, n[i:i + 50_000])
+            n = np.bincount(code, minlength=len(b))
+            out.add(block=made, lang=lang, code=packed_code(code), total=int(n[1:].sum()))
+            spelt = list(b)
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in spelt), np.int64, len(spelt))
+            order = np.argsort(bucket[1:], kind="stable") + 1
+            for key, s, e in runs(bucket[order]):
+                c = order[s:e]
+                out.add(block=made, lang=lang, bucket=key, words=zstandard.compress(b" ".join([spelt[i] for i in c])), data=packed(c, n[c]))
+                if out.full():
+                    yield out.batch()
             made += 1
 
         for rows in common.slices(batches):
@@ -137,123 +201,174 @@ def coded(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 yield from close(max(blocks, key=lambda x: blocks[x].size))
         for lang in list(blocks):
             yield from close(lang)
+        if out.rows:
+            yield out.batch()
 
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    return common.map_arrow(rows, "block long, lang string, code binary, c int, word string, n long", run)
+    return common.map_arrow(rows, CODED, run)
+
+
+#: ``given``: the numbers c of a block's frequent words or phrases, their ids and into how many segments their stripes go.
+LEARNT = "kind tinyint, lang string, word string, prefix long, suffix long, f long, gid long, block long, given binary, total long, largest long"
+
 
+def segments(f: np.ndarray) -> np.ndarray:
+    return 1 + f // SEGMENT
 
-def pairs(code: np.ndarray, c: np.ndarray, gid: np.ndarray, f: np.ndarray) -> tuple[pa.Table, np.ndarray]:
-    """A block's stripes and its code for the next length: (prefix, seg, suffix, n,
-    c), where a suffix is the frequent phrase that ends with the next word, and
-    ``c`` numbers the block's distinct pairs from 1."""
+
+def by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """All rows of one bucket after another, from rows sorted by bucket."""
+    held: list[dict] = []
+    for b in common.slices(batches, 64):
+        for row in b.to_pylist():
+            if held and held[0]["bucket"] != row["bucket"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def give(out: Sender, block: np.ndarray, c: np.ndarray, gid: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each block with what it learns."""
+    order = np.lexsort((c, block))
+    block, c, gid, f = block[order], c[order], gid[order], f[order]
+    for key, s, e in runs(block):
+        out.add(kind=GIVEN, block=key, given=packed(c[s:e], gid[s:e], segments(f[s:e])))
+        if out.full():
+            yield out.batch()
+    if out.rows:
+        yield out.batch()
+
+
+def first_id() -> int:
+    return (TaskContext.get().partitionId() << 40) + 1
+
+
+def frequent_words(parts: DataFrame, least: int) -> DataFrame:
+    """Rows of ``LEARNT``: the words of at least ``least`` occurrences in their
+    language (lang, word, f, gid), and what blocks learn of them."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, out = first_id(), Sender(LEARNT)
+        for rows in by_bucket(batches):
+            for lang in {r["lang"] for r in rows}:
+                mine = [(r["block"], zstandard.decompress(r["words"]).split(b" "), *unpacked(r["data"])) for r in rows if r["lang"] == lang]
+                spelt = pa.array([w for _, found, _, _ in mine for w in found], pa.binary()).dictionary_encode()
+                which, c, n = spelt.indices.to_numpy(), np.concatenate([x[2] for x in mine]), np.concatenate([x[3] for x in mine])
+                block = np.repeat([x[0] for x in mine], [len(x[1]) for x in mine])
+                f = np.bincount(which, weights=n, minlength=len(spelt.dictionary)).astype(np.int64)
+                often = f >= least
+                gid = np.zeros(len(f), np.int64)
+                gid[often] = made + np.arange(often.sum())
+                made += int(often.sum())
+                yield from out.columns(kind=np.full(often.sum(), PHRASE, np.int8), lang=[lang] * int(often.sum()), word=spelt.dictionary.filter(pa.array(often)).cast(pa.string()), f=f[often], gid=gid[often])
+                sent = often[which]
+                yield from give(out, block[sent], c[sent], gid[which][sent], f[which][sent])
+
+    rows_in = parts.where("bucket is not null").select("bucket", "block", "lang", "words", "data")
+    return common.map_arrow(rows_in.repartition("bucket").sortWithinPartitions("bucket"), LEARNT, run)
+
+
+STRIPES = "block long, code binary, bucket int, base int, data binary"
+
+
+def pairs(code: np.ndarray, c: np.ndarray, gid: np.ndarray, segs: np.ndarray, buckets: int) -> tuple[list[tuple], np.ndarray]:
+    """A block's stripes and its code for the next length.
+
+    Stripes come by bucket (bucket, base, prefix, suffix, n, end, n_end), sorted by prefix
+    and suffix: a suffix is the frequent phrase that ends with the next word; an
+    end is a prefix that no frequent word follows.  The pairs of a bucket are
+    numbered from ``base`` on in the next code."""
     size = int(max(code.max(initial=0), c.max(initial=0))) + 1
-    number, often = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    number[c], often[c] = gid, f
+    number, split = np.zeros(size, np.int64), np.ones(size, np.int64)
+    number[c], split[c] = gid, segs
     alive = number[code] > 0
     at = np.flatnonzero(alive[:-1] & alive[1:])
     which, found = pd.factorize(code[at].astype(np.int64) << 32 | code[at + 1])
     found = np.asarray(found, np.int64)
     alive[at] = False
     ends, n_ends = np.unique(code[alive], return_counts=True)
-    prefix = np.concatenate((found >> 32, ends))
-    suffix = np.concatenate((number[found & 0xFFFFFFFF], np.zeros(len(ends), np.int64)))
-    n = np.concatenate((np.bincount(which, minlength=len(found)), n_ends)).astype(np.int64)
-    mine = np.concatenate((np.arange(1, len(found) + 1), np.zeros(len(ends)))).astype(np.int32)
-    seg = (common.mix(suffix.view(np.uint64)) % (1 + often[prefix] // SEGMENT).astype(np.uint64)).astype(np.int32)
-    order = np.lexsort((seg, prefix))
-    prefix, seg = prefix[order], seg[order]
-    starts = np.flatnonzero(np.concatenate(([True], (np.diff(prefix) != 0) | (np.diff(seg) != 0)))) if len(prefix) else np.empty(0, np.int64)
-    offsets = pa.array(np.append(starts, len(prefix)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (suffix, n, mine)]
-    stripes = pa.table([pa.array(number[prefix[starts]]), pa.array(seg[starts]), *lists], ["prefix", "seg", "suffix", "n", "c"])
-    code = np.zeros(len(code), np.int32)
-    code[at] = which + 1
-    code = code[(code > 0) | (np.concatenate(([0], code[:-1])) > 0)]
-    return stripes, code
-
 
-STRIPES = "block long, code binary, prefix long, seg int, suffix array<long>, n array<long>, c array<int>"
+    def bucket_of(prefix: np.ndarray, seg: np.ndarray) -> np.ndarray:
+        return (common.mix(prefix.view(np.uint64) + common.mix(seg.view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+
+    prefix, suffix = number[found >> 32], number[found & 0xFFFFFFFF]
+    seg = (common.mix(suffix.view(np.uint64)) % split[found >> 32].astype(np.uint64)).astype(np.int64)
+    bucket = bucket_of(prefix, seg)
+    order = np.lexsort((suffix, prefix, bucket))
+    n = np.bincount(which, minlength=len(found))[order]
+    prefix, suffix, bucket = prefix[order], suffix[order], bucket[order]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(1, len(order) + 1)
+    end_bucket = bucket_of(number[ends], np.zeros(len(ends), np.int64))
+    end_order = np.lexsort((number[ends], end_bucket))
+    ends, n_ends, end_bucket = number[ends][end_order], n_ends[end_order], end_bucket[end_order]
+    of_pairs = {key: (s, e) for key, s, e in runs(bucket)}
+    of_ends = {key: (s, e) for key, s, e in runs(end_bucket)}
+    out = []
+    for key in sorted({*of_pairs, *of_ends}):
+        (s, e), (t, u) = of_pairs.get(key, (0, 0)), of_ends.get(key, (0, 0))
+        out.append((key, s + 1, prefix[s:e], suffix[s:e], n[s:e], ends[t:u], n_ends[t:u]))
+    code = np.zeros(len(code), np.int32)
+    code[at] = place[which]
+    return out, code[(code > 0) | (np.concatenate(([0], code[:-1])) > 0)]
 
 
-def stripes(codes: DataFrame, given: DataFrame, last: bool) -> DataFrame:
-    """Rows of ``STRIPES``: every block's stripes, and its next code (but for the last length)."""
-    names = [x.split()[0] for x in STRIPES.split(", ")]
-    types = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+def stripes(codes: DataFrame, learnt: DataFrame, last: bool, buckets: int) -> DataFrame:
+    """Rows of ``STRIPES``: every block's stripes by bucket, and its next code (but for the last length)."""
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
-        if not block.num_rows or not known.num_rows:
-            return pa.table([pa.nulls(0, t) for t in types], names)
-        made, code = pairs(unpacked(block.column("code")[0].as_py()), *[known.column(x).to_numpy() for x in ("c", "gid", "f")])
-        mine = pa.array(np.full(made.num_rows, block.column("block")[0].as_py(), np.int64))
-        out = pa.table([mine, pa.nulls(made.num_rows, pa.binary()), *made.columns], names)
-        if not last and len(code):
-            more = pa.table([block.column("block"), pa.array([packed(code)], pa.binary()), *[pa.nulls(1, t) for t in types[2:]]], names)
-            out = pa.concat_tables([out, more])
-        return out
+        out = Sender(STRIPES)
+        if block.num_rows and known.num_rows:
+            name = block.column("block")[0].as_py()
+            parts = [unpacked(x) for x in known.column("given").to_pylist()]
+            made, code = pairs(unpacked_code(block.column("code")[0].as_py()), *map(np.concatenate, zip(*parts, strict=True)), buckets)
+            for key, base, *arrays in made:
+                out.add(block=name, bucket=key, base=base, data=packed(*arrays))
+            if not last and len(code):
+                out.add(block=name, code=packed_code(code))
+        return pa.Table.from_batches([out.batch()])
 
     common.workers_import(codes.sparkSession)
-    return codes.select("block", "code").groupBy("block").cogroup(given.select("block", "c", "gid", "f").groupBy("block")).applyInArrow(run, STRIPES)
-
-
-MERGED = "kind tinyint, prefix long, suffix long, f long, gid long, block long, c int, total long, largest long"
+    given = learnt.where(F.col("kind") == GIVEN).select("block", "given")
+    return codes.select("block", "code").groupBy("block").cogroup(given.groupBy("block")).applyInArrow(run, STRIPES)
 
 
 def merged(parts: DataFrame, least: int) -> DataFrame:
-    """Rows of ``MERGED``: the frequent phrases (prefix, suffix, f, gid), what
-    blocks learn of them (block, c, gid, f), and sums by prefix and segment
-    (prefix, total, largest)."""
-    names = [x.split()[0] for x in MERGED.split(", ")]
-    types = dict(zip(names, [pa.int8(), *[pa.int64()] * 5, pa.int32(), *[pa.int64()] * 2], strict=True))
-
-    def rows(kind: int, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        size = len(next(iter(columns.values())))
-        for i in range(0, size, 50_000):
-            n = min(50_000, size - i)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)) if x == "kind" else pa.array(columns[x][i:i + n], types[x]) if x in columns else pa.nulls(n, types[x]) for x in names], names)
+    """Rows of ``LEARNT``: the frequent phrases (prefix, suffix, f, gid), what
+    blocks learn of them, and sums by prefix and segment (prefix, total, largest)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = (TaskContext.get().partitionId() << 40) + 1
-
-        def merge(prefix, seg, suffix, n, c, block) -> Iterator[pa.RecordBatch]:
-            nonlocal made
-            order = np.lexsort((suffix, seg, prefix))
-            prefix, seg, suffix, n, c, block = (x[order] for x in (prefix, seg, suffix, n, c, block))
-            stripe = np.concatenate(([True], (np.diff(prefix) != 0) | (np.diff(seg) != 0)))
-            starts = np.flatnonzero(stripe | np.concatenate(([True], np.diff(suffix) != 0)))
-            f = np.add.reduceat(n, starts)
-            extends = suffix[starts] > 0
-            often = extends & (f >= least)
+        made, out = first_id(), Sender(LEARNT)
+        for rows in by_bucket(batches):
+            each = [unpacked(r["data"]) for r in rows]
+            sizes = [len(x[0]) for x in each]
+            prefix, suffix, n, end, n_end = map(np.concatenate, zip(*each, strict=True))
+            block = np.repeat([r["block"] for r in rows], sizes)
+            c = np.concatenate([np.arange(r["base"], r["base"] + size) for r, size in zip(rows, sizes, strict=True)])
+            order = np.lexsort((suffix, prefix))
+            prefix, suffix, n, c, block = (x[order] for x in (prefix, suffix, n, c, block))
+            stripe = np.diff(prefix, prepend=-1) != 0
+            starts = np.flatnonzero(stripe | (np.diff(suffix, prepend=-1) != 0))
+            f = np.add.reduceat(n, starts) if len(starts) else np.empty(0, np.int64)
+            often = f >= least
             gid = np.zeros(len(starts), np.int64)
             gid[often] = made + np.arange(often.sum())
             made += int(often.sum())
-            yield from rows(PHRASE, prefix=prefix[starts][often], suffix=suffix[starts][often], f=f[often], gid=gid[often])
+            yield from out.columns(kind=np.full(often.sum(), PHRASE, np.int8), prefix=prefix[starts][often], suffix=suffix[starts][often], f=f[often], gid=gid[often])
             of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(n))))
             sent = often[of]
-            yield from rows(GIVEN, block=block[sent], c=c[sent], gid=gid[of][sent], f=f[of][sent])
-            heads = np.flatnonzero(stripe)
-            yield from rows(SUMMARY, prefix=prefix[heads], total=np.add.reduceat(n, heads), largest=np.maximum.reduceat(np.where(extends, f, 0), np.searchsorted(starts, heads)))
-
-        held: list[tuple] = []
-        size = 0
-        for b in batches:
-            lists = [b.column(x) for x in ("suffix", "n", "c")]
-            sizes = np.diff(lists[0].offsets.to_numpy())
-            own = [np.repeat(b.column(x).to_numpy(), sizes) for x in ("prefix", "seg", "block")]
-            held.append((own[0], own[1], *[x.flatten().to_numpy() for x in lists], own[2]))
-            size += len(own[0])
-            if size >= RUN:
-                whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-                # The last stripe may go on in the next batch.
-                cut = np.flatnonzero((np.diff(whole[0]) != 0) | (np.diff(whole[1]) != 0))
-                if len(cut):
-                    yield from merge(*[x[:cut[-1] + 1] for x in whole])
-                    whole = [x[cut[-1] + 1:] for x in whole]
-                held, size = [tuple(whole)], len(whole[0])
-        if size:
-            yield from merge(*[np.concatenate(x) for x in zip(*held, strict=True)])
-
-    rows_in = parts.where("prefix is not null").repartition("prefix", "seg").sortWithinPartitions("prefix", "seg")
-    return common.map_arrow(rows_in.select("block", "prefix", "seg", "suffix", "n", "c"), MERGED, run)
+            yield from give(out, block[sent], c[sent], gid[of][sent], f[of][sent])
+            # Totals and largest extensions of the bucket's merged stripes.
+            names, at = np.unique(np.concatenate((prefix, end)), return_inverse=True)
+            total = np.bincount(at, weights=np.concatenate((n, n_end)), minlength=len(names)).astype(np.int64)
+            largest = np.zeros(len(names), np.int64)
+            np.maximum.at(largest, at[starts], f)
+            yield from out.columns(kind=np.full(len(names), SUMMARY, np.int8), prefix=names, total=total, largest=largest)
+
+    rows_in = parts.where("bucket is not null").select("block", "bucket", "base", "data")
+    return common.map_arrow(rows_in.repartition("bucket").sortWithinPartitions("bucket"), LEARNT, run)
 
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -261,32 +376,30 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     covered), where heads and tails hold the counts of the first 1, 2, ... words
     and of what remains, and covered is the count of the most frequent phrase
     that is longer by a word; and (lang, n), each language's number of words."""
-    rows = common.stored(coded(docs, text_col, lang_col), "colloc-coded")
-    codes = rows.where("code is not null")
-    spelt = rows.where("word is not null")
-    totals = spelt.groupBy("lang").agg(F.sum("n").alias("n"))
-    same = Window.partitionBy("lang", "word")
-    numbers = spelt.select("block", "lang", "c", "word", "n").repartition("lang", "word").withColumn("line", F.monotonically_increasing_id() + 1)
-    known = common.stored(numbers.withColumn("f", F.sum("n").over(same)).where(F.col("f") >= least).withColumn("gid", F.min("line").over(same)).drop("n"), "colloc-words")
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    codes = common.stored(coded(docs, text_col, lang_col, buckets), "colloc-coded")
+    totals = codes.groupBy("lang").agg(F.sum("total").alias("n"))
+    learnt = common.stored(frequent_words(codes, least), "colloc-words")
     none = F.array().cast("array<long>")
-    of = known.where("line = gid").select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("heads"), none.alias("tails"))
+    of = learnt.where(F.col("kind") == PHRASE).select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("heads"), none.alias("tails"))
     levels = []
     for length in range(2, longest + 1):
-        parts = common.stored(stripes(codes, known, length == longest), "colloc-stripes")
-        found = common.stored(merged(parts, least), "colloc-merged")
-        codes, known = parts.where("code is not null"), found.where(F.col("kind") == GIVEN)
-        prefixes = found.where(F.col("kind") == SUMMARY).groupBy(F.col("prefix").alias("gid")).agg(F.sum("total").alias("total"), F.max("largest").alias("right"))
-        new = found.where(F.col("kind") == PHRASE).select("gid", "prefix", "suffix", "f")
+        codes = common.stored(stripes(codes.where("code is not null"), learnt, length == longest, buckets), "colloc-stripes")
+        learnt = common.stored(merged(codes, least), "colloc-merged")
+        prefixes = learnt.where(F.col("kind") == SUMMARY).groupBy(F.col("prefix").alias("gid")).agg(F.sum("total").alias("total"), F.max("largest").alias("right"))
+        new = learnt.where(F.col("kind") == PHRASE).select("gid", "prefix", "suffix", "f")
         suffixes = new.groupBy(F.col("suffix").alias("gid")).agg(F.max("f").alias("left"))
         of = of.join(prefixes, "gid", "left").join(suffixes, "gid", "left")
-        levels.append(of.select("lang", "phrase", F.col("f").alias("a"), "heads", "tails", F.greatest(F.coalesce("right", F.lit(0)), F.coalesce("left", F.lit(0))).alias("covered")))
+        covered = F.greatest(F.coalesce("right", F.lit(0)), F.coalesce("left", F.lit(0)))
+        if length > 2:
+            levels.append(of.select("lang", "phrase", F.col("f").alias("a"), "heads", "tails", covered.alias("covered")))
         before = of.select(F.col("gid").alias("prefix"), "lang", F.col("phrase").alias("begin"), F.concat("heads", F.array("total")).alias("heads"))
         after = of.select(F.col("gid").alias("suffix"), F.col("last"), F.concat(F.array("f"), F.col("tails")).alias("tails"))
         joined = new.join(before, "prefix").join(after, "suffix")
         of = common.stored(joined.select("gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f", "heads", "tails"), "colloc-phrases")
     levels.append(of.select("lang", "phrase", F.col("f").alias("a"), "heads", "tails", F.lit(0).cast("long").alias("covered")))
-    out = levels[1]
-    for level in levels[2:]:
+    out = levels[0]
+    for level in levels[1:]:
         out = out.union(level)
     return out, totals
 

@@ -55,8 +55,8 @@ def loose_texts() -> list[tuple]:
 
 @pytest.mark.parametrize("small", [False, True])
 def test_equals_brute_force(spark, monkeypatch, small):
-    if small:  # several blocks a task, several segments a stripe, several merges a task
-        for name, value in (("BLOCK", 50), ("SEGMENT", 8), ("RUN", 16)):
+    if small:  # several blocks a task, several segments a stripe, few buckets
+        for name, value in (("BLOCK", 50), ("SEGMENT", 8), ("RUN", 16), ("BUCKETS", 1)):
             monkeypatch.setattr(colloc, name, value)
     rows = loose_texts()
     df = spark.createDataFrame(rows, "text string, lang string").withColumn("block", F.lit(1)).withColumn("word", F.lit("w")).repartition(3)
@@ -86,9 +86,11 @@ def test_words_of_a_long_text_are_not_cut(monkeypatch):
         assert [w for part in colloc.words(text.encode()) for w in part] == whole
 
 
-def test_codes_come_back(spark):
+def test_codes_come_back():
     code = np.array([1, 5, 0, 7], np.int32)
-    assert (colloc.unpacked(colloc.packed(code)) == code).all()
+    assert (colloc.unpacked_code(colloc.packed_code(code)) == code).all()
+    arrays = [np.array([3, 3, 9, 1 << 60, 5]), np.empty(0, np.int64), np.array([-7])]
+    assert [x.tolist() for x in colloc.unpacked(colloc.packed(*arrays))] == [x.tolist() for x in arrays]
 
 
 def test_an_empty_table_and_messy_rows(spark, messy):
