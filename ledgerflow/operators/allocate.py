@@ -20,13 +20,15 @@ Two physical strategies compute the same result:
     data's size (the lines of one order, say).
 
 ``method="agg"`` (skew-safe)
-    group statistics come from partial (map-side) aggregates, then are
-    joined back on ``(group, salt)``.  Groups larger than ``rows_per_task``
-    lines are split into ``ceil(n / rows_per_task)`` salt buckets and their
-    statistics row is replicated once per bucket, so a group holding a third
-    of all lines is spread over many tasks instead of one.  The list of hot
-    groups is joined without a hint: Spark broadcasts it when its measured
-    size allows and shuffles it otherwise.
+    the lines are written once, each with a number of its own. One aggregate
+    with map-side combine gives every group's statistics, its target line
+    among them as a least (order, amount, number). Groups above the bound
+    are split: their lines meet the statistics row where they are, their
+    rounded amounts are summed map-side, and the residual goes to the line
+    whose number is the target's, so lines that tie on every key are dealt
+    like any others. All other groups take the window form. The bound is
+    ``rows_per_task`` lines, or one in ``SPLIT_GROUPS`` of all lines where
+    that is more, so at most ``SPLIT_GROUPS`` statistics rows are broadcast.
 """
 
 from __future__ import annotations
@@ -46,6 +48,9 @@ RESIDUAL_TYPE = "DIRECT"
 
 _P = "__alloc_"  # prefix of private columns
 
+#: Groups whose lines are spread over tasks: at most so many.
+SPLIT_GROUPS = 10_000
+
 
 def _order_struct(order_cols: Sequence[str], type_col: str) -> Column:
     return F.struct(*[F.col(c) for c in order_cols], F.col(type_col))
@@ -74,12 +79,6 @@ def _multiplier(price: Column, base_sum: Column) -> Column:
         .otherwise(price.cast("double") / base_sum.cast("double"))
 
 
-def _pick_one(candidate: Column, *partition: str) -> Column:
-    """True on exactly one of the candidate lines with equal keys."""
-    ties = Window.partitionBy(*partition, candidate).orderBy(f"{_P}ord", F.col(f"{_P}amt").asc_nulls_last())
-    return candidate & (F.row_number().over(ties) == 1)
-
-
 def _allocate_window(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*group_cols)
     first = w.orderBy(f"{_P}tgt", F.col(f"{_P}amt").asc_nulls_last())
@@ -107,51 +106,40 @@ def _checked(df: DataFrame) -> DataFrame:
 
 
 def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int) -> DataFrame:
+    from ledgerflow.sources.stage import materialize
+
     g = list(group_cols)
-    # 1. Group statistics from partial aggregates (map-side combine: a hot
-    #    group costs one partial row per input partition, not a shuffle).
-    stats = (df.groupBy(*g).agg(
+    lines = materialize(df.withColumn(f"{_P}line", F.monotonically_increasing_id()), "alloc_lines")
+    amount = F.col(f"{_P}amt")
+    target = F.min(F.struct(f"{_P}tgt", amount.isNull(), amount, f"{_P}line"))
+    stats = materialize(lines.groupBy(*g).agg(
         F.count(F.lit(1)).alias(f"{_P}n"),
-        F.coalesce(F.sum(f"{_P}amt"), F.lit(0)).cast(WIDE_AMOUNT).alias("base_sum"),
+        F.coalesce(F.sum(amount), F.lit(0)).cast(WIDE_AMOUNT).alias("base_sum"),
         F.min_by(f"{_P}price", f"{_P}ord").alias("contract_price"),
-        F.min(f"{_P}tgt").alias(f"{_P}tgt_key"))
-        .withColumn(f"{_P}nsalt", F.greatest(F.lit(1), F.ceil(F.col(f"{_P}n") / F.lit(rows_per_task)))
-                    .cast("int")))
-    # 2. Hot groups only: at most total_lines / rows_per_task rows.
-    hot = stats.filter(F.col(f"{_P}nsalt") > 1).select(*g, F.col(f"{_P}nsalt").alias(f"{_P}hot"))
-    salt_key = F.xxhash64(f"{_P}ord")
-    lines = (join_null_safe(df, hot, g, "left")
-             .withColumn(f"{_P}salt", F.pmod(salt_key, F.coalesce(F.col(f"{_P}hot"), F.lit(1))).cast("int"))
-             .drop(f"{_P}hot"))
-    # 3. Replicate each statistics row once per salt bucket of its group.
-    stats_s = (stats
-               .withColumn("multiplier", _multiplier(F.col("contract_price"), F.col("base_sum")))
-               .withColumn(f"{_P}salt", F.explode(F.sequence(F.lit(0), F.col(f"{_P}nsalt") - 1)))
-               .drop(f"{_P}n"))
-    keys = g + [f"{_P}salt"]
-    joined = (join_null_safe(lines, stats_s, keys, "inner")
-              .withColumn("adjusted_amount",
-                          _adjusted(F.col(f"{_P}amt"), F.col("base_sum"), F.col("multiplier")))
-              .withColumn(f"{_P}cand", F.col(f"{_P}tgt") == F.col(f"{_P}tgt_key")))
-    # Lines with equal order keys share a salt, so the candidates of a group
-    # are numbered where they are.
-    joined = joined.withColumn("is_residual_row", _pick_one(F.col(f"{_P}cand"), *keys))
-    # 4. Sums of the rounded amounts: again partial aggregates, then one row
-    #    per group, replicated per salt bucket and joined back co-partitioned.
-    sums = (joined.groupBy(*g).agg(
+        target[f"{_P}line"].alias(f"{_P}target")), "alloc_groups")
+    total = stats.agg(F.coalesce(F.sum(f"{_P}n"), F.lit(0))).first()[0]
+    large = F.col(f"{_P}n") > F.lit(max(rows_per_task, total // SPLIT_GROUPS))
+    split = stats.filter(large).drop(f"{_P}n").withColumn("multiplier", _multiplier(F.col("contract_price"), F.col("base_sum")))
+    if split.isEmpty():
+        return _allocate_window(lines, g)
+
+    def with_stats(per_group: DataFrame) -> DataFrame:
+        met = join_null_safe(lines, F.broadcast(per_group), g, "inner")
+        return (met.withColumn("adjusted_amount", _adjusted(amount, F.col("base_sum"), F.col("multiplier")))
+                .withColumn("is_residual_row", F.col(f"{_P}line") == F.col(f"{_P}target")))
+
+    sums = materialize(with_stats(split).groupBy(*g).agg(
         F.sum("adjusted_amount").alias(f"{_P}adj_sum"),
-        F.sum(F.when(F.col("is_residual_row"), F.col("adjusted_amount"))).alias(f"{_P}tgt_adj"),
-        F.first(f"{_P}nsalt").alias(f"{_P}ns2"))
-        .withColumn(f"{_P}salt", F.explode(F.sequence(F.lit(0), F.col(f"{_P}ns2") - 1)))
-        .drop(f"{_P}ns2"))
-    back = join_null_safe(joined, sums, keys, "inner")
+        F.min(F.when(F.col("is_residual_row"), F.col("adjusted_amount"))).alias(f"{_P}tgt_adj")), "alloc_sums")
     residual = F.bround(F.col("contract_price") - F.coalesce(f"{_P}adj_sum", F.lit(0)), 2).cast(MONEY)
-    final = F.when(F.col("is_residual_row"), F.bround(F.col("adjusted_amount") + F.col("residual"), 2).cast(MONEY)).otherwise(F.col("adjusted_amount"))
-    # The group's final sum: its rounded sum, with the one target line exchanged.
     changed = F.bround(F.col(f"{_P}tgt_adj") + F.col("residual"), 2).cast(MONEY)
-    total = F.coalesce(f"{_P}adj_sum", F.lit(0)) - F.coalesce(f"{_P}tgt_adj", F.lit(0)) + F.coalesce(changed, F.lit(0))
-    back = back.withColumn("residual", residual).withColumn("adjusted_amount", final)
-    return _checked(back.withColumn(f"{_P}final", total))
+    # The group's final sum: its rounded sum, with the one target line exchanged.
+    final = F.coalesce(f"{_P}adj_sum", F.lit(0)) - F.coalesce(f"{_P}tgt_adj", F.lit(0)) + F.coalesce(changed, F.lit(0))
+    whole = join_null_safe(split, sums, g, "inner").withColumn("residual", residual)
+    out = with_stats(whole.withColumn(f"{_P}changed", changed).withColumn(f"{_P}final", final))
+    out = _checked(out.withColumn("adjusted_amount", F.when(F.col("is_residual_row"), F.col(f"{_P}changed")).otherwise(F.col("adjusted_amount"))))
+    rest = join_null_safe(lines, F.broadcast(split.select(*g)), g, "left_anti")
+    return _allocate_window(rest, g).unionByName(out.drop(f"{_P}changed", f"{_P}target", f"{_P}tgt_adj"), allowMissingColumns=False)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, nulls: bool = True) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.nulls import MONEY
@@ -28,6 +28,12 @@ def balance_audit(adjusted: DataFrame, *, study_cols: Sequence[str], group_cols:
         F.sum("price").cast(MONEY).alias("total_price"))
 
 
+def or_fail(bad: Column, value: Column, message: str, *name_cols: str) -> Column:
+    """``value``, or where ``bad`` holds an error that names the row's ``name_cols``."""
+    names = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in name_cols])
+    return F.when(~bad, value).otherwise(F.raise_error(F.concat(F.lit(message), names)))
+
+
 def fail_if_any(findings: DataFrame, message: str, show: int = 20) -> None:
     """Strict mode: raise with up to ``show`` example rows if findings exist."""
     rows = findings.limit(show).collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import costs, longform
@@ -17,6 +18,7 @@ from ledgerflow.sinks.files import report_format, safe_sheet_names
 from ledgerflow.sources import readers
 from ledgerflow.sources.fixtures import Fixtures, VIEWS, dialect, duckdb_ctes
 from ledgerflow.sources.readers import COST_SCAN_COLUMNS
+from ledgerflow.sources.stage import materialize
 
 _COSTS_SQL = o_stage_a().rstrip() + ",\n" + O_SUMMARY + ",\n" + O_EXPAND + """,
 batch AS (SELECT * FROM summary UNION ALL SELECT * FROM expanded)
@@ -163,37 +165,108 @@ t AS (SELECT * FROM fx_cost WHERE cpms_id IS NOT NULL AND visit_number IS NOT NU
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.cpms_id = t.cpms_id AND b.visit_number = t.visit_number AND b.study_arm = t.study_arm)
 UNION ALL SELECT * FROM b""")
 def q_sink_upsert(spark, sf_dir):
-    """K2 + K3: the stored cost table, then the grid batch upserted into a new version of it."""
+    """K2 + K3: the stored cost table, then the grid batch upserted: a new version of the studies that it touches."""
     whole = lambda df: df.dropna(subset=["cpms_id", "visit_number", "study_arm", "ict_cost"])
     target = whole(Fixtures(spark, sf_dir).cost)
     path = _fresh(target, "sink_upsert")
     files.write_cost_table(target, path)
-    return files.upsert_cost_table(path, whole(grid_costs(spark, sf_dir)), f"{path}-new").select(target.columns)
+    return files.upsert_cost_table(path, whole(grid_costs(spark, sf_dir))).select(target.columns)
 
 
-@register("sink_posting_csv", o_plan("A").rstrip() + """
-SELECT cpms_id, posting_line_type_id, COUNT(*) AS n_lines, CAST(SUM(posting_amount) AS DECIMAL(28,6)) AS amount FROM plan
-GROUP BY cpms_id, posting_line_type_id""")
-def q_sink_posting_csv(spark, sf_dir):
-    """K4: the posting plan through its CSV export."""
+def _places(files_read, *folder):
+    """Each row's place in its folder, when the files are read one after another by name."""
+    read = files_read.withColumns({"_file": F.col("_metadata.file_name"), "_at": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()})
+    return read.withColumn("place", F.row_number().over(Window.partitionBy(*folder).orderBy("_file", "_at", "_line"))).drop("_file", "_at", "_line")
+
+
+_PLAN_COLS = ("cpms_id", "row_id", "scenario_id", "sheet_name", "study_arm", "activity", "visit", "staff_group",
+              "posting_line_type_id", "posting_amount", "contract_cost", "destination_entity")
+_PLAN_ORDER = "row_id NULLS LAST, posting_line_type_id NULLS LAST"
+
+
+def _plan_a(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id="A", cost_table=fx.cost, strict=False)
+    return posting_plan(fx.long, rule_tables(fx), scenario_id="A", cost_table=fx.cost, strict=False)
+
+
+@register("sink_posting_csv", o_plan("A").rstrip() + f"""
+SELECT {", ".join(_PLAN_COLS)}, row_number() OVER (PARTITION BY cpms_id ORDER BY {_PLAN_ORDER}) AS place FROM plan""")
+def q_sink_posting_csv(spark, sf_dir):
+    """K4 + F1: the posting plan through its CSV export: whole rows, and their order over the files."""
+    plan = _plan_a(spark, sf_dir)
     path = _fresh(plan, "sink_csv")
     files.write_posting_csv(plan, path)
-    back = spark.read.option("header", True).schema(plan.schema).csv(path)
-    return back.groupBy("cpms_id", "posting_line_type_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("posting_amount").cast("decimal(28,6)").alias("amount"))
+    return _places(spark.read.option("header", True).schema(plan.schema).csv(path), "cpms_id").select(*_PLAN_COLS, "place")
+
 
+_SAFE_SQL = "substr(regexp_replace(sheet_name, '[\\[\\]\\*\\?:/\\\\]', '_', 'g'), 1, 31)"
 
-@register("sink_per_sheet", o_plan("A").rstrip() + """
-SELECT cpms_id, sheet_name, substr(regexp_replace(sheet_name, '[\\[\\]\\*\\?:/\\\\]', '_', 'g'), 1, 31) AS safe_sheet, COUNT(*) AS n_lines
-FROM plan GROUP BY cpms_id, sheet_name""")
+
+@register("sink_per_sheet", o_plan("A").rstrip() + f"""
+SELECT {", ".join(_PLAN_COLS)}, {_SAFE_SQL} AS safe_sheet,
+       row_number() OVER (PARTITION BY cpms_id, sheet_name ORDER BY {_PLAN_ORDER}) AS place FROM plan""")
 def q_sink_per_sheet(spark, sf_dir):
-    """K5 + K6: one folder per study and sheet."""
-    fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id="A", cost_table=fx.cost, strict=False)
+    """K5 + F1: one folder per study and sheet: whole rows, and their order in the folder."""
+    plan = _plan_a(spark, sf_dir)
     path = _fresh(plan, "sink_sheets")
     files.write_per_sheet(plan, path)
-    return spark.read.parquet(path).select(F.col("cpms_id").cast("string").alias("cpms_id"), "sheet_name", "safe_sheet").groupBy("cpms_id", "sheet_name", "safe_sheet").agg(F.count(F.lit(1)).alias("n_lines"))
+    return _places(_typed(spark.read, plan, "safe_sheet string").parquet(path), "cpms_id", "safe_sheet").select(*_PLAN_COLS, "safe_sheet", "place")
+
+
+def _typed(reader, df, *more):
+    """A reader with the schema that ``df`` was written with (folder names stay text)."""
+    return reader.schema(", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields], *more]))
+
+
+@register("sink_posting_sheets", o_plan("A").rstrip() + f"""
+SELECT {", ".join(_PLAN_COLS)}, {_SAFE_SQL} AS safe_sheet, '2024-02-29' AS export_date,
+       row_number() OVER (PARTITION BY cpms_id, sheet_name ORDER BY {_PLAN_ORDER}) AS place FROM plan""")
+def q_sink_posting_sheets(spark, sf_dir):
+    """K6 + F1: the posting export, in folders by date, study, scenario and sheet."""
+    plan = _plan_a(spark, sf_dir)
+    path = _fresh(plan, "sink_posting_sheets")
+    files.write_posting_per_sheet(plan, path, date="2024-02-29")
+    # CSV files have their columns by place: those of the folders come last.
+    inside = plan.drop("cpms_id", "scenario_id")
+    reader = _typed(spark.read.option("header", True), inside, "export_date string", "cpms_id string", "scenario_id string", "safe_sheet string")
+    return _places(reader.csv(path), "cpms_id", "safe_sheet").select(*_PLAN_COLS, "safe_sheet", "export_date", "place")
+
+
+@register("sink_templates", _ALL)
+def q_sink_templates(spark, sf_dir):
+    """K7: every import template through its export, one folder each."""
+    from ledgerflow.plans.queries_templates import templates_of
+    t = materialize(templates_of(adjusted(spark, sf_dir, stage=True)), "templates")
+    path = _fresh(t, "sink_templates")
+    files.write_templates(t, path, fmt="parquet")
+    return _typed(spark.read, t, "template_sheet string").parquet(path).select(t.columns)
+
+
+@register("reader_scenarios", duckdb_ctes("fx_dist_rules").rstrip() + "\nSELECT DISTINCT scenario_id FROM fx_dist_rules")
+def q_reader_scenarios(spark, sf_dir):
+    """S8 + F3: the scenarios that the stored rule table offers."""
+    fx = Fixtures(spark, sf_dir)
+    path = _fresh(fx.dist_rules, "scenarios")
+    fx.dist_rules.write.parquet(path)
+    return readers.scenario_list(spark.read.parquet(path))
+
+
+@register("reader_grids", duckdb_ctes("fx_grid").rstrip() + """,
+t AS (SELECT cpms_id AS workbook_id, CASE WHEN sheet_name = 'Arm B' AND row_idx % 3 = 0 THEN 'unreadable record'
+             WHEN sheet_name = 'Pharmacy' AND row_idx = 4 THEN 'no row number' END AS reason FROM fx_grid)
+SELECT CASE WHEN reason = 'unreadable record' THEN NULL ELSE workbook_id END AS workbook_id, reason, COUNT(*) AS n_rows FROM t GROUP BY ALL""")
+def q_reader_grids(spark, sf_dir):
+    """S1 + S2: stored grids read with their rejects: records cut in half, and rows without a number."""
+    g = grid_df(spark, sf_dir).select(*[f.name for f in readers.GRID_SCHEMA.fields])
+    numbered = F.when((F.col("sheet_name") == "Pharmacy") & (F.col("row_idx") == 4), F.lit(None)).otherwise(F.col("row_idx"))
+    text = F.to_json(F.struct(*[numbered.alias("row_idx") if c == "row_idx" else F.col(c) for c in g.columns]))
+    cut = F.when((F.col("sheet_name") == "Arm B") & (F.col("row_idx") % 3 == 0), F.expr("substring(text, 1, cast(length(text) / 2 as int))")).otherwise(F.col("text"))
+    path = _fresh(g, "grids")
+    g.withColumn("text", text).select(cut.alias("value")).write.text(path)
+    rows, rejected = readers.read_grids(spark, path, "json")
+    good = rows.groupBy("workbook_id").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("reason", F.lit(None).cast("string"))
+    bad = rejected.groupBy("workbook_id", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return good.unionByName(bad)
 
 
 @register("reader_rules", duckdb_ctes("fx_long", "fx_dist_rules").rstrip() + "," + O_CTX + ",\n" + o_lines("ctx", "A")

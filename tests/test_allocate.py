@@ -133,11 +133,37 @@ def test_balance_audit_sees_a_tampered_amount(spark):
     assert audit(worn).n_unbalanced == 1
 
 
-def test_split_allocation_has_no_window_over_the_whole_pool(spark):
-    from ledgerflow.plans.queries_templates import adjusted
-    from tests.conftest import SF_SMALL
-    text = adjusted(spark, SF_SMALL)._jdf.queryExecution().toString()
-    assert "ResolvedHint" not in text and "strategy=broadcast" not in text
-    for line in text.splitlines():
-        if line.lstrip(" +-:").startswith("Window ["):
-            assert "__alloc_salt" in line
+def pools():
+    """One group of 40 lines, 25 of which tie, and 20 of 2 or 3."""
+    rows = [("hot", i // 25, "DIRECT" if i % 2 else "OVERHEAD", d(7 + i % 3), 1000.0) for i in range(40)]
+    return rows + [(f"g{i}", j, "DIRECT", d(3 * j + 1), 10.0 + i) for i in range(20) for j in range(2 + i % 2)]
+
+
+def test_groups_above_the_bound_never_reach_a_window(spark, monkeypatch):
+    from ledgerflow.operators import allocate as module
+    sizes, plain = [], module._allocate_window
+
+    def seen(df, group_cols):
+        sizes.extend(r["count"] for r in df.groupBy(*group_cols).count().collect())
+        return plain(df, group_cols)
+
+    df = spark.createDataFrame(pools(), SCHEMA)
+    kinds = ["g", "row_id", "posting_line_type_id", "posting_amount", "adjusted_amount", "residual", "is_residual_row", "adjusted_sum_check", "diff_check"]
+    form = lambda method: sorted(map(str, allocate(df, group_cols=["g"], order_cols=["row_id"], method=method, rows_per_task=3).select(*kinds).collect()))
+    want = form("window")
+    monkeypatch.setattr(module, "_allocate_window", seen)
+    assert form("agg") == want
+    assert sizes and max(sizes) <= 3
+
+
+def test_split_allocation_reads_its_lines_twice_and_sends_a_bounded_table(spark, monkeypatch):
+    from ledgerflow.operators import allocate as module
+    df = spark.createDataFrame(pools(), SCHEMA)
+    out = allocate(df, group_cols=["g"], order_cols=["row_id"], method="agg", rows_per_task=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "Scan parquet" in x and "alloc_lines" in x]
+    assert len(lines) <= 2 and "Scan ExistingRDD" not in plan
+    # With fewer groups allowed the bound on lines rises, and all groups stay whole.
+    monkeypatch.setattr(module, "SPLIT_GROUPS", 1)
+    whole = allocate(df, group_cols=["g"], order_cols=["row_id"], method="agg", rows_per_task=3)
+    assert "Broadcast" not in whole._jdf.queryExecution().executedPlan().toString()

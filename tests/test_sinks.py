@@ -43,6 +43,99 @@ def test_a_large_folder_is_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "s" / "cpms_id=1" / "safe_sheet=Pharmacy").glob("part-*"))) > 1
 
 
+COST = "cpms_id string, visit_number string, study_arm string, ict_cost double"
+
+
+def stored_bytes(path) -> int:
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_an_upsert_writes_only_the_studies_it_touches(spark, tmp_path):
+    from ledgerflow.sinks import versions
+    path = tmp_path / "c"
+    many = spark.range(100 * 50).selectExpr("cast(id % 100 as string) cpms_id", "concat('V', cast(id div 100 as string)) visit_number", "uuid() study_arm", "1.0D ict_cost")
+    many.write.parquet(str(tmp_path / "in"))
+    many = spark.read.parquet(str(tmp_path / "in"))
+    files.write_cost_table(many, str(path))
+    before = stored_bytes(path / "data")
+    key = many.where("cpms_id = '7' and visit_number = 'V3'").first()
+    out = files.upsert_cost_table(str(path), spark.createDataFrame([("7", "V3", key.study_arm, 9.0), ("new", "V1", "A", 2.0)], COST))
+    assert stored_bytes(path / "data") - before < 0.05 * before
+    want = {tuple(r) for r in many.collect()} - {tuple(key)} | {("7", "V3", key.study_arm, 9.0), ("new", "V1", "A", 2.0)}
+    assert {tuple(r) for r in out.collect()} == want and out.count() == len(want)
+    # Above the bound on names the studies are found by a join instead.
+    keep, versions.NAMED = versions.NAMED, 0
+    try:
+        again = files.upsert_cost_table(str(path), spark.createDataFrame([("7", "V3", key.study_arm, 10.0)], COST))
+    finally:
+        versions.NAMED = keep
+    assert {tuple(r) for r in again.collect()} == want - {("7", "V3", key.study_arm, 9.0)} | {("7", "V3", key.study_arm, 10.0)}
+
+
+def test_a_failed_write_leaves_the_old_table_readable(spark, tmp_path):
+    from ledgerflow.sources.readers import read_cost_table
+    path = str(tmp_path / "c")
+    files.write_cost_table(spark.createDataFrame([("1", "V", "A", 1.0)], COST), path)
+    broken = spark.range(10).selectExpr("cast(id as string) cpms_id", "'V' visit_number", "'A' study_arm", "if(id = 9, cast(raise_error('lost') as double), 2.0D) ict_cost")
+    with pytest.raises(Exception, match="lost"):
+        files.write_cost_table(broken, path)
+    with pytest.raises(ValueError, match="NOT NULL"):
+        files.write_cost_table(spark.createDataFrame([("1", "V", None, 5.0)], COST), path, mode="studies")
+    assert [tuple(r)[:1] + (r.ict_cost,) for r in read_cost_table(spark, path).collect()] == [("1", 1.0)]
+    files.write_cost_table(spark.createDataFrame([("2", "V", "A", 3.0)], COST), path)
+    assert [(r.cpms_id, r.ict_cost) for r in read_cost_table(spark, path).collect()] == [("2", 3.0)]
+    files.write_cost_table(spark.createDataFrame([], COST), path)
+    assert read_cost_table(spark, path).count() == 0
+
+
+def test_exports_are_in_order_over_the_files_of_a_folder(spark, tmp_path):
+    import csv
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, '1', '2') cpms_id", "'A' scenario_id", "'Arm / 1' sheet_name", "(id * 7919) % 3000 row_id", "'T' posting_line_type_id").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    files.write_posting_per_sheet(df, str(tmp_path / "p"), date="2024-01-02")
+    files.write_posting_csv(df, str(tmp_path / "q"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    folder = tmp_path / "p" / "export_date=2024-01-02" / "cpms_id=2" / "scenario_id=A" / "safe_sheet=Arm _ 1"
+    read = lambda names: [r for f in sorted(names) for r in csv.DictReader(f.open())]
+    rows = [int(r["row_id"]) for r in read(folder.glob("part-*"))]
+    assert rows == sorted(rows) and len(rows) == 2000 and len(list(folder.glob("part-*"))) > 1
+    plan = [(r["cpms_id"], int(r["row_id"])) for r in read((tmp_path / "q").glob("part-*"))]
+    assert plan == sorted(plan) and len(plan) == 3000
+
+
+def test_strict_checks_run_in_the_job_that_reads(spark):
+    from ledgerflow.operators.rules import apply_amount_map, apply_routing
+    lines = spark.createDataFrame([("T", 1.0, "A", "k"), ("U", 2.0, "A", "k")], "posting_line_type_id string, activity_cost_num double, scenario_id string, medic_key string")
+    once = lines.withColumn("activity_cost_num", F.when(F.col("activity_cost_num") > 5, F.raise_error(F.lit("read"))).otherwise(F.col("activity_cost_num")))
+    amap = spark.createDataFrame([("T", 1.0, 1.0)], "posting_line_type_id string, base_mult double, split_mult double")
+    priced = apply_amount_map(once, amap, strict=True)
+    with pytest.raises(Exception, match="missing amount_map for .*U"):
+        priced.collect()
+    assert priced.where("posting_line_type_id = 'T'").count() == 1
+    unread = apply_amount_map(lines.withColumn("activity_cost_num", F.raise_error(F.lit("read")).cast("double")), amap, strict=True)
+    assert "posting_amount" in unread.columns  # nothing has been run
+    rules = "ruleset_id string, scenario_id string, condition_field string, condition_op string, condition_value string, posting_line_type_id string, destination_bucket string, priority int"
+    routes = spark.createDataFrame([("R", "A", None, None, None, "T", "B", 1)], rules)
+    routed = apply_routing(lines, routes, ruleset_id="R", strict=True)
+    with pytest.raises(Exception, match="missing routing for posting line: A, "):
+        routed.collect()
+
+
+def test_grids_are_read_with_their_rejects(spark, tmp_path):
+    from ledgerflow.sources.readers import read_grids
+    good = '{"workbook_id":"W","sheet_name":"S","sheet_pos":1,"row_idx":1,"cells":["a",null]}'
+    (tmp_path / "g.json").write_text("\n".join([good, good[:40], '{"workbook_id":"W","sheet_name":"S"}', '{"sheet_name":"S","row_idx":3}', "[]x", '{"workbook_id":"W","sheet_name":"S","row_idx":"many"}']))
+    rows, rejected = read_grids(spark, str(tmp_path / "g.json"), "json")
+    assert [tuple(r) for r in rows.collect()] == [("W", "S", 1, 1, ["a", None])]
+    bad = {r.record: r for r in rejected.collect()}
+    assert len(bad) == 5 and "[]x" in bad
+    assert {r.reason for x, r in bad.items() if x in (good[:40], '{"workbook_id":"W","sheet_name":"S","row_idx":"many"}')} == {"unreadable record"}
+    assert bad[good[:40]].workbook_id is None and {r.reason for r in bad.values()} >= {"no row number", "no workbook"}
+    rows.write.parquet(str(tmp_path / "p"))
+    again, none = read_grids(spark, str(tmp_path / "p"))
+    assert again.count() == 1 and none.count() == 0
+
+
 def test_rules_are_filtered_in_the_scan(spark, tmp_path):
     from ledgerflow.sources.fixtures import Fixtures
     from ledgerflow.sources.readers import load_rules
