@@ -379,13 +379,13 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     codes = common.stored(coded(docs, text_col, lang_col, buckets), "colloc-coded")
     totals = codes.groupBy("lang").agg(F.sum("total").alias("n"))
-    learnt = common.stored(frequent_words(codes, least), "colloc-words")
+    learnt = common.stored(frequent_words(codes, least), "colloc-words", tidy=True)
     none = F.array().cast("array<long>")
     of = learnt.where(F.col("kind") == PHRASE).select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("heads"), none.alias("tails"))
     levels = []
     for length in range(2, longest + 1):
-        codes = common.stored(stripes(codes.where("code is not null"), learnt, length == longest, buckets), "colloc-stripes")
-        learnt = common.stored(merged(codes, least), "colloc-merged")
+        codes = common.stored(stripes(codes.where("code is not null"), learnt, length == longest, buckets), "colloc-stripes", tidy=True)
+        learnt = common.stored(merged(codes, least), "colloc-merged", tidy=True)
         prefixes = learnt.where(F.col("kind") == SUMMARY).groupBy(F.col("prefix").alias("gid")).agg(F.sum("total").alias("total"), F.max("largest").alias("right"))
         new = learnt.where(F.col("kind") == PHRASE).select("gid", "prefix", "suffix", "f")
         suffixes = new.groupBy(F.col("suffix").alias("gid")).agg(F.max("f").alias("left"))
@@ -396,7 +396,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
         before = of.select(F.col("gid").alias("prefix"), "lang", F.col("phrase").alias("begin"), F.concat("heads", F.array("total")).alias("heads"))
         after = of.select(F.col("gid").alias("suffix"), F.col("last"), F.concat(F.array("f"), F.col("tails")).alias("tails"))
         joined = new.join(before, "prefix").join(after, "suffix")
-        of = common.stored(joined.select("gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f", "heads", "tails"), "colloc-phrases")
+        of = common.stored(joined.select("gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f", "heads", "tails"), "colloc-phrases", tidy=True)
     levels.append(of.select("lang", "phrase", F.col("f").alias("a"), "heads", "tails", F.lit(0).cast("long").alias("covered")))
     out = levels[0]
     for level in levels[1:]:

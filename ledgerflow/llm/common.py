@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 U64 = np.uint64
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +55,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back, so
-    that later steps neither repeat its work nor depend on one executor."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    that later steps neither repeat its work nor depend on one executor.
+
+    ``tidy``: the shuffle files of this write go with its end, not with the
+    driver's next collection of garbage; for a ``df`` that is not used again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    if tidy:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_arrow(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]) -> DataFrame:
