@@ -31,6 +31,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,10 +64,11 @@ LEAST_BASE = 2.0
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "marks", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "depth", "children", "cut", "marks", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool = False):
         self.tag, self.parent, self.cut = tag, parent, cut
+        self.depth = parent.depth + 1 if parent else 0
         self.children: list[Node | str] = []
         self.marks: set[str] = set()
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -97,9 +99,27 @@ def marks(tag: str, attributes: str) -> set[str]:
 
 
 def parse(page: str) -> Node:
-    """The DOM below a root node; cut elements keep no content."""
+    """The DOM below a root node; cut elements keep no content.
+
+    Open elements are known by tag, so a tag that closes nothing costs nothing,
+    however deep it stands."""
     root = here = Node("#root", None)
     at, n = 0, len(page)
+    opened: dict[str, list[Node]] = defaultdict(list)
+    scopes, blocks = [root], [root]  # open elements that end a search, and those that are not inline
+
+    def leave(node: Node) -> Node:
+        """Close ``node`` and what is open inside it; gives its parent."""
+        gone = here
+        while True:
+            opened[gone.tag].pop()
+            if gone.tag in SCOPES:
+                scopes.pop()
+            if gone.tag not in INLINE:
+                blocks.pop()
+            if gone is node:
+                return node.parent
+            gone = gone.parent
 
     def text(upto: int) -> None:
         if upto > at and not here.cut:
@@ -115,20 +135,17 @@ def parse(page: str) -> Node:
         end, start = m[1], m[2]
         if end:
             end = end.lower()
-            node = here
-            while node is not root and node.tag != end and (node.tag not in SCOPES or end in SCOPES or end not in SIBLINGS):
-                node = node.parent
-            if node is not root and node.tag == end:
-                here = node.parent
+            if opened[end] and (end in SCOPES or end not in SIBLINGS or opened[end][-1].depth > scopes[-1].depth):
+                here = leave(opened[end][-1])
         elif start and m[4]:
             tag = start.lower()
-            group = ("p",) if tag in ENDS_PARAGRAPH else SIBLINGS.get(tag)
-            if group:
-                node = here
-                while node is not root and node.tag not in group and node.tag not in SCOPES and (tag != "p" and tag not in ENDS_PARAGRAPH or node.tag in INLINE):
-                    node = node.parent
-                if node.tag in group:
-                    here = node.parent
+            if tag in ENDS_PARAGRAPH:
+                if blocks[-1].tag == "p":
+                    here = leave(blocks[-1])
+            elif tag in SIBLINGS:
+                last = max((opened[x][-1] for x in SIBLINGS[tag] if opened[x]), key=lambda x: x.depth, default=root)
+                if last.depth > scopes[-1].depth:
+                    here = leave(last)
             child = Node(tag, here, here.cut or is_cut(tag, m[3]))
             if not child.cut:
                 child.marks = marks(tag, m[3])
@@ -140,6 +157,11 @@ def parse(page: str) -> Node:
                 at = (page.find(">", close.end()) + 1 or n) if close else n
             elif tag not in VOID:
                 here = child
+                opened[tag].append(child)
+                if tag in SCOPES:
+                    scopes.append(child)
+                if tag not in INLINE:
+                    blocks.append(child)
         elif start:
             at = n
     return root
