@@ -133,6 +133,11 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(acc)
 
 
+def whole_row(df: DataFrame):
+    """All columns as the struct ``row``, so that none clashes with a helper column; ``row.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def row_uid(id_col: str, text_col: str):
     """A 64-bit hash of a row's id and text."""
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))

@@ -35,7 +35,7 @@ SLOTS = 1 << 14
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 MAX_LANGUAGES = 1000
-#: Texts are looked at in runs of so many characters (with overlap), to bound memory.
+#: Texts are looked at in runs of so many characters, to bound memory.
 RUN = 1 << 20
 #: Least lead, in mean loss, of the best codeword over the next.
 LEAD = 0.01
@@ -53,15 +53,18 @@ def letters() -> np.ndarray:
 
 
 def features(text: str) -> np.ndarray:
-    """Counts by slot of the letter 1- to 3-grams; anything else counts as one gap."""
+    """Counts by slot of the letter 1- to 3-grams; anything else counts as one gap.
+    A gram belongs to the run that it ends in, so runs do not change the counts."""
     total = np.zeros(SLOTS, np.int64)
     text = text.lower()
+    before, tail = True, np.empty(0, np.uint64)
     for start in range(0, len(text), RUN):
-        codes = np.frombuffer(text[max(0, start - 2):start + RUN].encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = np.frombuffer(text[start:start + RUN].encode("utf-32-le", "surrogatepass"), "<u4")
         alpha = letters()[codes]
-        codes = np.where(alpha, codes, 0)
-        codes = codes[alpha | np.concatenate(([True], alpha[:-1]))].astype(np.uint64)
+        new = np.where(alpha, codes, 0)[alpha | np.concatenate(([before], alpha[:-1]))].astype(np.uint64)
+        before = alpha[-1]
         for n in ORDERS:
+            codes = np.concatenate((tail[max(0, len(tail) - n + 1):], new))
             grams = np.zeros(max(0, len(codes) - n + 1), np.uint64)
             for j in range(n):
                 grams = grams * np.uint64(0x9E3779B97F4A7C15) + codes[j:j + len(grams)] + np.uint64(1)
@@ -69,6 +72,7 @@ def features(text: str) -> np.ndarray:
                 grams = grams[codes != 0]
             slot = (common.mix(grams + np.uint64(n)) >> np.uint64(64 - int(math.log2(SLOTS)))).astype(np.int64)
             total += np.bincount(slot, minlength=SLOTS)
+        tail = np.concatenate((tail, new))[1 - max(ORDERS):]
     return total
 
 
@@ -188,6 +192,14 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn("found", predict(model, F.col("text")))
 
 
+def with_language(docs: DataFrame) -> DataFrame:
+    """The documents, as they are, without those whose language is undetermined or ambiguous."""
+    common.workers_import(docs.sparkSession)
+    model = learn(docs.where(training_fold()))
+    found = docs.select(common.whole_row(docs), predict(model, F.col("text")).alias("found"))
+    return found.where((F.col("found.lang_pred") != UNDETERMINED) & ~F.col("found.ambiguous")).select("row.*")
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op9: the predicted language of every document."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

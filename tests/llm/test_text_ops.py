@@ -272,12 +272,76 @@ def test_codewords_are_apart(n):
     assert apart >= (1 if n == 2 else max(2, code.shape[1] // 5)) and (abs(code.sum(0)) < n).all()
 
 
-def test_long_texts_have_the_same_features_in_runs(monkeypatch):
-    text = prose(3, 400)
-    whole = langid.features(text)
-    assert whole.sum() > 0
-    assert langid.features("") .sum() == 0
-    assert math.isclose(whole.sum(), langid.features(text).sum())
+@pytest.mark.parametrize("run", [1, 2, 3, 7, 100])
+def test_long_texts_have_the_same_features_in_runs(monkeypatch, run):
+    texts = [prose(3, 400), "a", "", "a  b..c 1 d", "..ab", "ÉÀ日本 x", "\U0001F600a"]
+    whole = [langid.features(t) for t in texts]
+    monkeypatch.setattr(langid, "RUN", run)
+    for t, w in zip(texts, whole, strict=True):
+        assert (langid.features(t) == w).all()
+
+
+def plain_features(text: str) -> dict[int, int]:
+    """Counts by slot, gram by gram, with whole numbers."""
+    m = 1 << 64
+    codes = [ord(c) if c.isalpha() else 0 for c in text.lower()]
+    codes = [c for i, c in enumerate(codes) if c or not i or codes[i - 1]]
+    out = {}
+    for n in langid.ORDERS:
+        for i in range(len(codes) - n + 1):
+            gram = codes[i:i + n]
+            if n > 1 or gram[0]:
+                h = 0
+                for c in gram:
+                    h = (h * 0x9E3779B97F4A7C15 + c + 1) % m
+                x = (h + n) % m
+                for _ in range(2):
+                    x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 % m
+                slot = (x ^ x >> 32) >> 64 - int(math.log2(langid.SLOTS))
+                out[slot] = out.get(slot, 0) + 1
+    return out
+
+
+def test_decoding_equals_a_plain_one():
+    """Margins, losses and the choice, one bit and codeword after another."""
+    samples = {f"l{i}": plain_features(prose(i, 60) + " " + "xyz"[i % 3] * 5) for i in range(5)}
+    names = sorted(samples)
+    counts = np.zeros((len(names), langid.SLOTS), np.int64)
+    for i, x in enumerate(names):
+        for slot, n in samples[x].items():
+            counts[i, slot] = n
+    model = langid.Model(names, counts)
+    code = langid.codewords(len(names)).tolist()
+    p = [[(c + langid.SMOOTHING) / (sum(row) + langid.SMOOTHING * langid.SLOTS) for c in row] for row in counts.tolist()]
+    for text in (prose(2, 9), "xxxxx yy", prose(77, 3), "a"):
+        found = plain_features(text)
+        assert found == {i: n for i, n in enumerate(langid.features(text).tolist()) if n}
+        loss, trusts = [0.0] * len(names), 0.0
+        for bit in range(len(code[0])):
+            side = [i for i in range(len(names)) if code[i][bit] > 0]
+            rest = [i for i in range(len(names)) if code[i][bit] < 0]
+            ratio = [math.log(sum(p[i][s] for i in side) / len(side)) - math.log(sum(p[i][s] for i in rest) / len(rest)) for s in range(langid.SLOTS)]
+            each = [code[i][bit] * sum(a * b for a, b in zip(p[i], ratio, strict=True)) for i in range(len(names))]
+            scale = sum(each) / len(each)
+            trust = max(min(each) / scale, 0.05)
+            margin = sum(n * ratio[s] for s, n in found.items()) / max(1, sum(found.values())) / scale
+            loss = [x + trust * math.log1p(math.exp(-2 * code[i][bit] * margin)) for i, x in enumerate(loss)]
+            trusts += trust
+        loss = [x / trusts for x in loss]
+        best = min(range(len(names)), key=loss.__getitem__)
+        share = [math.exp(-langid.SHARPNESS * (x - loss[best])) for x in loss]
+        lang, score, ambiguous = model.predict(text)
+        assert lang == names[best] and score == pytest.approx(share[best] / sum(share), rel=1e-3)
+        assert ambiguous == (sorted(loss)[1] - loss[best] < langid.LEAD) or abs(sorted(loss)[1] - loss[best] - langid.LEAD) < 1e-4
+
+
+def test_hostile_pages_are_parsed_in_linear_time():
+    import time
+    pages = ["<div>" * 20_000 + "</span>" * 20_000, "<span>" * 20_000 + "<p>x" * 20_000, "<ul><li>" + "<b>" * 20_000 + "</li><ul>" * 10_000, "<p><x-a>" + "<i>" * 20_000 + "<div></div>" * 20_000]
+    began = time.process_time()
+    for page in pages:
+        mainhtml.parse(page)
+    assert time.process_time() - began < 10
 
 
 def chat_want(turns):
