@@ -160,6 +160,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     kinds = dict(docs_runs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
     both = docs_runs.dropDuplicates(["uid"]).join(pairs, "uid").join(items.select("item_id", "words", "size"), "item_id").select("uid", "doc_id", "item_id", "runs", "words", "size")
 
+    # Few bytes, much work: a number of partitions of its own, which Spark does not put together.
+    both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "uid", "item_id")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["uid", "doc_id", "item_id", "item_words", "covered_words", "coverage", "n_tiles", "longest_tile"]
         for b in common.slices(batches, 256):
@@ -186,4 +189,5 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those that hold a benchmark item."""
     found = leaks(docs, benchmark, id_col, text_col).select("uid").distinct()
-    return docs.withColumn("uid", row_uid(id_col, text_col)).join(found, "uid", "left_anti").select(docs.columns)
+    held = docs.select(row_uid(id_col, text_col).alias("uid"), common.whole_row(docs))
+    return held.join(found, "uid", "left_anti").select("row.*")

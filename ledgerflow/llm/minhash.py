@@ -253,17 +253,23 @@ def similar_classes(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str
             return label
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(uid, doc_id, n_shingles, component_id, kept) for every row."""
+def components_of_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(uid, doc_id, n_shingles, comp, component_id) for every row; comp names the group (null without words)."""
     rows = common.stored(described(docs, id_col, text_col), "sets-by-row")
     label = similar_classes(rows, docs, id_col, text_col, percent)
     named = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least")) \
         .join(label, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_class = named.select("cls", "comp").join(names, "comp").select("cls", "component_id")
+    by_class = named.select("cls", "comp").join(names, "comp").select("cls", "comp", "component_id")
     out = rows.select("uid", "doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("uid", "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("uid", "doc_id", "n_shingles", "comp", component.alias("component_id"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(uid, doc_id, n_shingles, component_id, kept) for every row."""
+    rows = components_of_rows(docs, id_col, text_col, percent)
+    return rows.select("uid", "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +278,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The documents, without those that another of their group stands for and
-    with repeated rows once."""
-    kept = groups(docs, id_col, text_col, percent).where("kept").select("uid").distinct()
-    return docs.withColumn("uid", row_uid(id_col, text_col)).join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select(docs.columns)
+    """One document of each group, as it is: that with the least id, null last,
+    and of several with that id one of them.  Rows without words are in no
+    group; repeated ones of them are kept once."""
+    rows = components_of_rows(docs, id_col, text_col, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("uid")
+    kept = rows.where("comp is not null").groupBy("comp").agg(first).select("uid") \
+        .union(rows.where("comp is null").select("uid").distinct())
+    held = docs.select(row_uid(id_col, text_col).alias("uid"), common.whole_row(docs))
+    return held.join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select("row.*")
