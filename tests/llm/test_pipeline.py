@@ -35,6 +35,25 @@ def test_every_stage_but_the_last_keeps_the_columns(spark, messy):
         assert stage(spark, docs.drop("found").limit(0), SF_SMALL).count() == 0
 
 
+def test_stages_keep_the_values_of_columns_with_any_name(spark, messy):
+    docs = messy.selectExpr("doc_id", "text", "lang", "'s' as source", "1L as n_chars", "cast(doc_id * 7 as long) as uid", "concat('f', lang) as found", "doc_id as row", "'x' as `a.b`", "doc_id as comp")
+    rows = {tuple(r) for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        got = [tuple(r) for r in out.collect()]
+        assert got and set(got) <= rows
+
+
+def test_one_document_of_each_group_stays_whatever_its_id(spark):
+    base = prose(31, 100).split()
+    texts = [" ".join([*base[:i], "edit", *base[i + 1:]]) for i in (20, 40, 60)]
+    for ids in ((None, None, None), (3, 3, 3), (None, 5, 5)):
+        docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+        got = minhash.deduplicated(docs, percent=80).collect()
+        assert len(got) == 1 and got[0].doc_id == min((i for i in ids if i is not None), default=None)
+
+
 def test_stages_name_four_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "MinHash near-dedup", "benchmark decontamination", "byte-level BPE"]
     assert minhash.PERCENT == 85
