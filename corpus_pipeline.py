@@ -11,7 +11,6 @@ operators' modules say; no stage fails on them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerflow.llm import bpe, common, decontam, langid, minhash
 
@@ -21,7 +20,7 @@ NEAR_PERCENT = 80
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.identified(docs).where((F.col("found.lang_pred") != langid.UNDETERMINED) & ~F.col("found.ambiguous")).select(docs.columns)
+    return langid.with_language(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
