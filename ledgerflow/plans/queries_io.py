@@ -167,7 +167,7 @@ UNION ALL SELECT * FROM b""")
 def q_sink_upsert(spark, sf_dir):
     """K2 + K3: the stored cost table, then the grid batch upserted: a new version of the studies that it touches."""
     whole = lambda df: df.dropna(subset=["cpms_id", "visit_number", "study_arm", "ict_cost"])
-    target = whole(Fixtures(spark, sf_dir).cost)
+    target = whole(Fixtures(spark, sf_dir).cost).withColumn("ict_cost", F.col("ict_cost").cast("double"))  # as the batch has it
     path = _fresh(target, "sink_upsert")
     files.write_cost_table(target, path)
     return files.upsert_cost_table(path, whole(grid_costs(spark, sf_dir))).select(target.columns)
@@ -232,7 +232,7 @@ def q_sink_posting_sheets(spark, sf_dir):
     return _places(reader.csv(path), "cpms_id", "safe_sheet").select(*_PLAN_COLS, "safe_sheet", "export_date", "place")
 
 
-@register("sink_templates", _ALL)
+@register("sink_templates", _ALL + "SELECT * FROM allt")
 def q_sink_templates(spark, sf_dir):
     """K7: every import template through its export, one folder each."""
     from ledgerflow.plans.queries_templates import templates_of

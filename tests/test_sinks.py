@@ -72,6 +72,13 @@ def test_an_upsert_writes_only_the_studies_it_touches(spark, tmp_path):
     assert {tuple(r) for r in again.collect()} == want - {("7", "V3", key.study_arm, 9.0)} | {("7", "V3", key.study_arm, 10.0)}
 
 
+def test_an_upsert_with_other_types_keeps_the_table_in_one_schema(spark, tmp_path):
+    path = str(tmp_path / "c")
+    files.write_cost_table(spark.createDataFrame([("1", "V", "A", 1), ("2", "V", "A", 2)], "cpms_id string, visit_number string, study_arm string, ict_cost int"), path)
+    out = files.upsert_cost_table(path, spark.createDataFrame([("2", "V", "A", 2.5)], COST))
+    assert {(r.cpms_id, r.ict_cost) for r in out.collect()} == {("1", 1.0), ("2", 2.5)}
+
+
 def test_a_failed_write_leaves_the_old_table_readable(spark, tmp_path):
     from ledgerflow.sources.readers import read_cost_table
     path = str(tmp_path / "c")
