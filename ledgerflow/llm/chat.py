@@ -174,3 +174,18 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
     back = read_back(formatted(chosen_paths(numbered(rows.unionByName(extra)))))
     return back.select(F.col("tree").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+#: Every conversation is one chain, so its path holds all its turns in order.
+SQL = r"""
+WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+    sized AS (
+        SELECT *, length('### ') + length(regexp_replace(role, '(\\|</turn>|### |:)', '\\\1', 'g')) + length(':x')
+                  + length(regexp_replace(text, '(\\|</turn>|### )', '\\\1', 'g')) + length('</turn>x') AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

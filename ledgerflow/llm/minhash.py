@@ -287,3 +287,20 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .union(rows.where("comp is null").select("uid").distinct())
     held = docs.select(row_uid(id_col, text_col).alias("uid"), common.whole_row(docs))
     return held.join(kept, "uid", "left_semi").dropDuplicates(["uid"]).select("row.*")
+
+
+#: Sets of five-word strings, all pairs that share one, and what each document reaches.
+SQL = f"""
+WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS items FROM worded),
+    members AS (SELECT doc_id, unnest(items) AS item FROM sets),
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM members a JOIN members b ON b.item = a.item AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y WHERE 100 * n >= {PERCENT} * (len(a.items) + len(b.items) - n)),
+    edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reached AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, e.y FROM reached r JOIN edges e ON e.x = r.other)
+SELECT s.doc_id, len(s.items) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
+"""

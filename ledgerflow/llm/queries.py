@@ -25,6 +25,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_reply_trees": chat.SQL,
+    "op6_fast_similarity_sketch": minhash.SQL,
     "op11_merkle_butterfly": merkle.SQL,
     "op12_warc_transactions": warc.SQL,
     "op13_stripe_collocations": colloc.SQL,

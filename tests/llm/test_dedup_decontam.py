@@ -158,3 +158,14 @@ def test_leaks_of_empty_tables(spark, messy):
 def test_window_hashes_tell_orders_apart():
     h = common.window_hashes(np.array([1, 2, 1, 2, 2, 1], np.uint64), 2)
     assert h[0] == h[2] and len(set(h.tolist())) == 3
+
+
+def test_groups_equal_sql(spark):
+    from ledgerflow.llm import queries
+    from tools.oracle_check import compare, duck
+    sf = SF_SMALL.replace("0.001", "0.01")
+    df = minhash.documents(spark, sf)
+    cur = duck(sf).execute(queries.ORACLES["op6_fast_similarity_sketch"])
+    rows = df.collect()
+    assert any(not r.kept for r in rows)
+    assert compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description]) is None

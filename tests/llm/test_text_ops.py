@@ -383,3 +383,13 @@ def test_escaping_is_reversible(spark):
     for t, e in df.select("t", chat.escape(df.t).alias("e")).collect():
         assert chat.unescape(e) == t
         assert not re.search(r"(?<!\\)(?:\\\\)*(</turn>|### )", "x" + e) or "\\" in e
+
+
+def test_conversations_equal_sql(spark):
+    from ledgerflow.llm import queries
+    from tools.oracle_check import compare, duck
+    df = chat.conversations(spark, SF_SMALL)
+    cur = duck(SF_SMALL).execute(queries.ORACLES["op5_reply_trees"])
+    rows = df.collect()
+    assert any(r.conv_id == -7 and r.n_turns == 2 for r in rows)
+    assert compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description]) is None
