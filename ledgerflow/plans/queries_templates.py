@@ -124,13 +124,13 @@ def templates_of(adj):
 
 @register("alloc_dispatch", "SELECT " + ", ".join(_ADJ_COLS) + " FROM (" + ADJ_SQL + ") q")
 def q_alloc_dispatch(spark, sf_dir):
-    """W6 + W7: UA/Setup lines balanced per activity row, all others per visit pool."""
-    return adjusted(spark, sf_dir).select(*_ADJ_COLS)
+    """W6 + W7: UA/Setup lines balanced per activity row, all others per visit pool (window form)."""
+    return adjusted(spark, sf_dir, method="window").select(*_ADJ_COLS)
 
 
 @register("alloc_dispatch_agg", "SELECT " + ", ".join(_ADJ_COLS) + " FROM (" + ADJ_SQL + ") q")
 def q_alloc_dispatch_agg(spark, sf_dir):
-    """Same allocation through the skew-safe aggregate + salted-join strategy."""
+    """Same allocation through the form that splits large groups."""
     return adjusted(spark, sf_dir, method="agg").select(*_ADJ_COLS)
 
 
