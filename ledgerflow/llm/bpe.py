@@ -10,8 +10,8 @@ Decoding maps ids back to their bytes.
 
 Defined results: a null or empty text has no ids and decodes to no bytes;
 rows are kept one for one, repeated rows alike; an id that is not in the
-vocabulary fails; columns of the input other than those named are carried
-untouched (the result columns must be named apart from them).
+vocabulary fails; of the input's columns only the id comes back, whatever the
+others are called (``encode`` and ``decode`` add a column to any table).
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -161,10 +162,17 @@ def decode(ids: Column, path: str = VOCABULARY, pattern: str = PATTERN) -> Colum
 
 
 def encode_decode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """(id, ids, decoded) for every row."""
-    common.workers_import(df.sparkSession)
-    out = df.select(F.col(id_col).alias("doc_id"), encode(F.col(text_col), path, pattern).alias("ids"))
-    return out.withColumn("decoded", decode(F.col("ids"), path, pattern))
+    """(doc_id, ids, decoded) for every row.  One worker a task does both, so
+    that a task holds the vocabulary once and ids do not travel twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(path, pattern)
+        for b in common.slices(batches, 256):
+            ids = [c.encode(t) for t in common.texts(b, "text")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(c.decode, ids), pa.binary())], ["doc_id", "ids", "decoded"])
+
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return common.map_arrow(rows, f"doc_id {dict(rows.dtypes)['doc_id']}, ids binary, decoded binary", run)
 
 
 def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
