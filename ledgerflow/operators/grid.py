@@ -110,15 +110,18 @@ def unique_names(bases: Column) -> Column:
 
     empty = F.array().cast("array<string>")
     places = F.when(F.size(bases) > 0, F.sequence(F.lit(1), F.size(bases))).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(places, empty, one)
+    all_differ = F.size(F.array_distinct(bases)) == F.size(bases)
+    return F.when(all_differ, bases).otherwise(F.aggregate(places, empty, one))
 
 
 def with_names(headers: DataFrame) -> DataFrame:
     """Adds ``names``: syntactic, unique column names of the header cells.
     The syntactic names are a column of their own so the de-duplication
-    lambda reads them instead of re-running the regexes per element."""
-    return (headers.withColumn("_bases", F.transform("header_cells", syntactic_name))
-            .withColumn("names", unique_names(F.col("_bases"))).drop("_bases"))
+    lambda reads them instead of re-running the regexes per element.  The
+    names leave an ``explode`` of one element: filters on what is derived from
+    them stay above it, where otherwise each would work out the names again."""
+    based = headers.withColumn("_bases", F.transform("header_cells", syntactic_name))
+    return based.select("*", F.explode(F.array(unique_names(F.col("_bases")))).alias("names")).drop("_bases")
 
 
 def header_names(headers: DataFrame) -> DataFrame:
@@ -144,8 +147,10 @@ def sheet_facts(grid: DataFrame) -> DataFrame:
 
 
 def sheet_layout(grid: DataFrame) -> DataFrame:
-    """Per-sheet table: header row, names, column positions, visit range and metadata."""
-    facts = with_names(sheet_facts(grid).filter(F.col("header_row").isNotNull()))
+    """Per-sheet table: header row, names, column positions, visit range and metadata.
+    Only rows that state a fact are aggregated: the table's body is not sorted for it."""
+    states = is_header_row() | is_in(trim_ws(cell(1)), (KEY_STUDY, KEY_STUDY_ID))
+    facts = with_names(sheet_facts(grid.filter(states)).filter(F.col("header_row").isNotNull()))
     pos = {c: F.array_position("names", c).cast("int") for c in
            (COL_ACTIVITY, COL_TYPE, COL_DEPARTMENT, COL_ROLE, COL_COST, COL_TOTAL)}
     return (facts.drop("header_cells")

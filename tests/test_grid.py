@@ -89,3 +89,12 @@ def test_copies_in_blocks(spark):
     df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 6), ("d", 13)], "k string, n int")
     got = sorted((r.k, r.c) for r in with_copies(df, "n", "c", block=3).collect())
     assert got == [(k, i) for k, n in (("a", 1), ("b", 7), ("c", 6), ("d", 13)) for i in range(1, n + 1)]
+
+def test_filters_on_the_layout_work_names_out_once(spark):
+    g = spark.createDataFrame([("w", "s", 1, 1, ["Activity", "Activity Type", "Department", "Staff Role", "Activity Cost", "V", "V", "Total Activity Cost"]),
+                               ("w", "s", 1, 2, ["a", "t", "d", "r", "1", "1", "1", "2"])],
+                              "workbook_id string, sheet_name string, sheet_pos long, row_idx long, cells array<string>")
+    layout = grid.sheet_layout(g)
+    valid = layout.filter(F.col("layout_error").isNull() & (F.col("n_visits") > 1))
+    assert valid._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert [r.visit_names for r in valid.collect()] == [["V", "V.1"]]
