@@ -42,10 +42,12 @@ JOIN nation ON s_nationkey = n_nationkey
 _MARK = ("CASE WHEN l_tax = 0.08 THEN NULL WHEN l_linenumber {cmp} THEN CAST(l_partkey % 3 + 1 AS STRING) "
          "WHEN (l_suppkey + {i}) % 4 = 0 THEN '1' WHEN (l_partkey + {i}) % 11 = 0 THEN 'N/A' END")
 
+_ROW_IDX = """CAST(4 + row_number() OVER (PARTITION BY cpms_id, sheet_name
+                                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS row_idx"""
+
 FX_ROWS = """
 SELECT cpms_id, study_name, sheet_name,
-       CAST(4 + row_number() OVER (PARTITION BY cpms_id, sheet_name
-                                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS row_idx,
+       """ + _ROW_IDX + """,
        CASE WHEN l_quantity = 1 THEN 'Scheduled / Some Participants'
             WHEN l_quantity = 2 THEN 'Scheduled / All Participants'
             WHEN l_quantity = 3 THEN 'Unscheduled / Itemised Activities'
@@ -167,6 +169,33 @@ FROM (SELECT """ + _SCENARIOS + """ AS scenario_id, r.*
       ) AS r(condition_field, condition_op, condition_value, posting_line_type_id, destination_bucket, priority)) AS x
 """
 
+# What Spark runs for ``fx_grid``: the rows of FX_GRID with the lines dealt once, by study.  The study's lines are
+# sorted by sheet, so one sort numbers sheets and rows, and a sheet's first and last line bring its other rows along.
+SPARK_GRID = """
+WITH dealt AS (SELECT /*+ REPARTITION(cpms_id) */ * EXCEPT (study_name, s_name, n_name) FROM fx_base WHERE cpms_id IS NOT NULL),
+placed AS (
+  SELECT *, 4 + row_number() OVER lines AS row_idx, lead(true) OVER lines IS NULL AS is_last,
+         CAST(dense_rank() OVER (PARTITION BY cpms_id ORDER BY sheet_name) AS BIGINT) AS sheet_pos
+  FROM dealt
+  WINDOW lines AS (PARTITION BY cpms_id, sheet_name ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)),
+fx_rows AS (SELECT sheet_pos, is_last, """ + FX_ROWS.strip().removeprefix("SELECT").replace("study_name, ", "", 1).replace(_ROW_IDX, "CAST(row_idx AS BIGINT) AS row_idx").replace("FROM fx_base", "FROM placed") + """),
+held AS (
+  SELECT cpms_id, sheet_name, sheet_pos, explode(concat(
+    CASE WHEN row_idx = 5 THEN array(
+      struct(CAST(1 AS BIGINT) AS row_idx, array(' Study ', 'Study ' || cpms_id, CAST(NULL AS STRING)) AS cells),
+      struct(CAST(2 AS BIGINT) AS row_idx, array('Study Id', ' ' || cpms_id || ' ', CAST(NULL AS STRING)) AS cells),
+      struct(CAST(3 AS BIGINT) AS row_idx, array('notes', 'not a table', CAST(NULL AS STRING)) AS cells),
+      struct(CAST(4 AS BIGINT) AS row_idx, array('Activity', 'Activity Type', 'Department', 'Staff Role', 'Activity Cost',
+             CASE WHEN sheet_name = 'Pharmacy' THEN 'Day 30' ELSE 'Screening' END, 'Day 30', CASE WHEN sheet_name = 'Arm B' THEN 'Day 30' ELSE '1st review' END,
+             CASE WHEN sheet_name = 'Pharmacy' THEN 'Day 30.1' ELSE 'Follow-up' END, 'Total Activity Cost') AS cells)) ELSE array() END,
+    array(struct(row_idx, array(activity, activity_type, department, staff_role, activity_cost,
+                                marks[0], marks[1], marks[2], marks[3], total_activity_cost) AS cells)),
+    CASE WHEN is_last THEN array(struct(row_idx + 1 AS row_idx, array(CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING),
+             'Total Including MFF', '1000.5', '2000.25', '333', '1', CAST(NULL AS STRING)) AS cells)) ELSE array() END)) AS r
+  FROM fx_rows)
+SELECT cpms_id, sheet_name, sheet_pos, r.row_idx, r.cells FROM held
+"""
+
 # name -> (text, views it reads)
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx_base": (FX_BASE, ()),
@@ -179,6 +208,9 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx_routing_rules": (FX_ROUTING_RULES, ()),
 }
 
+# Other text, and views, that give Spark the same rows of a view.
+SPARK_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {"fx_grid": (SPARK_GRID, ("fx_base",))}
+
 
 def dialect(sql: str, engine: str) -> str:
     if engine == "spark":
@@ -239,12 +271,12 @@ def materialized(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ck = (spark.sparkContext.applicationId, sf_dir, name)
     if ck in _CACHE:
         return _CACHE[ck]
-    deps = VIEWS[name][1]
+    text, deps = SPARK_VIEWS.get(name, VIEWS[name])
     if not deps:
         register_base_tables(spark, sf_dir)
     for d in deps:
         materialized(spark, sf_dir, d).createOrReplaceTempView(d)
-    df = materialize(spark.sql(dialect(VIEWS[name][0], "spark")), name)
+    df = materialize(spark.sql(dialect(text, "spark")), name)
     _CACHE[ck] = df
     return df
 
