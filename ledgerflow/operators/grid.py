@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.nulls import blank_to_null, is_in, trim_ws, true_or_false
 from ledgerflow.operators.allocate import join_null_safe
 from ledgerflow.operators.quality import fail_if_any
-from ledgerflow.operators.sequence import DEFAULT_BUCKET, dense_sequence, fill_forward, row_bucket
+from ledgerflow.operators.sequence import DEFAULT_BUCKET, dense_sequence, fill_forward, one_bucket, row_bucket
 
 SHEET = ["workbook_id", "sheet_name"]
 
@@ -205,12 +205,13 @@ def default_flag(sheet: Column) -> Column:
             .otherwise(F.lit(FLAG_ALL)))
 
 
-def with_flags(table: DataFrame, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
+def with_flags(table: DataFrame, bucket_size: int = DEFAULT_BUCKET, single: bool = False) -> DataFrame:
     """Section marker of the first column carried forward (marker row
-    included); rows before any marker take the sheet's default."""
+    included); rows before any marker take the sheet's default.
+    ``single``: all row numbers are in one bucket (``one_bucket``)."""
     marked = table.withColumn("_marker", F.when(is_in("first_cell", FLAG_MARKERS), F.col("first_cell")))
     filled = fill_forward(marked, partition_cols=SHEET, order_col="row_idx", value_col="_marker",
-                          out_col="_ff", bucket_size=bucket_size, nulls=False)
+                          out_col="_ff", bucket_size=bucket_size, nulls=False, single=single)
     return (filled.withColumn("flag", F.coalesce("_ff", default_flag(F.col("sheet_name"))))
             .drop("_marker", "_ff"))
 
@@ -223,11 +224,11 @@ def clean_rows(flagged: DataFrame) -> DataFrame:
             .withColumn("source_sheet", F.col("sheet_name")))
 
 
-def with_staff_group(clean: DataFrame, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
+def with_staff_group(clean: DataFrame, bucket_size: int = DEFAULT_BUCKET, single: bool = False) -> DataFrame:
     """1, 2, ... for repeats of the same activity under the same flag, per sheet."""
     b = clean.withColumn("_b", row_bucket("row_idx", bucket_size))
     out = dense_sequence(b, partition_cols=SHEET + ["activity", "flag"], order_cols=["row_idx"],
-                         bucket_col="_b", out_col="staff_group", nulls=False)
+                         bucket_col="_b", out_col="staff_group", nulls=False, single=single)
     return out.withColumn("staff_group", F.col("staff_group").cast("int")).drop("_b")
 
 
@@ -243,22 +244,50 @@ def numeric_marks(c: str = "marks") -> Column:
     return F.transform(F.col(c), coerce_mark)
 
 
-def stage_tables(grid: DataFrame, stage: bool = True, strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(layout, raw table rows).  The layout has one row per sheet.
-
-    ``strict`` fails when a sheet has a header but no usable cost columns, as
-    its rows would be left out; otherwise see ``rejected_sheets``.  With
-    ``stage`` both are written once, as several steps read them."""
+def stored_layout(grid: DataFrame, stage: bool = True, strict: bool = True) -> DataFrame:
+    """The layout, one row per sheet, written once with ``stage``.  ``strict``
+    fails when a sheet has a header but no usable cost columns, as its rows
+    would be left out; otherwise see ``rejected_sheets``."""
     from ledgerflow.sources.stage import materialize
 
     layout = sheet_layout(grid)
     layout = materialize(layout, "grid_layout") if stage else layout
     if strict:
         fail_if_any(layout.filter(F.col("layout_error").isNotNull()).select(*SHEET, "layout_error"), "sheets without usable cost columns")
+    return layout
+
+
+def stage_tables(grid: DataFrame, stage: bool = True, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(layout, raw table rows); with ``stage`` both are written once, as
+    several steps read them."""
+    from ledgerflow.sources.stage import materialize
+
+    layout = stored_layout(grid, stage, strict)
     table = sheet_table(grid, layout)
     return layout, materialize(table, "grid_table") if stage else table
 
 
+def flagged_rows(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, stage: bool = True, strict: bool = True) -> tuple[DataFrame, DataFrame, bool]:
+    """(layout, table rows with flags, whether all row numbers are in one bucket).
+
+    If they are, no sheet is larger than a bucket: the rows stay as the join
+    with the layout deals them, by sheet, and the flags and what follows by
+    sheet need no other shuffle.  Else the table is stored before it is split."""
+    single = one_bucket(grid, "row_idx", bucket_size)
+    if not single:
+        layout, table = stage_tables(grid, stage, strict)
+        return layout, with_flags(table, bucket_size), False
+    layout = stored_layout(grid, stage, strict)
+    return layout, with_flags(sheet_table(grid, layout), bucket_size, single=True), True
+
+
+def cleaned(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, strict: bool = True, staff_groups: bool = True) -> DataFrame:
+    """Cleaned rows alone, for a caller that reads them once."""
+    _, flagged, single = flagged_rows(grid, bucket_size, strict=strict)
+    clean = clean_rows(flagged)
+    return with_staff_group(clean, bucket_size, single) if staff_groups else clean
+
+
 def stage_a(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, stage: bool = True, strict: bool = True,
             staff_groups: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(layout, raw table rows, cleaned rows with flags and staff groups).
@@ -267,9 +296,11 @@ def stage_a(grid: DataFrame, bucket_size: int = DEFAULT_BUCKET, stage: bool = Tr
     is another pass over the rows, and only its readers share the result."""
     from ledgerflow.sources.stage import materialize
 
-    layout, table = stage_tables(grid, stage, strict)
-    clean = clean_rows(with_flags(table, bucket_size))
+    layout, flagged, single = flagged_rows(grid, bucket_size, stage, strict)
+    if stage and single:
+        flagged = materialize(flagged, "grid_table")
+    clean = clean_rows(flagged)
     if staff_groups:
-        clean = with_staff_group(clean, bucket_size)
+        clean = with_staff_group(clean, bucket_size, single)
         clean = materialize(clean, "grid_clean") if stage else clean
-    return layout, table, clean
+    return layout, flagged.drop("flag"), clean

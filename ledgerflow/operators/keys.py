@@ -32,10 +32,12 @@ MAIN_KEY = ("study_arm", "visit")
 
 
 def dense_sequence(df: DataFrame, *, partition_cols: Sequence[str], order_cols: Sequence[str],
-                   bucket_col: str, out_col: str, nulls: bool = True, weight_col: str | None = None) -> DataFrame:
+                   bucket_col: str, out_col: str, nulls: bool = True, weight_col: str | None = None,
+                   single: bool = False) -> DataFrame:
     """1..n per partition in ``order_cols`` order; ``bucket_col`` must be a
     coarse, order-preserving function of the order (a prefix of it).
     ``nulls=False``: partition and bucket columns are never NULL.
+    ``single``: all rows are in one bucket, so no offsets are counted.
 
     With ``weight_col`` a row stands for so many numbers, and gets the count
     of those before it: rows that are going to be multiplied are numbered
@@ -48,6 +50,8 @@ def dense_sequence(df: DataFrame, *, partition_cols: Sequence[str], order_cols:
         earlier = F.sum(weight_col).over(inside.rowsBetween(Window.unboundedPreceding, -1))
         rank, size = F.coalesce(earlier, F.lit(0)), F.sum(weight_col)
     local = df.withColumn("__local", rank)
+    if single:
+        return local.withColumn(out_col, F.col("__local").cast("long")).drop("__local")
     counts = df.groupBy(*p, bucket_col).agg(size.alias("__cnt"))
     before = Window.partitionBy(*p).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")

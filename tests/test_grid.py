@@ -98,3 +98,20 @@ def test_filters_on_the_layout_work_names_out_once(spark):
     valid = layout.filter(F.col("layout_error").isNull() & (F.col("n_visits") > 1))
     assert valid._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
     assert [r.visit_names for r in valid.collect()] == [["V", "V.1"]]
+
+
+def test_sheets_of_one_bucket_are_dealt_once(spark):
+    body = [[f"a{i % 3}" if i % 5 else grid.FLAG_MARKERS[i % 3], "t", "d", "r", "1", "1", "1", "1", "1", "2"] for i in range(40)]
+    g = spark.createDataFrame(sheet("Arm A", 1, body) + sheet("Arm B", 2, body), GRID)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = grid.cleaned(g)
+        plan = clean._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert plan.count("Exchange hashpartitioning") == 2  # of the grid and of its layout
+    rows = lambda df: sorted(map(str, df.select(clean.columns).collect()))
+    assert clean.count() == 64 and rows(clean) == rows(grid.cleaned(g, bucket_size=7))
+    assert rows(clean) == rows(grid.stage_a(g)[2]) == rows(grid.stage_a(g, bucket_size=7)[2])
+    assert set(grid.stage_a(g)[1].columns) == set(grid.stage_a(g, bucket_size=7)[1].columns)

@@ -78,3 +78,29 @@ def test_weighted_numbers_equal_a_plain_window(spark):
     before = Window.partitionBy("p").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     want = df.drop("b").withColumn("s", F.coalesce(F.sum("w").over(before), F.lit(0)))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_rows_of_one_bucket_are_dealt_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerflow.operators.sequence import fill_forward, one_bucket
+    df = spark.range(200).select(F.col("id").alias("r"), (F.col("id") % 3).alias("p"), F.when(F.col("id") % 17 == 0, F.col("id")).alias("v"),
+                                 F.lit(2).alias("w"), F.lit(0).alias("b"))
+    assert one_bucket(df, "r", 200) and not one_bucket(df, "r", 199)
+    assert not one_bucket(df.unionByName(spark.createDataFrame([(None, 1, None, 1, 0)], "r long, p long, v long, w int, b int")), "r", 200)
+    assert one_bucket(df.limit(0), "r")
+
+    def exchanges(out):
+        return out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    def rows(out):
+        return sorted(map(str, out.collect()))
+
+    fill = dict(partition_cols=["p"], order_col="r", value_col="v", out_col="f", bucket_size=200)
+    once = fill_forward(df, **fill, single=True)
+    assert exchanges(once) == 1 and rows(once) == rows(fill_forward(df, **fill))
+    for weight in (None, "w"):
+        number = dict(partition_cols=["p"], order_cols=["r"], bucket_col="b", out_col="s", weight_col=weight)
+        once = dense_sequence(df, **number, single=True)
+        assert exchanges(once) == 1 and once.dtypes == dense_sequence(df, **number).dtypes
+        assert rows(once) == rows(dense_sequence(df, **number))
