@@ -205,3 +205,13 @@ def test_the_whole_run_fails_without_templates(spark):
     assert pipeline.build_templates(plan).count() == 0
     with pytest.raises(ValueError, match="no template"):
         pipeline.build_templates(plan, fail_if_empty=True)
+
+
+def test_files_of_the_cost_table_do_not_grow_with_its_studies(spark, tmp_path):
+    path = tmp_path / "c"
+    rows = spark.range(3000).selectExpr("if(id = 7, null, cast(id as string)) cpms_id", "'V' visit_number", "'A' study_arm", "cast(id as double) ict_cost")
+    files.write_cost_table(rows, str(path), strict=False)
+    files.write_cost_table(rows.where("ict_cost % 2 = 0 or ict_cost = 7"), str(path), mode="studies", strict=False)
+    assert len(list((path / "data").rglob("part-*.parquet"))) < 300
+    from ledgerflow.sources.readers import read_cost_table
+    assert sorted(map(str, read_cost_table(spark, str(path)).select(rows.columns).collect())) == sorted(map(str, rows.collect()))
