@@ -79,3 +79,17 @@ def test_target_sheet_position_of_names_that_differ_in_blanks(spark):
 def test_small_groups(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert small_groups(df, "k", 2) and not small_groups(df, "k", 1) and small_groups(df.limit(0), "k", 1)
+
+
+def test_lines_dealt_by_study_are_the_rows_of_the_view(spark, tmp_path):
+    from ledgerflow.sources import fixtures
+    assert set(fixtures.SPARK_VIEWS) == {"fx_grid", "fx_long"}
+    lines = [(1, 2, 3, 4, 7.0, 10.5, 0.0, 0.01, "A", c, f"Study {c}" if c else None, s, "p", "PROMO", 5, "s", "n")
+             for c in ("8", "9", None) for s in ("Arm A", "Pharmacy")]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
+                          "l_tax double, l_returnflag string, cpms_id string, study_name string, sheet_name string, p_name string, p_type string, p_size int, "
+                          "s_name string, n_name string").createOrReplaceTempView("fx_base")
+    text, _ = fixtures.SPARK_VIEWS["fx_long"]
+    # Lines that tie in all of the order may be numbered either way.
+    got, want = ([sorted(str(r[:3] + r[4:]) for r in df.collect()) for df in (spark.sql(fixtures.dialect(t, "spark")) for t in (text, fixtures.FX_LONG))])
+    assert got == want and len(got) == 6
