@@ -93,3 +93,62 @@ def test_lines_dealt_by_study_are_the_rows_of_the_view(spark, tmp_path):
     # Lines that tie in all of the order may be numbered either way.
     got, want = ([sorted(str(r[:3] + r[4:]) for r in df.collect()) for df in (spark.sql(fixtures.dialect(t, "spark")) for t in (text, fixtures.FX_LONG))])
     assert got == want and len(got) == 6
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    rows = [(c, f"Study {c}", s, r, a, s, f"act {r % 3}" if r % 4 else None, f"VISIT - 00{r % 2}", f"Day.{r % 2}", r % 2, t, role, "£10.5")
+            for c in ("8", "9", "10", None)
+            for r, (s, a, t, role) in enumerate([("Arm A", "Arm A", "Procedure", "Nurse"), ("Arm A", "SSP", "lab investigation", "Medical Staff"),
+                                                 ("Pharmacy", "Arm A", "Procedure", None), ("Setup & Closedown", "SC", "Procedure", " Medical Staff"),
+                                                 ("Unscheduled Activities", "UA", "Procedure", "Nurse"), (None, None, "Procedure", "Medical Staff")] * 2, 1)]
+    long = spark.createDataFrame(rows, "cpms_id string, study_name string, sheet_name string, row_id long, study_arm string, source_sheet string, activity string, "
+                                       "visit string, visit_label string, staff_group int, activity_type string, staff_role string, activity_cost string")
+    cost = long.select("cpms_id", F.col("study_name").alias("study"), F.col("visit").alias("visit_number"), "study_arm", "visit_label",
+                       F.when(F.col("row_id") % 3 > 0, F.col("activity")).alias("activity_name"), (F.col("row_id") * 7).cast("decimal(18,2)").alias("ict_cost"),
+                       F.lit(1).alias("activity_occurrence_id"), "staff_group", "source_sheet")
+    return long, cost
+
+
+def test_plan_keys_and_templates_by_study_are_those_of_any_deal(spark, lines, monkeypatch):
+    from ledgerflow.operators.keys import assign_edge_keys
+    from ledgerflow.plans import pipeline
+    from ledgerflow.plans.queries_posting import rule_tables
+    from ledgerflow.sources import stage
+    from ledgerflow.sources.fixtures import Fixtures
+    rules = rule_tables(Fixtures(spark, "", materialize=False))
+    long, cost = lines
+    dealt = [materialize_dealt(df.repartition(8, "cpms_id"), "t", "cpms_id", 8) for df in lines]
+
+    def rows(df):
+        return sorted(str(sorted(r.asDict().items())) for r in df.collect())
+
+    plain = pipeline.stored_adjusted_plan(long, rules, cost, scenario_id="A", strict=False)
+    by_study = pipeline.stored_adjusted_plan(dealt[0], rules, dealt[1], scenario_id="A", strict=False)
+    assert "dealt" in by_study.schema["cpms_id"].metadata and "dealt" not in plain.schema["cpms_id"].metadata
+    assert rows(plain) == rows(by_study) and by_study.filter("cpms_id IS NULL").count() > 0
+    assert rows(pipeline.stored_keys(plain)) == rows(pipeline.stored_keys(by_study))
+    assert rows(pipeline.stored_templates(plain)) == rows(pipeline.stored_templates(by_study))
+    keyed = pipeline.by_study(by_study, [pipeline.stored_keys(by_study)], "t", lambda a, keys, known=(): assign_edge_keys(a, keys=keys, known=known))
+    assert rows(keyed) == rows(assign_edge_keys(plain))
+    # A study with more lines than one task should hold takes the form that splits.
+    monkeypatch.setattr(pipeline, "LINES_PER_STUDY", 3)
+    large = pipeline.stored_adjusted_plan(dealt[0], rules, dealt[1], scenario_id="A", strict=False)
+    assert "dealt" not in large.schema["cpms_id"].metadata and rows(large) == rows(plain)
+    assert rows(pipeline.stored_templates(large)) == rows(pipeline.stored_templates(plain))
+    assert stage.by_dealt_key([long], "t", "cpms_id", lambda df, known: df, 100) is None
+
+
+def test_costs_meet_lines_that_are_dealt_by_study_where_they_are(spark, lines):
+    from ledgerflow.operators.costjoin import join_ict_costs
+    from ledgerflow.sources.stage import joins_by_part_of_keys
+    long, cost = [materialize_dealt(df.repartition(8, "cpms_id"), "t", "cpms_id", 8).filter("cpms_id IS NOT NULL") for df in lines]
+    name, before = "spark.sql.requireAllClusterKeysForCoPartition", spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(join_ict_costs(long, cost)) > 0
+        with joins_by_part_of_keys(spark):
+            assert exchanges(join_ict_costs(long, cost, known=("cpms_id",))) == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert spark.conf.get(name) == before
