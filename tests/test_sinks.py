@@ -215,3 +215,17 @@ def test_files_of_the_cost_table_do_not_grow_with_its_studies(spark, tmp_path):
     assert len(list((path / "data").rglob("part-*.parquet"))) < 300
     from ledgerflow.sources.readers import read_cost_table
     assert sorted(map(str, read_cost_table(spark, str(path)).select(rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_many_small_folders_are_written_by_several_tasks_without_side_files(spark, tmp_path, monkeypatch, fmt):
+    monkeypatch.setattr(files, "FOLDERS_PER_TASK", 10)
+    df = spark.range(300).selectExpr("cast(id % 25 as string) cpms_id", "'A' scenario_id", "if(id % 2 = 0, null, 'Arm') sheet_name", "id row_id", "'T' posting_line_type_id")
+    path = tmp_path / "p"
+    files.write_posting_per_sheet(df, str(path), date="2024-01-02", fmt=fmt)
+    parts = list(path.rglob("part-*"))
+    assert len({f.name[:10] for f in parts}) > 4  # else the few bytes are one task's
+    assert not list(path.rglob("*.crc"))
+    assert len({f.parent for f in parts}) == 50
+    back = spark.read.option("header", True).format(fmt).load(str(path))
+    assert sorted(int(r.row_id) for r in back.collect()) == list(range(300))
