@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.text import visit_number
 from ledgerflow.operators.allocate import join_null_safe
 from ledgerflow.operators.grid import (ARM_SC, ARM_SSP, ARM_UA, FLAG_SETUP, FLAG_SOME, FLAG_UA, SHEET, SHEET_SETUP,
-                                       SUMMARY_MARKER, coerce_mark, join_by_workbook, small_workbooks)
-from ledgerflow.operators.sequence import DEFAULT_BUCKET, dense_sequence, one_bucket, row_bucket, with_copies
+                                       MANY_SHEETS, SUMMARY_MARKER, coerce_mark, join_by_workbook)
+from ledgerflow.operators.sequence import (DEFAULT_BUCKET, dense_sequence, largest_group, one_bucket, row_bucket, small_groups,
+                                           with_copies)
 
 COST_COLUMNS = ("cpms_id", "study", "visit_number", "study_arm", "visit_label", "activity_name", "ict_cost",
                 "activity_occurrence_id", "staff_group", "source_sheet")
@@ -33,10 +34,15 @@ def summary_rows(table: DataFrame) -> DataFrame:
             .agg(F.min_by("marks", "row_idx").alias("summary_marks")))
 
 
+def _per_sheet(layout: DataFrame, *facts: str) -> DataFrame:
+    """A side of a join with a row per sheet.  It grows with the sheets and is
+    never broadcast: Spark would go by its compressed file, a hundredth of its rows in memory."""
+    return layout.select(*SHEET, *facts).hint("merge")
+
+
 def summary_costs(table: DataFrame, layout: DataFrame) -> DataFrame:
     """R2: visit columns of the summary row to rows (visit-level cost rows)."""
-    s = join_null_safe(summary_rows(table), layout.select(*SHEET, "visit_names", "study_name", "cpms_id"),
-                       SHEET, "inner")
+    s = join_null_safe(summary_rows(table), _per_sheet(layout, "visit_names", "study_name", "cpms_id"), SHEET, "inner")
     ex = s.select("*", F.posexplode(F.arrays_zip(F.col("visit_names").alias("label"),
                                                  F.col("summary_marks").alias("mark"))).alias("p0", "vm"))
     arm = F.when(F.col("sheet_name") == SHEET_SETUP, F.lit(ARM_SC)).otherwise(F.col("sheet_name"))
@@ -51,7 +57,7 @@ def summary_costs(table: DataFrame, layout: DataFrame) -> DataFrame:
 def label_lookup(table: DataFrame, layout: DataFrame) -> DataFrame:
     """Sheets with a summary row label visits by their column names."""
     return (summary_rows(table).select(*SHEET)
-            .join(layout.select(*SHEET, "visit_names"), SHEET, "inner")
+            .join(_per_sheet(layout, "visit_names"), SHEET, "inner")
             .withColumnRenamed("visit_names", "label_names"))
 
 
@@ -72,13 +78,21 @@ def expand_cost_rows(clean: DataFrame, labels: DataFrame, bucket_size: int = DEF
     times at a visit gives floor(n) rows there; a row without any mark gives
     one row at the first visit.  Occurrence ids count per (sheet, arm,
     visit, activity) across staff groups in row, visit, copy order.
+
+    Rows that are dealt by workbook stay so where workbooks can be one task's,
+    also where ``bucket_size`` numbers them over many buckets; those are then
+    stored, as the numbering reads them twice.
     """
+    from ledgerflow.sources.stage import is_dealt, stored_as_dealt
+
     arm = F.lit(None).cast("string")
     for flag, a in PSEUDO_ARM_BY_FLAG.items():
         arm = F.when(F.col("flag") == flag, F.lit(a)).otherwise(arm)
     rows = clean.filter(F.col("flag").isin(*PSEUDO_ARM_BY_FLAG)).withColumn("pseudo_arm", arm)
-    single = small_workbooks(clean, labels, bucket_size)
-    rows = join_by_workbook(rows, labels, "left") if single else join_null_safe(rows, labels, SHEET, "left")
+    most = largest_group(clean, "workbook_id") if small_groups(labels, "workbook_id", MANY_SHEETS) else None
+    single = most is not None and most <= bucket_size
+    stay = most is not None and most <= DEFAULT_BUCKET and is_dealt(clean, "workbook_id")
+    rows = join_by_workbook(rows, labels, "left") if single or stay else join_null_safe(rows, labels, SHEET, "left")
     mk = F.transform(F.col("marks"), coerce_mark)
     filled = F.transform(mk, lambda x: F.coalesce(x, F.lit(0.0)))
     counts = F.when(_sum(filled) == 0,
@@ -96,8 +110,12 @@ def expand_cost_rows(clean: DataFrame, labels: DataFrame, bucket_size: int = DEF
         F.col("activity").alias("activity_name"), F.col("cost_per_occ").alias("ict_cost"), "staff_group",
         F.col("sheet_name").alias("source_sheet"), row_bucket("row_idx", bucket_size).alias("_b"))
     # Numbered before they are multiplied: a bucket has a row per row number at most.
+    # Rows of ``clean`` have a workbook, a sheet and an activity (``grid.clean_rows``).
+    whole = single or one_bucket(clean, "row_idx", bucket_size)
     numbered = dense_sequence(shaped, partition_cols=SHEET + ["study_arm", "visit_number", "activity_name"],
-                              order_cols=["row_idx", "p0"], bucket_col="_b", out_col="occ", weight_col="n_copies", single=single or one_bucket(clean, "row_idx", bucket_size))
+                              order_cols=["row_idx", "p0"], bucket_col="_b", out_col="occ", weight_col="n_copies", single=whole, nulls=False)
+    if stay and not whole:
+        numbered = stored_as_dealt(numbered.drop("row_idx", "p0", "_b"), "cost_rows_numbered", "workbook_id")
     copies = with_copies(numbered, "n_copies", "copy")
     return copies.withColumn("activity_occurrence_id", (F.col("occ") + F.col("copy")).cast("int")).select(*COST_COLUMNS)
 

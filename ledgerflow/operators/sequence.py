@@ -19,7 +19,7 @@ from ledgerflow.operators.keys import dense_sequence
 
 DEFAULT_BUCKET = 1_000_000
 
-__all__ = ["DEFAULT_BUCKET", "dense_sequence", "fill_forward", "one_bucket", "row_bucket", "small_groups", "with_copies"]
+__all__ = ["DEFAULT_BUCKET", "dense_sequence", "fill_forward", "largest_group", "one_bucket", "row_bucket", "small_groups", "with_copies"]
 
 
 def row_bucket(order_col: str | Column, bucket_size: int = DEFAULT_BUCKET) -> Column:
@@ -36,10 +36,14 @@ def one_bucket(df: DataFrame, order_col: str, bucket_size: int = DEFAULT_BUCKET)
     return low == high and not unknown
 
 
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the largest group of ``key``."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def small_groups(df: DataFrame, key: str, bucket_size: int = DEFAULT_BUCKET) -> bool:
     """Whether no group of ``key`` has more rows than a bucket: its rows can be one task's."""
-    most = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (most or 0) <= bucket_size
+    return largest_group(df, key) <= bucket_size
 
 
 COPY_BLOCK = 10_000

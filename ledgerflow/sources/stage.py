@@ -68,6 +68,18 @@ def joins_by_part_of_keys(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def is_dealt(df: DataFrame, key: str) -> bool:
+    """Whether ``df`` was made from a table that is dealt by ``key``."""
+    return "dealt" in df.schema[key].metadata
+
+
+def stored_as_dealt(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df``, made from a table dealt by ``key``, stored in its buckets; joins by
+    the key and others in it deal no rows."""
+    with joins_by_part_of_keys(df.sparkSession):
+        return materialize_dealt(df, name, key)
+
+
 def by_dealt_key(frames: Sequence[DataFrame], name: str, key: str, step: Callable[..., DataFrame], most: int) -> DataFrame | None:
     """``step`` of tables dealt by ``key``, stored in buckets again, without
     dealing their rows: ``step(*frames, known=(key,))`` gets the rows that have a

@@ -55,6 +55,42 @@ def test_workbook_steps_give_the_same_rows_however_they_are_dealt(spark, raw, bu
     assert rows(costs.cost_table(table, layout, clean, bucket)) == rows(costs.cost_table(table2, layout2, clean2, 3))
 
 
+def test_split_cost_rows_deal_no_row_and_broadcast_no_sheet(spark, raw, monkeypatch):
+    dealt = materialize_dealt(raw.repartition(8, "workbook_id"), "t", "workbook_id", 8)
+    layout, table, clean = grid.stage_a(dealt)
+    labels = costs.label_lookup(table, layout)
+    for df in (labels, costs.summary_costs(table, layout)):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    split, whole = (costs.expand_cost_rows(clean, labels, k) for k in (2, 1_000_000))
+    assert exchanges(split) == 0 and split.count() == whole.count() == 72
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    # Workbooks with more rows than one task should hold are dealt by sheet and bucket.
+    monkeypatch.setattr(costs, "DEFAULT_BUCKET", 5)
+    large = costs.expand_cost_rows(clean, labels, 2)
+    assert exchanges(large) > 0 and sorted(map(str, large.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_split_row_and_occurrence_ids_deal_no_row(spark, raw, monkeypatch):
+    dealt = materialize_dealt(raw.repartition(8, "workbook_id"), "t", "workbook_id", 8)
+    layout, table, clean = grid.stage_a(dealt)
+
+    def rows(df):
+        return sorted(str(sorted(r.asDict().items())) for r in df.collect())
+
+    split, whole = (longform.stage_b(clean, table, layout, bucket_size=k) for k in (2, 1_000_000))
+    assert exchanges(split) == 0
+    assert rows(split) == rows(whole) and split.count() > 54
+    routed = longform.reroute(clean.withColumnRenamed("sheet_pos", "source_sheet_pos"), longform.workbook_has_ua(table))
+    visits = longform.visit_rows(longform.by_target_sheet(longform.with_visit_counts(routed)))
+    ids = [longform.numbered_occurrences(visits, k, *longform.numbered_whole(clean, k)) for k in (2, 1_000_000)]
+    assert exchanges(ids[0]) == 0 and rows(ids[0]) == rows(ids[1])
+    # Workbooks with more rows than one task should hold are dealt by bucket.
+    monkeypatch.setattr(longform, "DEFAULT_BUCKET", 5)
+    assert longform.numbered_whole(clean, 2) == (False, False)
+    large = longform.stage_b(clean, table, layout, bucket_size=2)
+    assert exchanges(large) > 0 and rows(large) == rows(whole)
+
+
 def test_numbering_by_buckets_deals_the_rows_once(spark):
     df = spark.createDataFrame([(k, r, r // 3) for k in ("a", None) for r in range(10)], "k string, r long, b long")
     more = spark.createDataFrame([("a", 1), (None, 2)], "k string, fact int")
