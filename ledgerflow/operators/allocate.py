@@ -105,14 +105,15 @@ def _checked(df: DataFrame) -> DataFrame:
             .withColumn("diff_check", F.bround(F.col("contract_price") - F.col("adjusted_sum_check"), 2).cast(MONEY)))
 
 
-def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int) -> DataFrame:
-    from ledgerflow.sources.stage import materialize
+def _allocate_agg(df: DataFrame, group_cols: Sequence[str], rows_per_task: int, dealt_by: str | None = None) -> DataFrame:
+    from ledgerflow.sources.stage import materialize, stored_as_dealt
 
     g = list(group_cols)
-    lines = materialize(df.withColumn(f"{_P}line", F.monotonically_increasing_id()), "alloc_lines")
+    store = materialize if dealt_by is None else lambda rows, name: stored_as_dealt(rows, name, dealt_by)
+    lines = store(df.withColumn(f"{_P}line", F.monotonically_increasing_id()), "alloc_lines")
     amount = F.col(f"{_P}amt")
     target = F.min(F.struct(f"{_P}tgt", amount.isNull(), amount, f"{_P}line"))
-    stats = materialize(lines.groupBy(*g).agg(
+    stats = store(lines.groupBy(*g).agg(
         F.count(F.lit(1)).alias(f"{_P}n"),
         F.coalesce(F.sum(amount), F.lit(0)).cast(WIDE_AMOUNT).alias("base_sum"),
         F.min_by(f"{_P}price", f"{_P}ord").alias("contract_price"),
@@ -165,11 +166,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def allocate(df: DataFrame, *, group_cols: Sequence[str], order_cols: Sequence[str],
              amount_col: str = "posting_amount", cost_col: str = "contract_cost",
              type_col: str = "posting_line_type_id", method: str = "window",
-             rows_per_task: int = 2_000_000, residual_type: str = RESIDUAL_TYPE) -> DataFrame:
+             rows_per_task: int = 2_000_000, residual_type: str = RESIDUAL_TYPE,
+             dealt_by: str | None = None) -> DataFrame:
     """Scale every group's lines so they sum to its rounded contract price.
 
     ``group_cols`` should lead with the study key so groups of different
-    studies never mix.  Adds the columns of ``ALLOC_COLUMNS``.
+    studies never mix.  Adds the columns of ``ALLOC_COLUMNS``.  ``dealt_by``:
+    the one of ``group_cols`` that ``df`` is dealt by (``sources.stage``) and
+    never NULL in; what is stored stays so.
     """
     if method not in ("window", "agg"):
         raise ValueError(f"unknown allocation method {method!r}")
@@ -177,7 +181,7 @@ def allocate(df: DataFrame, *, group_cols: Sequence[str], order_cols: Sequence[s
     base = df.drop(*existing) if existing else df
     prepared = _prepare(base, amount_col, cost_col, order_cols, type_col, residual_type)
     out = (_allocate_window(prepared, group_cols) if method == "window"
-           else _allocate_agg(prepared, group_cols, rows_per_task))
+           else _allocate_agg(prepared, group_cols, rows_per_task, dealt_by))
     return out.select(*base.columns, *ALLOC_COLUMNS)
 
 
@@ -210,7 +214,7 @@ def with_alloc_key(df: DataFrame, *, sheet_col: str = "sheet_name", arm_col: str
 
 def adjust_posting_lines(plan: DataFrame, *, study_col: str = "cpms_id", method: str = "agg",
                          rows_per_task: int = 2_000_000, order_cols: Sequence[str] = ("row_id",),
-                         grain: str = "sheet") -> DataFrame:
+                         grain: str = "sheet", dealt_by: str | None = None) -> DataFrame:
     """Allocation of a posting plan, grouped the way each sheet class needs.
 
     ``grain="sheet"`` is the live grouping; ``grain="row"`` balances every
@@ -219,8 +223,8 @@ def adjust_posting_lines(plan: DataFrame, *, study_col: str = "cpms_id", method:
     """
     if grain == "row":
         return allocate(plan, group_cols=[study_col, "scenario_id", "row_id"], order_cols=list(order_cols),
-                        method=method, rows_per_task=rows_per_task)
+                        method=method, rows_per_task=rows_per_task, dealt_by=dealt_by)
     keyed = with_alloc_key(plan)
     out = allocate(keyed, group_cols=[study_col, "scenario_id", "alloc_class", "alloc_key"],
-                   order_cols=list(order_cols), method=method, rows_per_task=rows_per_task)
+                   order_cols=list(order_cols), method=method, rows_per_task=rows_per_task, dealt_by=dealt_by)
     return out.drop("alloc_class", "alloc_key")

@@ -25,7 +25,7 @@ from ledgerflow.operators.rules import (CARRY_COLUMNS, DEFAULT_MFF_RATE, DEFAULT
                                         apply_routing, classify_rows, resolve_dist_rules, resolve_entities,
                                         select_output_cols)
 from ledgerflow.operators.templates import build_all_templates
-from ledgerflow.sources.stage import by_dealt_key, materialize, materialize_dealt, tasks_for
+from ledgerflow.sources.stage import by_dealt_key, is_dealt, materialize, materialize_dealt, tasks_for
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,23 @@ def most_lines(rules: RuleTables, scenario_id: str | None) -> int:
     return max(1, fan.agg(F.max("count")).first()[0] or 1) * max(1, listed.agg(F.max("count")).first()[0] or 1)
 
 
+def plan_by_study(rows: DataFrame, rules: RuleTables, cost_table: DataFrame, name: str,
+                  step: Callable[[DataFrame, Sequence[str]], DataFrame] = lambda plan, known: plan, *,
+                  scenario_id: str | None = None, strict: bool = True) -> DataFrame:
+    """``step(plan, known)`` of the posting plan (C4).
+
+    Where rows and costs are dealt by study and no study has more lines than one
+    task should hold, it is stored in their buckets: neither the cost joins nor
+    what ``step`` groups by study deal rows.  Else it is not stored."""
+    def made(some: DataFrame, costs: DataFrame, known: Sequence[str] = ()) -> DataFrame:
+        return step(posting_plan(some, rules, scenario_id=scenario_id, cost_table=costs, strict=strict, known=known), known)
+
+    out = None
+    if is_dealt(rows, "cpms_id"):
+        out = by_dealt_key([rows, cost_table], name, "cpms_id", made, LINES_PER_STUDY // most_lines(rules, scenario_id))
+    return out if out is not None else made(rows, cost_table).withMetadata("cpms_id", {})
+
+
 def stored_adjusted_plan(rows: DataFrame, rules: RuleTables, cost_table: DataFrame, *, scenario_id: str | None = None,
                          strict: bool = True, label_source: str | None = None) -> DataFrame:
     """C4 and the allocation, written once for their several consumers.
@@ -85,7 +102,7 @@ def stored_adjusted_plan(rows: DataFrame, rules: RuleTables, cost_table: DataFra
         return adjusted_plan(plan, method="window" if known else "agg")
 
     dealt = None
-    if "dealt" in rows.schema["cpms_id"].metadata:
+    if is_dealt(rows, "cpms_id"):
         dealt = by_dealt_key([rows, cost_table], "adjusted_plan", "cpms_id", adjusted, LINES_PER_STUDY // most_lines(rules, scenario_id))
     # Stored as it comes, not in buckets any more.
     return dealt if dealt is not None else materialize(adjusted(rows, cost_table).withMetadata("cpms_id", {}), "adjusted_plan")

@@ -11,8 +11,7 @@ from ledgerflow.plans.queries_grid import O_EXPAND, O_SUMMARY, _B, _stage_a, _st
 from ledgerflow.plans.queries_templates import _ALL, ADJ_SQL, adjusted
 from ledgerflow.plans.registry import register
 from ledgerflow.operators.costjoin import join_ict_costs
-from ledgerflow.plans.pipeline import posting_plan
-from ledgerflow.plans.queries_posting import LINE_COLS, O_CTX, RULESET, o_lines, o_plan, rule_tables
+from ledgerflow.plans.queries_posting import LINE_COLS, O_CTX, RULESET, o_lines, o_plan, rule_tables, stored_plan
 from ledgerflow.sinks import files
 from ledgerflow.sinks.files import report_format, safe_sheet_names
 from ledgerflow.sources import readers
@@ -137,8 +136,7 @@ _REPORT_SQL = "SELECT " + ", ".join(
 @register("report_format", _REPORT_SQL)
 def q_report_format(spark, sf_dir):
     """Money columns as pounds with 2 decimals, other numbers with 4."""
-    adj = adjusted(spark, sf_dir).select(*_FMT_COLS)
-    return report_format(adj)
+    return report_format(adjusted(spark, sf_dir, columns=_FMT_COLS))
 
 
 # ---------------------------------------------------------------------------
@@ -190,8 +188,7 @@ _PLAN_ORDER = "row_id NULLS LAST, posting_line_type_id NULLS LAST"
 
 
 def _plan_a(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return posting_plan(fx.long, rule_tables(fx), scenario_id="A", cost_table=fx.cost, strict=False)
+    return stored_plan(Fixtures(spark, sf_dir), "posting_plan")
 
 
 @register("sink_posting_csv", o_plan("A").rstrip() + f"""

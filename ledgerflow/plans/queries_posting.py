@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import costjoin, rules
 from ledgerflow.operators.allocate import adjust_posting_lines
-from ledgerflow.plans.pipeline import RuleTables, posting_plan
+from ledgerflow.plans.pipeline import RuleTables, plan_by_study, posting_plan
 from ledgerflow.plans.registry import register
 from ledgerflow.sources.fixtures import Fixtures, duckdb_ctes
 
@@ -24,6 +24,11 @@ def rule_tables(fx: Fixtures) -> RuleTables:
     return RuleTables(fx.dist_rules, fx.amount_map, fx.routing_rules)
 
 
+def stored_plan(fx: Fixtures, name: str, step=lambda plan, known: plan, scenario: str = SCENARIO):
+    """``step`` of the posting plan of the stored lines, by study where they are dealt so."""
+    return plan_by_study(fx.long, rule_tables(fx), fx.cost, name, step, scenario_id=scenario, strict=False)
+
+
 def _ctx(spark, sf_dir, scenario=SCENARIO):
     fx = Fixtures(spark, sf_dir)
     return fx, rules.classify_rows(fx.long, scenario_id=scenario, ruleset_id=RULESET)
@@ -320,8 +325,7 @@ def q_entity_map(spark, sf_dir):
 
 @register("posting_plan", o_plan("A") + "SELECT * FROM plan")
 def q_posting_plan(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    return posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost, strict=False)
+    return stored_plan(Fixtures(spark, sf_dir), "posting_plan")
 
 
 @register("scenario_matrix", o_plan(None) + "SELECT * FROM plan")
@@ -437,9 +441,10 @@ def _alloc_plan_oracle(group, scenario="A"):
 @register("alloc_row_grain", _alloc_plan_oracle(["cpms_id", "scenario_id", "row_id"]))
 def q_alloc_row_grain(spark, sf_dir):
     """Older grouping: every source row balanced alone, per scenario."""
-    fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost, strict=False)
-    return adjust_posting_lines(plan, grain="row").select(*_ALLOC_PLAN_COLS)
+    def by_row(plan, known):
+        return adjust_posting_lines(plan, grain="row", method="window" if known else "agg").select(*_ALLOC_PLAN_COLS)
+
+    return stored_plan(Fixtures(spark, sf_dir), "alloc_row_grain", by_row)
 
 
 def _mixed_price_sql():
@@ -454,13 +459,15 @@ FROM lines2 GROUP BY cpms_id, scenario_id, alloc_class, ka, kb, kc HAVING COUNT(
 def q_mixed_price_audit(spark, sf_dir):
     """Q3: allocation groups whose lines carry different contract costs (first wins)."""
     from ledgerflow.operators.allocate import with_alloc_key
-    fx = Fixtures(spark, sf_dir)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=SCENARIO, cost_table=fx.cost, strict=False)
-    keyed = with_alloc_key(plan)
-    return (keyed.groupBy("cpms_id", "scenario_id", "alloc_class", "alloc_key")
-            .agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("contract_cost").alias("n_prices"),
-                 F.min("contract_cost").alias("min_cost"), F.max("contract_cost").alias("max_cost"))
-            .filter(F.col("n_prices") > 1)
-            .select("cpms_id", "scenario_id", "alloc_class", F.col("alloc_key.a").alias("key_a"),
-                    F.col("alloc_key.b").alias("key_b"), F.col("alloc_key.c").alias("key_c"),
-                    "n_lines", "n_prices", "min_cost", "max_cost"))
+
+    def audit(plan, known):
+        keyed = with_alloc_key(plan)
+        return (keyed.groupBy("cpms_id", "scenario_id", "alloc_class", "alloc_key")
+                .agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("contract_cost").alias("n_prices"),
+                     F.min("contract_cost").alias("min_cost"), F.max("contract_cost").alias("max_cost"))
+                .filter(F.col("n_prices") > 1)
+                .select("cpms_id", "scenario_id", "alloc_class", F.col("alloc_key.a").alias("key_a"),
+                        F.col("alloc_key.b").alias("key_b"), F.col("alloc_key.c").alias("key_c"),
+                        "n_lines", "n_prices", "min_cost", "max_cost"))
+
+    return stored_plan(Fixtures(spark, sf_dir), "mixed_price_audit", audit)

@@ -10,23 +10,27 @@ from __future__ import annotations
 from ledgerflow.operators.allocate import adjust_posting_lines
 from ledgerflow.operators.keys import assign_edge_keys
 from ledgerflow.operators.templates import EDGE_COLUMNS, arm_templates, special_templates, template_counts
-from ledgerflow.plans.pipeline import by_study, posting_plan, stored_adjusted_plan, stored_keys, stored_templates
+from ledgerflow.plans.pipeline import by_study, stored_adjusted_plan, stored_keys, stored_templates
 from ledgerflow.plans.queries_alloc import alloc_oracle
-from ledgerflow.plans.queries_posting import SCENARIO, o_plan, rule_tables
+from ledgerflow.plans.queries_posting import SCENARIO, o_plan, rule_tables, stored_plan
 from ledgerflow.plans.registry import register
 from ledgerflow.sources.fixtures import Fixtures
 
 STUDY = ["cpms_id", "scenario_id"]
 
 
-def adjusted(spark, sf_dir, method="agg", scenario=SCENARIO, stage=False):
+def adjusted(spark, sf_dir, method="agg", scenario=SCENARIO, stage=False, columns=("*",)):
     """Adjusted posting plan; ``stage=True`` writes it once for its several
-    consumers (keys, special and arm templates) instead of recomputing it."""
+    consumers (keys, special and arm templates) instead of recomputing it.
+    ``columns``: those of the plan that a caller without ``stage`` reads."""
     fx = Fixtures(spark, sf_dir)
     if stage:
         return stored_adjusted_plan(fx.long, rule_tables(fx), fx.cost, scenario_id=scenario, strict=False)
-    plan = posting_plan(fx.long, rule_tables(fx), scenario_id=scenario, cost_table=fx.cost, strict=False)
-    return adjust_posting_lines(plan, method=method)
+
+    def by_method(plan, known):
+        return adjust_posting_lines(plan, method=method, dealt_by="cpms_id" if known else None).select(*columns)
+
+    return stored_plan(fx, "adjusted_plan", by_method, scenario)
 
 
 # ---------------------------------------------------------------------------
@@ -124,13 +128,13 @@ def templates_of(adj):
 @register("alloc_dispatch", "SELECT " + ", ".join(_ADJ_COLS) + " FROM (" + ADJ_SQL + ") q")
 def q_alloc_dispatch(spark, sf_dir):
     """W6 + W7: UA/Setup lines balanced per activity row, all others per visit pool (window form)."""
-    return adjusted(spark, sf_dir, method="window").select(*_ADJ_COLS)
+    return adjusted(spark, sf_dir, method="window", columns=_ADJ_COLS)
 
 
 @register("alloc_dispatch_agg", "SELECT " + ", ".join(_ADJ_COLS) + " FROM (" + ADJ_SQL + ") q")
 def q_alloc_dispatch_agg(spark, sf_dir):
     """Same allocation through the form that splits large groups."""
-    return adjusted(spark, sf_dir, method="agg").select(*_ADJ_COLS)
+    return adjusted(spark, sf_dir, method="agg", columns=_ADJ_COLS)
 
 
 @register("edge_keys", _with_keys() + """

@@ -20,6 +20,24 @@ from pyspark.sql import functions as F
 from ledgerflow.session import ensure_checkpoint_dir
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+@contextmanager
+def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a write run inside go with its end, not with the
+    driver's next collection of garbage."""
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        yield
+
+
 def stage_path(df: DataFrame, name: str) -> str:
     root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     return f"{root}/ledgerflow-stages/{name}-{uuid.uuid4().hex}"
@@ -30,7 +48,8 @@ def materialize(df: DataFrame, name: str, *, partition_by: list[str] | None = No
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffle_files_removed(df.sparkSession):
+        writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -50,8 +69,9 @@ def materialize_dealt(df: DataFrame, name: str, key: str, tasks: int | None = No
     tasks = tasks or df.schema[key].metadata.get("dealt") or tasks_for(df.sparkSession, 0)
     path = stage_path(df, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    (df.withMetadata(key, {"dealt": tasks}).write.option("compression", "zstd").option("path", path)
-     .bucketBy(tasks, key).saveAsTable(table))
+    with shuffle_files_removed(df.sparkSession):
+        (df.withMetadata(key, {"dealt": tasks}).write.option("compression", "zstd").option("path", path)
+         .bucketBy(tasks, key).saveAsTable(table))
     return df.sparkSession.table(table)
 
 
@@ -59,13 +79,8 @@ def materialize_dealt(df: DataFrame, name: str, key: str, tasks: int | None = No
 def joins_by_part_of_keys(spark: SparkSession) -> Iterator[None]:
     """Joins by a dealt key and others read dealt tables as they are (else Spark
     deals both sides by all keys); for jobs run inside, then put back."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
+    with _setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def is_dealt(df: DataFrame, key: str) -> bool:

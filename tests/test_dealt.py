@@ -1,5 +1,7 @@
 """Tables in buckets of a key, and the workbook steps that deal no row again."""
 
+import time
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -175,6 +177,69 @@ def test_plan_keys_and_templates_by_study_are_those_of_any_deal(spark, lines, mo
     assert stage.by_dealt_key([long], "t", "cpms_id", lambda df, known: df, 100) is None
 
 
+def test_plans_and_allocations_by_study_deal_no_line(spark, lines, monkeypatch):
+    from ledgerflow.operators.allocate import adjust_posting_lines
+    from ledgerflow.plans import pipeline, queries_posting, queries_templates
+    from ledgerflow.plans.queries_posting import rule_tables
+    from ledgerflow.sources.fixtures import Fixtures
+    rules = rule_tables(Fixtures(spark, "", materialize=False))
+
+    class Stored:
+        def __init__(self, dealt=True):
+            self.long, self.cost = [materialize_dealt(df.repartition(8, "cpms_id"), "t", "cpms_id", 8) if dealt else df for df in lines]
+            self.dist_rules, self.amount_map, self.routing_rules = rules.dist_rules, rules.amount_map, rules.routing_rules
+
+    def rows(df):
+        return sorted(str(sorted(r.asDict().items())) for r in df.collect())
+
+    def results():
+        yield queries_posting.q_posting_plan(spark, "")
+        yield queries_posting.q_alloc_row_grain(spark, "")
+        yield queries_posting.q_mixed_price_audit(spark, "")
+        yield queries_templates.q_alloc_dispatch(spark, "")
+        yield queries_templates.q_alloc_dispatch_agg(spark, "")
+
+    def use(fx):
+        for module in (queries_posting, queries_templates):
+            monkeypatch.setattr(module, "Fixtures", lambda *_: fx)
+        return [(exchanges(df), rows(df)) for df in results()]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, dealt = use(Stored(dealt=False)), use(Stored())
+        assert [r for _, r in plain] == [r for _, r in dealt] and all(r for _, r in plain)
+        assert all(n > 0 for n, _ in plain) and all(n == 0 for n, _ in dealt)
+        # Groups above the bound of the splitting form, in buckets by study.
+        plan = pipeline.plan_by_study(Stored().long.filter("cpms_id IS NOT NULL"), rules, Stored().cost, "t", strict=False)
+        split, whole = (adjust_posting_lines(plan, method=m, rows_per_task=3, dealt_by=by) for m, by in (("agg", "cpms_id"), ("window", None)))
+        assert rows(split) == rows(whole)
+        # A study with more lines than one task should hold.
+        monkeypatch.setattr(pipeline, "LINES_PER_STUDY", 3)
+        large = use(Stored())
+        assert [r for _, r in large] == [r for _, r in plain] and large[0][0] > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_shuffle_files_go_with_the_write_of_a_stage(spark):
+    from ledgerflow.sources.stage import materialize
+
+    def kept():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+    for store in (lambda df: materialize(df, "t"), lambda df: materialize_dealt(df, "t", "id", 8)):
+        before = kept()
+        stored = store(spark.range(1000).repartition(8, "id"))
+        until = time.time() + 20
+        while kept() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not kept() - before and stored.count() == 1000
+    assert spark.conf.get(name) == setting
+
+
 def test_costs_meet_lines_that_are_dealt_by_study_where_they_are(spark, lines):
     from ledgerflow.operators.costjoin import join_ict_costs
     from ledgerflow.sources.stage import joins_by_part_of_keys
