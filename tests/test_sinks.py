@@ -43,6 +43,19 @@ def test_a_large_folder_is_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "s" / "cpms_id=1" / "safe_sheet=Pharmacy").glob("part-*"))) > 1
 
 
+def test_a_stored_plan_is_exported_without_another_copy(spark, tmp_path, monkeypatch):
+    from ledgerflow.sources.stage import materialize
+    rows = [(str(c), r, t) for c in range(3) for r in range(50) for t in ("DIRECT", "OVERHEAD")]
+    plan = materialize(spark.createDataFrame(rows[::-1], "cpms_id string, row_id long, posting_line_type_id string"), "t")
+    stored = []
+    monkeypatch.setattr(files, "materialize", lambda df, name: stored.append(name) or materialize(df, name))
+    for name, more in (("a", {}), ("b", {"stored": True})):
+        files.write_posting_csv(plan, str(tmp_path / name), **more)
+        lines = [line for f in sorted((tmp_path / name).glob("part-*")) for line in f.read_text().splitlines()[1:]]
+        assert lines == [",".join(map(str, r)) for r in rows]
+    assert stored == ["export"]
+
+
 COST = "cpms_id string, visit_number string, study_arm string, ict_cost double"
 
 
